@@ -76,6 +76,9 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Whether a byte is not of a letter run (ASCII letters and all of other scripts).
+_LETTER_APART = np.ones(256, bool)
+_LETTER_APART[[*range(65, 91), *range(97, 123), *range(128, 256), 0x27]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
