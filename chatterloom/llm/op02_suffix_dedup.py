@@ -29,8 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import U64, id_text, mix, parts, steps
-from .homes import NO_ID, Texts, answered, asked, bucket_of, bucket_slices, packed, settle, unpacked, with_answers
+from .common import U64, id_text, mix, steps
+from .homes import NO_ID, Texts, answered, asked, bucket_of, bucket_slices, buckets_for, packed, settle, unpacked, with_answers
 
 WIDTH = 100
 #: Segments that one transform holds at most (but for the segments of one anchor).
@@ -326,8 +326,9 @@ def removed(h: Home, some: np.ndarray, got: dict[int, bytes], buckets: int) -> l
 
 def dedup(docs: DataFrame, emit, schema: str, width: int = WIDTH) -> DataFrame:
     """Rows that `emit(doc_id or None, text, mask of removed bytes)` makes of each row of docs."""
-    buckets = 2 * parts(docs.sparkSession)
-    homes = settle(id_text(docs), buckets)
+    docs = id_text(docs)
+    buckets = buckets_for(docs)
+    homes = settle(docs, buckets)
     one = answered(asked(homes, lambda src, t: Home(t, width).ask_anchors(buckets)), answer_anchors, buckets)
 
     def ask_segments(src, t, anchors):

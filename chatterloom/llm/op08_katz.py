@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import U64, Words, id_text, mix, parts, steps
-from .homes import NO_ID, Texts, answered, asked, bucket_of, bucket_slices, packed, settle, unpacked, with_answers
+from .common import U64, Words, id_text, mix, steps
+from .homes import NO_ID, Texts, answered, asked, bucket_of, bucket_slices, buckets_for, packed, settle, unpacked, with_answers
 
 TOP = 5
 END, START = U64(1), U64(2)
@@ -203,9 +203,9 @@ def totals(table: DataFrame, width: int) -> np.ndarray:
 def score(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Rows whose crc32(doc_id as text) mod
     folds is `held` are not learnt from; folds 0: all are."""
-    spark = docs.sparkSession
-    buckets = 2 * parts(spark)
-    homes = settle(id_text(docs), buckets)
+    docs = id_text(docs)
+    buckets = buckets_for(docs)
+    homes = settle(docs, buckets)
     one = answered(asked(homes, lambda src, t: Home(t, folds, held).ask_words(buckets)), answer_words, buckets)
     s = totals(one, TOP + 5)
     u = Unigrams(int(s[0]), int(s[1]), int(s[2]), discounts(s[3:]), s[3:])
