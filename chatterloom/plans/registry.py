@@ -1,4 +1,137 @@
-"""Queries by name, and the SQL that says the same."""
+"""Queries by name, and the SQL that says the same. Doubles are rounded to six places on both sides."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import EMOJI, SWEARS, SWEARS_HAN, detect_lang, redact, result_file_name, slugify, tokens
+from ..operators import classify, groups, sampling, stats
+from . import adapters
+from .adapters import SQL
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def with_sql(body: str, *views: str) -> str:
+    need = [v for v in SQL if v in views]
+    if "contacts" in need or "classified" in need or "results" in need:
+        need = [v for v in SQL if v in {*need, "msg_events", "contacts"}]
+    return ("WITH " + ", ".join(f"{v} AS ({SQL[v]})" for v in need) + " " if need else "") + body
+
+
+def query(name: str, sql: str | None = None, *views: str):
+    def put(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            d = f(spark, sf_dir)
+            return d.select(*[F.round(F.col(c), 6).alias(c) if t == "double" else F.unix_millis(c).alias(c) if t == "timestamp" else F.col(c).cast("long").alias(c) if t in ("int", "bigint") else F.col(c) for c, t in d.dtypes])
+
+        run.__name__ = name
+        QUERIES[name] = run
+        if sql:
+            ORACLES[name] = with_sql(sql, *views)
+        return run
+
+    return put
+
+
+def plain(name: str, make, sql: str | None, *views: str) -> None:
+    query(name, sql, *views)(make)
+
+
+A = adapters
+HASTEXT = "sender = 'me' AND length(text) > 0"
+plain("a01_contact_stats", lambda s, d: A.contacts(s, d), "SELECT contact_id, contact_name, message_count_total, message_count_from_me, message_count_from_them, first_ms AS first_message_at, last_ms AS last_message_at, span_days FROM contacts", "contacts")
+plain("f01_threshold", lambda s, d: stats.passing(A.contacts(s, d), 50, 20).select("contact_id", "message_count_total"), "SELECT contact_id, message_count_total FROM contacts WHERE message_count_total >= 50 AND message_count_from_me >= 20 AND message_count_from_them >= 20", "contacts")
+plain("a30_filter_report", lambda s, d: stats.filter_report(A.contacts(s, d), 50, 20), "SELECT 50::BIGINT AS total_threshold, 20::BIGINT AS each_way_threshold, count(*) AS total_contacts, count(*) FILTER (message_count_total >= 50 AND message_count_from_me >= 20 AND message_count_from_them >= 20) AS passed_count FROM contacts", "contacts")
+plain("a02_global_totals", lambda s, d: stats.totals(A.msg_events(s, d), 50, 20), "SELECT sum(message_count_total)::BIGINT AS total_messages, sum(message_count_from_me)::BIGINT AS total_messages_from_me, count(*) AS total_contacts, count(*) FILTER (message_count_total >= 50 AND message_count_from_me >= 20 AND message_count_from_them >= 20) AS contacts_above_threshold FROM contacts", "contacts")
+
+TOK = r"list_transform(list_filter(regexp_extract_all(text, '[\x{4E00}-\x{9FFF}]|[A-Za-z0-9]+(?:\.[0-9]+)?%?'), lambda x: regexp_matches(x, '[A-Za-z\x{4E00}-\x{9FFF}]')), lambda x: lower(x))"
+HAN = r"[\x{4E00}-\x{9FFF}]"
+
+
+def term_sql(view: str, n: int, top: int, least: int, scope: str) -> str:
+    part = f"PARTITION BY {scope} " if scope else ""
+    cols = f"{scope}, " if scope else ""
+    if n == 1:
+        rows = f"SELECT {cols}seq, unnest(t) AS term, generate_subscripts(t, 1) AS pos FROM tt"
+    else:
+        sl = f"t[i:i+{n - 1}]"
+        rows = f"SELECT {cols}seq, CASE WHEN len(list_filter({sl}, lambda x: regexp_matches(x, '{HAN}'))) = {n} THEN array_to_string({sl}, '') ELSE array_to_string({sl}, ' ') END AS term, i AS pos FROM (SELECT {cols}seq, t, unnest(range(1, len(t) - {n - 2})) AS i FROM tt WHERE len(t) >= {n})"
+    group = f"GROUP BY {cols}term"
+    return f", tt AS (SELECT {cols}seq, {TOK} AS t FROM {view} WHERE {HASTEXT}), rr AS ({rows}), cc AS (SELECT {cols}term, count(*) AS count, min(seq * 1000000 + pos) AS seen FROM rr {group}), kk AS (SELECT *, row_number() OVER ({part}ORDER BY count DESC, seen) AS rank FROM cc) SELECT {cols}term, count, rank FROM kk WHERE rank <= {top} AND count >= {least}"
+
+
+for name, n, top, least in (("a04_words", 1, 50, 1), ("a05_bigrams", 2, 30, 1), ("a06_trigrams", 3, 20, 3)):
+    for tail, scope in (("", ["contact_id"]), ("_global", [])):
+        plain(name + tail, lambda s, d, n=n, top=top, least=least, scope=scope: stats.top_terms(A.msg_docs(s, d), scope, n, top, least), None)
+        ORACLES[name + tail] = f"WITH msg_docs AS ({SQL['msg_docs']})" + term_sql("msg_docs", n, top, least, ",".join(scope))
+
+SWEAR_SQL = " + ".join(f"len(regexp_extract_all(text, '(?i)\\b(?:{p})\\b'))" for p in SWEARS) + f" + len(regexp_extract_all(text, '{SWEARS_HAN}')) - len(regexp_extract_all(text, '草莓'))"
+LEX = ("a07_a10_lexical", ["contact_id"]), ("a07_a10_lexical_global", [])
+for name, scope in LEX:
+    cols = "".join(c + ", " for c in scope)
+    group = " GROUP BY contact_id" if scope else ""
+    plain(name, lambda s, d, scope=scope: stats.lexical(A.msg_docs(s, d), scope), None)
+    ORACLES[name] = f"WITH msg_docs AS ({SQL['msg_docs']}), tt AS (SELECT {cols}{TOK} AS t, {SWEAR_SQL} AS sw FROM msg_docs WHERE {HASTEXT}), nn AS (SELECT {cols}t, sw, len(t) AS n, len(list_filter(t, lambda x: regexp_matches(x, '{HAN}'))) AS zh FROM tt), uu AS (SELECT {cols}count(DISTINCT w) AS unique_tokens FROM (SELECT {cols}unnest(t) AS w FROM tt){group}) SELECT {'nn.contact_id, ' if scope else ''}sum(n)::BIGINT AS total_tokens, sum(sw)::BIGINT AS swear_count, round(1000.0::DOUBLE * (sum(sw) / count(*)::DOUBLE), 6) AS swears_per_1k, round(sum(n - zh) / greatest(1, sum(n))::DOUBLE, 6) AS en_ratio, round(sum(zh) / greatest(1, sum(n))::DOUBLE, 6) AS zh_ratio, 0.0::DOUBLE AS other_ratio, round(count(*) FILTER (zh > 0 AND n > zh) / count(*)::DOUBLE, 6) AS code_switch_rate, any_value(unique_tokens)::BIGINT AS unique_tokens FROM nn " + ("LEFT JOIN uu ON nn.contact_id = uu.contact_id GROUP BY nn.contact_id" if scope else "CROSS JOIN uu")
+
+WS_SQL = r"[\t-\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]+$"
+for tail, scope in (("", "contact_id"), ("_global", "")):
+    cols, group, sc = (f"{scope}, ", f" GROUP BY {scope}", [scope]) if scope else ("", "", [])
+    plain("a11_a13_punctuation" + tail, lambda s, d, sc=sc: stats.punctuation(A.msg_docs(s, d), sc), "SELECT " + cols + ", ".join(f"round(count(*) FILTER ({c}) / count(*)::DOUBLE, 6) AS {n}" for n, c in (("end_period", "e = '.'"), ("end_exclamation", "e = '!'"), ("end_question", "e = '?'"), ("end_ellipsis", "e = '…'"), ("end_none", "e <> '' AND e NOT IN ('.','!','?','…')"), ("ellipsis_rate", r"regexp_matches(text, '\.\.\.|…')"), ("question_rate", "regexp_matches(text, '[?？]')"), ("exclamation_rate", "regexp_matches(text, '[!！]')"), ("comma_rate", "regexp_matches(text, '[,，]')"))) + f", round(sum(len(regexp_extract_all(text, '[A-Z]'))) / greatest(1, sum(len(regexp_extract_all(text, '[A-Za-z]'))))::DOUBLE, 6) AS caps_rate FROM (SELECT *, right(regexp_replace(text, '{WS_SQL}', ''), 1) AS e FROM msg_docs WHERE {HASTEXT}){group}", "msg_docs")
+    plain("a14_emoji" + tail, lambda s, d, sc=sc: stats.emoji(A.msg_docs(s, d), sc), f"SELECT {cols}sum(k)::BIGINT AS emoji_total, round(sum(k) / count(*)::DOUBLE, 6) AS emoji_per_message, round(count(*) FILTER (k > 0) / count(*)::DOUBLE, 6) AS emoji_message_ratio FROM (SELECT *, len(regexp_extract_all(text, '{EMOJI}')) AS k FROM msg_docs WHERE {HASTEXT}){group}", "msg_docs")
+    ln = r"length(text) + len(regexp_extract_all(text, '[\x{10000}-\x{10FFFF}]'))"
+    bins = ", ".join(f"count(*) FILTER (l >= {a}{f' AND l <= {b}' if b else ''}) AS len_{a}_{b or 'up'}" for a, b in stats.LENGTH_EDGES)
+    plain("a15_a17_lengths" + tail, lambda s, d, sc=sc: stats.structure(A.msg_docs(s, d), sc), f"SELECT {cols}{bins}, round(avg(l), 6) AS mean_length, round(median(l)::DOUBLE, 6) AS median_length, list_sort(list(l))[least(count(*), floor(0.9::DOUBLE * count(*))::INT + 1)] AS p90_length FROM (SELECT *, {ln} AS l FROM msg_docs WHERE {HASTEXT}){group}", "msg_docs")
+    part = f"PARTITION BY {scope} " if scope else ""
+    plain("a18_bursts" + tail, lambda s, d, sc=sc: stats.bursts(A.msg_events(s, d), sc), f"SELECT {cols}count(*) - count(*) FILTER (gap <= 300000) AS bursts, round(count(*) / (count(*) - count(*) FILTER (gap <= 300000))::DOUBLE, 6) AS mean_size, round(coalesce(avg(gap) FILTER (gap <= 300000), 0) / 1000, 6) AS mean_gap_within, round(coalesce(avg(gap) FILTER (gap > 300000), 0) / 1000, 6) AS mean_gap_between FROM (SELECT *, ms - lag(ms) OVER ({part}ORDER BY ms, seq) AS gap FROM msg_events WHERE sender = 'me'){group}", "msg_events")
+    plain("a19_hours" + tail, lambda s, d, sc=sc: stats.hours(A.msg_events(s, d), sc), "SELECT " + cols + ", ".join([f"count(*) FILTER (hour(t) = {k}) AS h{k:02d}" for k in range(24)] + [f"count(*) FILTER (dayofweek(t) = {k}) AS d{k}" for k in range(7)]) + f" FROM (SELECT *, make_timestamp(ms * 1000) AS t FROM msg_events WHERE sender = 'me'){group}", "msg_events")
+    for op, asker in (("a20_reply_latency", "them"), ("r22_their_latency", "me")):
+        plain(op + tail, lambda s, d, sc=sc, asker=asker: stats.reply_latency(A.msg_events(s, d), sc, asker), f"SELECT {cols}count(*) AS pairs, round(median(nx - ms) / 1000.0::DOUBLE, 6) AS median_latency_s FROM (SELECT *, first_value(CASE WHEN sender <> '{asker}' THEN ms END IGNORE NULLS) OVER (PARTITION BY contact_id ORDER BY ms, seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nx FROM msg_events) WHERE sender = '{asker}' AND nx IS NOT NULL{group}", "msg_events")
+plain("a14_top_emoji", lambda s, d: stats.top_emoji(A.msg_docs(s, d), ["contact_id"]), None)
+plain("j11_next_reply", lambda s, d: stats.replies(A.msg_events(s, d)), "SELECT contact_id, seq, nx - ms AS wait_ms FROM (SELECT *, first_value(CASE WHEN sender = 'me' THEN ms END IGNORE NULLS) OVER (PARTITION BY contact_id ORDER BY ms, seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nx FROM msg_events) WHERE sender = 'them' AND nx IS NOT NULL", "msg_events")
+plain("x01_languages", lambda s, d: stats.languages(A.msg_docs(s, d)), f"SELECT contact_id, CASE WHEN regexp_matches(text, '{HAN}') THEN 'zh' WHEN regexp_matches(text, '[A-Za-z]') THEN 'en' ELSE 'other' END AS language, count(*) AS messages FROM msg_docs WHERE length(text) > 0 GROUP BY 1, 2", "msg_docs")
+plain("x02_tokens", lambda s, d: A.msg_docs(s, d).select("seq", F.array_join(tokens(F.col("text")), " ").alias("tokens")), f"SELECT seq, array_to_string({TOK}, ' ') AS tokens FROM msg_docs", "msg_docs")
+plain("x03_redact", lambda s, d: A.msg_docs(s, d).select("seq", redact(F.col("text")).alias("text")), r"SELECT seq, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b', '[redacted-email]', 'g'), '(\+?\d[\d\s\-().]{7,}\d)', '[redacted-phone]', 'g'), '(?i)\b\d{1,5}\s+[A-Za-z][A-Za-z\s]{2,40}(Road|Rd|Street|St|Avenue|Ave|Lane|Ln|Drive|Dr|Boulevard|Blvd|Crescent|Place|Pl|Way|Court|Ct|Highway|Hwy)\b\.?', '[redacted-address]', 'g'), '\bsk-[A-Za-z0-9]{20,}\b', '[redacted-secret]', 'g'), '\bAKIA[0-9A-Z]{12,}\b', '[redacted-secret]', 'g'), '\bghp_[A-Za-z0-9]{20,}\b', '[redacted-secret]', 'g'), '\b[A-Za-z0-9_-]{32,}\.[A-Za-z0-9_-]{32,}\.[A-Za-z0-9_-]{32,}\b', '[redacted-secret]', 'g') AS text FROM msg_docs", "msg_docs")
+plain("p26_slugify", lambda s, d: A.contacts(s, d).select("contact_id", slugify(F.col("contact_name"), F.col("contact_id")).alias("slug")), "SELECT contact_id, 'user-' || contact_id AS slug FROM contacts", "contacts")
+plain("p27_result_file", lambda s, d: A.contacts(s, d).select("contact_id", result_file_name(F.col("contact_name")).alias("file")), "SELECT contact_id, rtrim(translate(base64(encode(contact_name)), '+/', '-_'), '=') || '.json' AS file FROM contacts", "contacts")
+
+plain("a21_group_tone", lambda s, d: groups.tone_counts(A.group_msgs(s, d)), "SELECT count(*) AS total_messages, count(*) FILTER (sender = 'me') AS messages_from_me, count(DISTINCT group_id) AS groups FROM group_msgs", "group_msgs")
+plain("a22_group_contexts", lambda s, d: groups.contexts(A.group_msgs(s, d)), "SELECT group_id, count(*) AS messages, count(*) FILTER (sender = 'me') AS messages_from_me, count(DISTINCT participant_id) AS participants, min(ms) AS first_at, max(ms) AS last_at FROM group_msgs GROUP BY group_id", "group_msgs")
+plain("t07_top_participants", lambda s, d: groups.top_participants(A.group_msgs(s, d)), "SELECT group_id, participant_id, messages, participant_name, rank FROM (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY messages DESC, seen) AS rank FROM (SELECT group_id, participant_id, count(*) AS messages, min_by(participant_name, seq) AS participant_name, min(seq) AS seen FROM group_msgs WHERE sender <> 'me' GROUP BY 1, 2)) WHERE rank <= 20", "group_msgs")
+STOP = "(" + ", ".join(f"'{w}'" for w in groups.STOPWORDS) + ")"
+plain("a23_group_terms", lambda s, d: groups.top_terms(A.group_msgs(s, d)), None)
+ORACLES["a23_group_terms"] = f"WITH group_msgs AS ({SQL['group_msgs']}), tt AS (SELECT group_id, seq, {TOK} AS t FROM group_msgs WHERE length(text) > 0), rr AS (SELECT group_id, seq, unnest(t) AS term, generate_subscripts(t, 1) AS pos FROM tt), cc AS (SELECT group_id, term, count(*) AS count, min(seq * 1000000 + pos) AS seen FROM rr WHERE length(term) > 1 AND term NOT IN {STOP} GROUP BY 1, 2) SELECT group_id, term, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY count DESC, seen) AS rank FROM cc) WHERE rank <= 25"
+plain("a25_group_signals", lambda s, d: groups.signals(A.group_msgs(s, d), A.contacts(s, d)), "SELECT c.contact_id, count(*) AS shared_groups, sum(n)::BIGINT AS messages_from_participant, coalesce(sum(own), 0)::BIGINT AS messages_from_me FROM contacts c JOIN (SELECT group_id, participant_id, 2 * count(*) AS n FROM group_msgs GROUP BY 1, 2) p ON p.participant_id = c.contact_id LEFT JOIN (SELECT group_id, count(*) AS own FROM group_msgs WHERE sender = 'me' GROUP BY 1) o ON o.group_id = p.group_id GROUP BY 1", "contacts", "group_msgs")
+plain("a24_mentions", lambda s, d: groups.mentions(A.group_msgs(s, d).withColumn("sender", F.lit("me")), s.createDataFrame([("the",), ("and",), ("of",), ("x",)], "term string")), "SELECT term, sum(k)::BIGINT AS count FROM (SELECT term, (length(text) - length(replace(text, term, ''))) // length(term) AS k FROM group_msgs, (VALUES ('the'), ('and'), ('of')) t(term) WHERE text IS NOT NULL) GROUP BY term HAVING sum(k) > 0", "group_msgs")
+
+
+def topic_sql() -> str:
+    each = " UNION ALL ".join(f"SELECT contact_id, '{t}' AS topic, " + " + ".join(rf"len(regexp_extract_all(text, '(?i)\b{x}\b'))" if x.isascii() else f"len(regexp_extract_all(text, '{x}'))" for x in w.split()) + " AS k FROM msg_docs WHERE length(text) > 0" for t, w in sampling.TOPICS.items())
+    return f"SELECT contact_id, topic, count(*) FILTER (k > 0) AS message_count, sum(k)::BIGINT AS match_count FROM ({each}) GROUP BY 1, 2"
+
+
+plain("a26_topic_profile", lambda s, d: sampling.topic_profile(A.msg_docs(s, d), ["contact_id"]), topic_sql(), "msg_docs")
+plain("a27_text_chars", lambda s, d: sampling.total_text_chars(A.msg_docs(s, d), ["contact_id"]), f"SELECT contact_id, sum({ln})::BIGINT AS chars FROM msg_docs GROUP BY 1", "msg_docs")
+STRIDE = "list_transform(range({q}), lambda i: floor(i * ({c} / {q}::DOUBLE))::BIGINT)"
+plain("m01_uniform_stride", lambda s, d: sampling.uniform_stride(A.msg_events(s, d), ["contact_id"], 7).select("contact_id", "seq"), "SELECT contact_id, seq FROM (SELECT *, count(*) OVER (PARTITION BY contact_id) AS c, row_number() OVER (PARTITION BY contact_id ORDER BY ms, seq) - 1 AS r FROM msg_events) WHERE c <= 7 OR list_contains(" + STRIDE.format(q="7", c="c") + ", r)", "msg_events")
+plain("m02_time_stratified", lambda s, d: sampling.time_stratified(A.msg_events(s, d), ["contact_id"], 23).select("contact_id", "seq"), None)
+ORACLES["m02_time_stratified"] = f"WITH msg_events AS ({SQL['msg_events']}), a AS (SELECT *, count(*) OVER w AS n, min(ms) OVER w AS lo, max(ms) OVER w AS hi FROM msg_events WINDOW w AS (PARTITION BY contact_id)), b AS (SELECT *, CASE WHEN hi = lo THEN 0 ELSE least(4, floor((ms - lo) / ((hi - lo) / 5.0::DOUBLE)))::INT END AS b FROM a), c AS (SELECT *, count(*) OVER (PARTITION BY contact_id, b) AS k, row_number() OVER (PARTITION BY contact_id, b ORDER BY ms, seq) - 1 AS r, CASE WHEN hi = lo THEN 23 ELSE 4 + (b < 3)::INT END AS q FROM b), d AS (SELECT *, n <= 23 OR k <= q OR list_contains({STRIDE.format(q='q', c='k')}, r) AS t FROM c), e AS (SELECT *, CASE WHEN n <= 23 THEN 0 ELSE greatest(0, 23 - sum(t::INT) OVER (PARTITION BY contact_id)) END::BIGINT AS g, row_number() OVER (PARTITION BY contact_id, t ORDER BY ms, seq) - 1 AS r2, count(*) OVER (PARTITION BY contact_id, t) AS m FROM d) SELECT contact_id, seq FROM e WHERE t OR (g > 0 AND (m <= g OR list_contains({STRIDE.format(q='g', c='m')}, r2)))"
+plain("m03_topic_aware", lambda s, d: sampling.topic_aware(A.msg_docs(s, d), 20), None)
+plain("m05_persona_quota", lambda s, d: sampling.persona_quota(A.classified(s, d), 800), "SELECT contact_id, label, lq AS label_quota, lq // c + (j < lq % c)::BIGINT AS quota FROM (SELECT contact_id, label, 800 // l + (i < 800 % l)::BIGINT AS lq, c, row_number() OVER (PARTITION BY label ORDER BY seq) - 1 AS j FROM classified JOIN (SELECT label, count(*) AS c, row_number() OVER (ORDER BY min(seq)) - 1 AS i, count(*) OVER () AS l FROM classified GROUP BY label) USING (label))", "classified")
+plain("g01_tasks", lambda s, d: classify.tasks(A.contacts(s, d), A.classified(s, d), A.results(s, d)).select("contact_id", "result_file"), "SELECT contact_id, rtrim(translate(base64(encode(contact_id)), '+/', '-_'), '=') || '.json' AS result_file FROM contacts WHERE contact_id NOT IN (SELECT contact_id FROM classified) AND contact_id NOT IN (SELECT contact_id FROM results)", "classified", "results")
+plain("g02_shards", lambda s, d: classify.shards(classify.tasks(A.contacts(s, d), A.classified(s, d), A.results(s, d))).select("contact_id", "shard_index"), "SELECT contact_id, (row_number() OVER (ORDER BY message_count_total DESC, contact_id) - 1) // 5 + 1 AS shard_index FROM contacts WHERE contact_id NOT IN (SELECT contact_id FROM classified) AND contact_id NOT IN (SELECT contact_id FROM results)", "classified", "results")
+plain("g03_merge", lambda s, d: classify.merge(A.contacts(s, d), A.classified(s, d), A.results(s, d)), "SELECT contact_id, label, label IS NULL AS missing, coalesce(k > 1, false) AS duplicate FROM (SELECT c.contact_id, CASE WHEN e.label_source = 'manual_override' THEN e.label ELSE coalesce(r.label, e.label) END AS label, k FROM contacts c LEFT JOIN classified e USING (contact_id) LEFT JOIN (SELECT contact_id, max_by(label, seq) AS label, count(*) AS k FROM results GROUP BY 1) r USING (contact_id))", "classified", "results")
+plain("a28_duplicates", lambda s, d: A.results(s, d).groupBy("contact_id").count().where("count > 1").select("contact_id"), "SELECT contact_id FROM results GROUP BY 1 HAVING count(*) > 1", "results")
+plain("a29_progress", lambda s, d: classify.progress(A.contacts(s, d), A.results(s, d)), "SELECT (SELECT count(*) FROM contacts) AS total, count(*) AS classified, 0::BIGINT AS extra, count(*) FILTER (k > 1) AS duplicates, (SELECT count(*) FROM contacts) - count(*) AS remaining FROM (SELECT contact_id, count(*) AS k FROM results GROUP BY 1)", "results")
+plain("a31_manifest", lambda s, d: classify.manifest(A.contacts(s, d), A.classified(s, d), A.results(s, d)), "SELECT (SELECT count(*) FROM contacts) AS total, (SELECT count(*) FROM classified) AS existing, (SELECT count(DISTINCT contact_id) FROM results) AS completed, count(*) AS remaining, ceil(count(*) / 5.0)::BIGINT AS shards FROM contacts WHERE contact_id NOT IN (SELECT contact_id FROM classified) AND contact_id NOT IN (SELECT contact_id FROM results)", "classified", "results")
+plain("r05_label_summary", lambda s, d: classify.label_summary(A.classified(s, d)), "SELECT label, count(*) AS contacts, count(*) FILTER (label_source = 'manual_override') AS manual_overrides FROM classified GROUP BY 1", "classified")
+plain("r01_r04_confidence", lambda s, d: A.classified(s, d).select("contact_id", classify.bounded_confidence((F.col("seq") % 10) / 10.0, F.col("seq") % 4, F.col("seq") % 5, F.col("span_days"), F.col("label_source") == "manual_override", F.col("seq") % 7 == 0).alias("confidence")), "SELECT contact_id, round(CASE WHEN label_source = 'manual_override' THEN 1.0 WHEN span_days < 30 OR seq % 7 = 0 THEN least(c, 0.5) ELSE c END::DOUBLE, 6) AS confidence FROM (SELECT *, CASE WHEN seq % 4 >= 2 OR seq % 5 >= 3 THEN (seq % 10) / 10.0 ELSE least((seq % 10) / 10.0, 0.7) END AS c FROM classified)", "classified")
+plain("r11_severity", lambda s, d: A.classified(s, d).select("contact_id", classify.decayed(F.when(F.col("seq") % 2 == 0, "high").otherwise("medium"), F.col("seq")).alias("severity")), "SELECT contact_id, CASE WHEN seq < 30 THEN s WHEN seq <= 90 THEN CASE WHEN s = 'high' THEN 'medium' ELSE 'low' END ELSE 'low' END AS severity FROM (SELECT *, CASE WHEN seq % 2 = 0 THEN 'high' ELSE 'medium' END AS s FROM classified)", "classified")
+plain("r10_half_years", lambda s, d: A.msg_events(s, d).groupBy("contact_id", classify.half_year(F.col("timestamp")).alias("half")).agg(F.count("*").alias("messages")), "SELECT contact_id, (year(t) * 2 + floor((month(t) - 1) / 2.0 / 3))::BIGINT AS half, count(*) AS messages FROM (SELECT *, make_timestamp(ms * 1000) AS t FROM msg_events) GROUP BY 1, 2", "msg_events")
+plain("r20_habits", lambda s, d: stats.mine(A.msg_docs(s, d)).groupBy("contact_id").agg((F.count_if(F.col("text").contains("\n")) / F.count("*")).alias("newline_rate"), (F.count_if(F.length("text") <= 25) / F.count("*")).alias("short_share"), (F.count_if(F.hour("timestamp") < 4) / F.count("*")).alias("late_share")), "SELECT contact_id, round(count(*) FILTER (contains(text, chr(10))) / count(*)::DOUBLE, 6) AS newline_rate, round(count(*) FILTER (length(text) <= 25) / count(*)::DOUBLE, 6) AS short_share, round(count(*) FILTER (hour(make_timestamp(ms * 1000)) < 4) / count(*)::DOUBLE, 6) AS late_share FROM msg_docs GROUP BY 1", "msg_docs")
+plain("r17_contact_index", lambda s, d: A.contacts(s, d).select("contact_id", "last_message_at").orderBy(F.desc("last_message_at"), "contact_id"), "SELECT contact_id, last_ms AS last_message_at FROM contacts", "contacts")
+plain("g07_violations", lambda s, d: classify.violations(A.classified(s, d).withColumn("confidence", (F.col("seq") % 13) / 10.0).withColumn("label", F.when(F.col("seq") % 11 == 0, "enemy").otherwise(F.col("label")))), "SELECT contact_id, 'label' AS path, 'invalid_enum' AS code FROM classified WHERE seq % 11 = 0 UNION ALL SELECT contact_id, 'confidence', 'out_of_range' FROM classified WHERE seq % 13 > 10", "classified")
