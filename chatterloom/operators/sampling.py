@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import ascii_edges, count_of, has_text, utf16_length
+from ..functions.text import HAN, ascii_edges, count_of, has_text, utf16_length
 
 BUCKETS = 5
 # The terms of each topic.
@@ -25,6 +25,17 @@ def term_pattern(term: str) -> str:
     return "(?i)" + ascii_edges(term) if term.isascii() else term
 
 
+def topic_count(text: Column, words: str) -> Column:
+    """Uses of a topic's terms: ASCII terms as whole words, which one alternation counts; the others as substrings,
+    looked for only in texts that hold Han characters."""
+    whole = [w for w in words.split() if w.isascii()]
+    parts = [w for w in words.split() if not w.isascii()]
+    n = count_of(text, term_pattern("|".join(whole))) if whole else F.lit(0).cast("long")
+    if parts:
+        n = n + F.when(text.rlike(HAN), sum((count_of(text, w) for w in parts), F.lit(0))).otherwise(0)
+    return n
+
+
 def picked(n: Column, count: Column, rank: Column) -> Column:
     """Whether 0-based rank is floor(i * (count / n)) for an i below n, for n below count."""
     step = count.cast("double") / n
@@ -78,7 +89,7 @@ def persona_quota(classified: DataFrame, total: int) -> DataFrame:
 def topic_profile(m: DataFrame, scope: list[str]) -> DataFrame:
     """For each scope and topic, messages with a term of it and terms in all."""
     d = m.where(has_text(F.col("text")))
-    each = F.array(*[F.struct(F.lit(t).alias("topic"), sum((count_of(F.col("text"), term_pattern(x)) for x in words.split()), F.lit(0)).alias("k")) for t, words in TOPICS.items()])
+    each = F.array(*[F.struct(F.lit(t).alias("topic"), topic_count(F.col("text"), words).alias("k")) for t, words in TOPICS.items()])
     return d.select(*scope, F.explode(each).alias("e")).groupBy(*scope, "e.topic").agg(F.count_if(F.col("e.k") > 0).alias("message_count"), F.sum("e.k").alias("match_count"))
 
 
@@ -112,7 +123,7 @@ def topic_aware(m: DataFrame, n: int, buckets: int = BUCKETS) -> DataFrame:
     Each choice depends on those before, so a contact's places and topic flags (not its texts) go to one function."""
     n = max(1, n)
     text = F.coalesce("text", F.lit(""))
-    flags = F.array(*[F.lit(False) | sum((count_of(text, term_pattern(x)) for x in w.split()), F.lit(0)).cast("boolean") for w in TOPICS.values()])
+    flags = F.array(*[(topic_count(text, w) > 0) for w in TOPICS.values()])
     rows = m.select("contact_id", "seq", F.unix_millis("timestamp").alias("ms"), flags.alias("topics"))
 
     def choose(p: pd.DataFrame) -> pd.DataFrame:
