@@ -59,7 +59,7 @@ def _blob(texts: dict[bytes, list[np.ndarray]]) -> bytes:
     return packed(np.array([len(t) for _, t in each], "<i8"), np.array([len(i) for i, _ in each], "<i8"), np.concatenate([i for i, _ in each]) if each else b"", b"".join(t for _, t in each))
 
 
-def buckets_for(docs: DataFrame, each: int = 12 << 20) -> int:
+def buckets_for(docs: DataFrame, each: int = 8 << 20) -> int:
     """Buckets of about `each` bytes of text: homes and buckets meet in pairs, so their number follows the data, not
     the partitions. Where there are few data, as many as partitions, but 64 at most."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

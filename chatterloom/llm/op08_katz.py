@@ -204,7 +204,7 @@ def score(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Rows whose crc32(doc_id as text) mod
     folds is `held` are not learnt from; folds 0: all are."""
     docs = id_text(docs)
-    buckets = buckets_for(docs)
+    buckets = buckets_for(docs, 5 << 20)  # a home holds its pairs of words as arrays, some 40 bytes a byte of text
     homes = settle(docs, buckets)
     one = answered(asked(homes, lambda src, t: Home(t, folds, held).ask_words(buckets)), answer_words, buckets)
     s = totals(one, TOP + 5)
