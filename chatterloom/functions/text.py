@@ -99,10 +99,10 @@ def redact(c: Column, email: bool = True, phone: bool = True, address: bool = Tr
     for p in SECRETS if secrets else ():
         c = F.regexp_replace(c, ascii_pattern(p), "[redacted-secret]")
     for p in custom or ():
-        flags = p.get("flags") or ("" if p.get("is_regex") else "gi")
+        flags = p.get("flags", "gi") or ("" if p.get("is_regex") else "gi")
         body = p["pattern"] if p.get("is_regex") else "".join("\\" + x if x in r".*+?^${}()|[]\\" else x for x in p["pattern"])
         body = ("(?iu)" if "i" in flags else "") + body
-        new = p["replacement"].replace("\\", "\\\\").replace("$", "\\$")
+        new = p.get("replacement", "[redacted-custom]").replace("\\", "\\\\").replace("$", "\\$")
         c = F.regexp_replace(c, body, new) if "g" in flags else F.regexp_replace(c, rf"(?s)\A(.*?)(?:{body})", "$1" + new)
     return c
 
@@ -117,7 +117,7 @@ def strip_quote(c: Column) -> Column:
     tail = F.rtrim(F.substring_index(c, "[引用", -1))
     quoted = c.contains("[引用") & tail.endswith("]") & (tail.contains(":") | tail.contains("："))
     kept = F.substring(c, F.lit(1), F.length(c) - F.length(F.substring_index(c, "[引用", -1)) - 3)
-    return F.nullif(F.when(quoted, F.trim(kept)).otherwise(c), F.lit(""))
+    return F.nullif(F.when(quoted, right_trim(kept)).otherwise(c), F.lit(""))
 
 
 def slug(c: Column) -> Column:

@@ -18,8 +18,8 @@ def tasks(contacts: DataFrame, classified: DataFrame, results: DataFrame) -> Dat
 
 
 def shards(t: DataFrame, size: int = 5) -> DataFrame:
-    """Numbered shards of `size` tasks, most messages first. The numbering counts by ranges of the sort key, so that
-    no single task holds all rows: an offset for each range is added to the place within it."""
+    """Numbered shards of `size` tasks, most messages first. One ordered window without a key: a single task reads the rows, one a
+    contact, so keep their columns few."""
     size = max(1, size)
     order = [F.desc("message_count_total"), F.asc("contact_id")]
     d = t.withColumn("__part", F.lit(0)).withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1)
