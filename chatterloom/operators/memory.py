@@ -5,8 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Sources of a correction, the strongest first.
-CORRECTIONS = "user_correction manual_override manual_note manual_hint redaction memory_file persona_file classification group_signal statistics sample default".split()
+# Sources of a correction, the strongest first; and how each section of a document is merged (open
+# threads and sensitivities have rules of their own: open_threads here, decayed in classify).
+CORRECTIONS = "agent_hard agent_soft person_hard person_soft tone_register_hard tone_register_soft tone_hard tone_soft agent_body person_body tone_register_table tone_body".split()
+STRATEGIES = {
+    "quick rules": "replace",
+    "lexical fingerprint": "replace",
+    "punctuation and caps": "replace",
+    "emoji": "replace",
+    "message structure": "replace",
+    "conversational moves": "replace",
+    "register table": "replace",
+    "timing and latency": "replace",
+    "hard don'ts": "append",
+    "corrections": "preserve",
+    "manual notes": "preserve",
+    "address terms": "replace",
+    "timeline": "append",
+    "recurring topics": "replace",
+    "inside jokes": "append",
+    "communication rhythm": "replace",
+    "conflict patterns": "append",
+    "last state": "replace",
+    "snapshot": "replace",
+}
 
 
 def register_shifts(stats: DataFrame, rates: list[str], least_contacts: int = 2) -> DataFrame:
@@ -41,7 +63,7 @@ def last_messages(messages: DataFrame, n: int = 50) -> DataFrame:
     return messages.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= n).drop("__r")
 
 
-def merge_sections(old: DataFrame, new: DataFrame, strategies: dict[str, str]) -> DataFrame:
+def merge_sections(old: DataFrame, new: DataFrame, strategies: dict[str, str] = STRATEGIES) -> DataFrame:
     """contact_id, section, body (a list of lines) by each section's strategy: replace takes the new lines where
     there are any, append adds new lines that are not there yet, preserve keeps the old lines. Sections without a
     strategy are preserved."""
@@ -87,7 +109,7 @@ def strongest(corrections: DataFrame, order: list[str] = CORRECTIONS) -> DataFra
 
 def anchored_rate(rate: Column) -> Column:
     """A rate as "1 per N messages (X.Y%)"."""
-    return F.when(rate > 0, F.format_string("1 per %d messages (%.1f%%)", F.round(1 / F.when(rate > 0, rate)).cast("long"), rate * 100)).otherwise("never (0.0%)")
+    return F.when(rate > 0, F.format_string("1 per %d messages (%.1f%%)", F.round(1 / F.when(rate > 0, rate)).cast("long"), F.round(rate * 100, 1))).otherwise("never (0.0%)")
 
 
 def too_long(rows: DataFrame, quote: int = 30, evidence: int = 60) -> DataFrame:

@@ -53,9 +53,10 @@ def uniform_stride(m: DataFrame, scope: list[str], n: int, order: tuple = ("time
     return d.where((F.col("__n") <= n) | picked(F.lit(n), F.col("__n"), F.col("__r"))).drop("__n", "__r")
 
 
-def time_stratified(m: DataFrame, scope: list[str], n: int, buckets: int = BUCKETS) -> DataFrame:
+def time_stratified(m: DataFrame, scope: list[str], n: int | Column, buckets: int = BUCKETS) -> DataFrame:
     """At most n messages for each scope, evenly from equal spans of time; what sparse spans lack comes from the rest
-    by stride."""
+    by stride. n may be a column that is the same for all rows of a scope."""
+    n = F.lit(n) if isinstance(n, int) else n
     w = Window.partitionBy(*scope)
     ms = F.unix_millis("timestamp")
     d = m.withColumn("__n", F.count("*").over(w)).withColumn("__lo", F.min(ms).over(w)).withColumn("__hi", F.max(ms).over(w))
@@ -65,11 +66,11 @@ def time_stratified(m: DataFrame, scope: list[str], n: int, buckets: int = BUCKE
     d = d.withColumn("__b", b.cast("int"))
     bw = Window.partitionBy(*scope, "__b")
     d = d.withColumn("__k", F.count("*").over(bw)).withColumn("__r", F.row_number().over(bw.orderBy("timestamp", "seq")) - 1)
-    quota = F.when(flat, F.lit(n)).otherwise(F.lit(n // buckets) + (F.col("__b") < n % buckets).cast("int"))
+    quota = F.when(flat, n).otherwise(F.floor(n / buckets) + (F.col("__b") < n % buckets).cast("int"))
     take = (F.col("__n") <= n) | (F.col("__k") <= quota) | picked(quota, F.col("__k"), F.col("__r"))
     d = d.withColumn("__t", F.coalesce(take, F.lit(False)))
     taken = F.sum(F.col("__t").cast("long")).over(w)
-    d = d.withColumn("__gap", F.when(F.col("__n") <= n, F.lit(0)).otherwise(F.greatest(F.lit(0), F.lit(n) - taken)))
+    d = d.withColumn("__gap", F.when(F.col("__n") <= n, F.lit(0)).otherwise(F.greatest(F.lit(0), n - taken)))
     rw = Window.partitionBy(*scope, "__t")
     d = d.withColumn("__q", F.row_number().over(rw.orderBy("timestamp", "seq")) - 1).withColumn("__m", F.count("*").over(rw))
     extra = ~F.col("__t") & ((F.col("__m") <= F.col("__gap")) & (F.col("__gap") > 0) | picked(F.col("__gap"), F.col("__m"), F.col("__q")))
@@ -147,3 +148,25 @@ def topic_aware(m: DataFrame, n: int, buckets: int = BUCKETS) -> DataFrame:
         return pd.DataFrame({"contact_id": p.contact_id.iloc[0], "seq": [x[1] for x in got]})
 
     return rows.groupBy("contact_id").applyInPandas(choose, "contact_id string, seq long")
+
+
+def sample_plan(m: DataFrame, cutoff: int = 30_000) -> DataFrame:
+    """contact_id, chars and strategy: full for contacts of at most `cutoff` characters of text, else by topic."""
+    chars = total_text_chars(m, ["contact_id"])
+    return chars.withColumn("strategy", F.when(F.col("chars") <= cutoff, "full").otherwise("topic_aware_time_stratified"))
+
+
+def contact_sample(m: DataFrame, n: int = 200, cutoff: int = 30_000) -> DataFrame:
+    """contact_id, seq of each contact's sample by its plan, from messages with a text."""
+    m = m.where(F.col("text").isNotNull())
+    d = m.join(sample_plan(m, cutoff).select("contact_id", "strategy"), "contact_id")
+    whole = d.where("strategy = 'full'").select("contact_id", "seq")
+    return whole.unionByName(topic_aware(d.where("strategy <> 'full'").drop("strategy"), n))
+
+
+def persona_sample(m: DataFrame, classified: DataFrame, total: int = 800) -> DataFrame:
+    """contact_id, seq, label: own messages with a text, by time, as many for each contact as its quota says.
+    Unclassified contacts give none."""
+    quota = persona_quota(classified.where("label <> 'unclassified'"), total).select("contact_id", "label", F.col("quota").alias("__quota"))
+    d = m.where((F.col("sender") == "me") & F.col("text").isNotNull()).join(quota, "contact_id")
+    return time_stratified(d, ["contact_id"], F.col("__quota")).select("contact_id", "seq", "label")
