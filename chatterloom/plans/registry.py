@@ -136,10 +136,13 @@ plain("r20_habits", lambda s, d: stats.mine(A.msg_docs(s, d)).groupBy("contact_i
 plain("r17_contact_index", lambda s, d: A.contacts(s, d).select("contact_id", "last_message_at").orderBy(F.desc("last_message_at"), "contact_id"), "SELECT contact_id, last_ms AS last_message_at FROM contacts", "contacts")
 plain("g07_violations", lambda s, d: classify.violations(A.classified(s, d).withColumn("confidence", (F.col("seq") % 13) / 10.0).withColumn("label", F.when(F.col("seq") % 11 == 0, "enemy").otherwise(F.col("label")))), "SELECT contact_id, 'label' AS path, 'invalid_enum' AS code FROM classified WHERE seq % 11 = 0 UNION ALL SELECT contact_id, 'confidence', 'out_of_range' FROM classified WHERE seq % 13 > 10", "classified")
 
-K = F.col("contact_id").cast("long")
 N = "contact_id::BIGINT"
 
 
+def number():
+    return F.col("contact_id").cast("long")
+
+
 def shares(s: SparkSession, d: str) -> DataFrame:
     """Labelled contacts with the share of own messages."""
     c = A.contacts(s, d).select("contact_id", (F.col("message_count_from_me") / F.col("message_count_total")).alias("own"))
@@ -152,9 +155,9 @@ def word_counts(s: SparkSession, d: str) -> DataFrame:
 
 def sections(s: SparkSession, d: str, new: bool) -> DataFrame:
     """A made-up section for each contact, old (numbers not divisible by 5) or new (not by 7)."""
-    section = F.element_at(F.array(*map(F.lit, ("snapshot", "timeline", "corrections"))), (K % 3 + 1).cast("int"))
+    section = F.element_at(F.array(*map(F.lit, ("snapshot", "timeline", "corrections"))), (number() % 3 + 1).cast("int"))
     body = F.array(F.lit("a"), F.concat(F.lit("n" if new else "o"), "contact_id"))
-    return A.contacts(s, d).where(K % (7 if new else 5) != 0).select("contact_id", section.alias("section"), body.alias("body"))
+    return A.contacts(s, d).where(number() % (7 if new else 5) != 0).select("contact_id", section.alias("section"), body.alias("body"))
 
 
 WORDS = f"tt AS (SELECT contact_id, unnest({TOK}) AS term FROM msg_docs WHERE {HASTEXT}), cc AS (SELECT contact_id, term, count(*) AS n FROM tt GROUP BY 1, 2)"
@@ -166,12 +169,17 @@ ORACLES["r09_recurring"] = f"WITH msg_docs AS ({SQL['msg_docs']}), {WORDS} SELEC
 plain("r09_open_threads", lambda s, d: memory.open_threads(A.contacts(s, d), F.lit("2024-04-29").cast("date")).select("contact_id"), "SELECT contact_id FROM contacts WHERE date_diff('day', make_timestamp(last_ms * 1000)::DATE, DATE '2024-04-29') BETWEEN 0 AND 90", "contacts")
 plain("r09_last_messages", lambda s, d: memory.last_messages(A.msg_events(s, d)).select("contact_id", "seq"), "SELECT contact_id, seq FROM (SELECT *, row_number() OVER (PARTITION BY contact_id ORDER BY ms DESC, seq DESC) AS r FROM msg_events) WHERE r <= 50", "msg_events")
 plain("r12_merge_sections", lambda s, d: memory.merge_sections(sections(s, d, False), sections(s, d, True)).select("contact_id", "section", F.array_join("body", "|").alias("body")), f"SELECT contact_id, s AS section, CASE WHEN a AND b THEN CASE s WHEN 'snapshot' THEN 'a|n' || contact_id WHEN 'timeline' THEN 'a|o' || contact_id || '|n' || contact_id ELSE 'a|o' || contact_id END WHEN a THEN 'a|o' || contact_id ELSE 'a|n' || contact_id END AS body FROM (SELECT contact_id, (['snapshot', 'timeline', 'corrections'])[{N} % 3 + 1] AS s, {N} % 5 <> 0 AS a, {N} % 7 <> 0 AS b FROM contacts) WHERE a OR b", "contacts")
-plain("r13_roll_back", lambda s, d: memory.roll_back(A.classified(s, d).select("contact_id", "label", (K % 4).alias("sensitivities")), A.classified(s, d).where(K % 5 != 0).select("contact_id", F.when(K % 2 == 0, "friend").otherwise(F.col("label")).alias("label"), (K % 3).alias("sensitivities"))), f"SELECT round(c, 6) AS changed, round(g, 6) AS deleted, c > 0.3 OR g > 0.5 AS roll_back FROM (SELECT count(*) FILTER (k % 5 <> 0 AND k % 2 = 0 AND label <> 'friend') / greatest(count(*) FILTER (k % 5 <> 0), 1)::DOUBLE AS c, sum(greatest(k % 4 - CASE WHEN k % 5 <> 0 THEN k % 3 ELSE 0 END, 0)) / greatest(sum(k % 4), 1)::DOUBLE AS g FROM (SELECT label, {N} AS k FROM classified))", "classified")
-plain("r14_confidence_drops", lambda s, d: memory.confidence_drops(A.contacts(s, d).select("contact_id", (K % 10 / 10.0).alias("confidence")), A.contacts(s, d).select("contact_id", (K % 7 / 10.0).alias("confidence"))), f"SELECT contact_id, round({N} % 10 / 10.0::DOUBLE, 6) AS before, round({N} % 7 / 10.0::DOUBLE, 6) AS after FROM contacts WHERE {N} % 10 - {N} % 7 > 1", "contacts")
+plain("r13_roll_back", lambda s, d: memory.roll_back(A.classified(s, d).select("contact_id", "label", (number() % 4).alias("sensitivities")), A.classified(s, d).where(number() % 5 != 0).select("contact_id", F.when(number() % 2 == 0, "friend").otherwise(F.col("label")).alias("label"), (number() % 3).alias("sensitivities"))), f"SELECT round(c, 6) AS changed, round(g, 6) AS deleted, c > 0.3 OR g > 0.5 AS roll_back FROM (SELECT count(*) FILTER (k % 5 <> 0 AND k % 2 = 0 AND label <> 'friend') / greatest(count(*) FILTER (k % 5 <> 0), 1)::DOUBLE AS c, sum(greatest(k % 4 - CASE WHEN k % 5 <> 0 THEN k % 3 ELSE 0 END, 0)) / greatest(sum(k % 4), 1)::DOUBLE AS g FROM (SELECT label, {N} AS k FROM classified))", "classified")
+plain("r14_confidence_drops", lambda s, d: memory.confidence_drops(A.contacts(s, d).select("contact_id", (number() % 10 / 10.0).alias("confidence")), A.contacts(s, d).select("contact_id", (number() % 7 / 10.0).alias("confidence"))), f"SELECT contact_id, round({N} % 10 / 10.0::DOUBLE, 6) AS before, round({N} % 7 / 10.0::DOUBLE, 6) AS after FROM contacts WHERE {N} % 10 - {N} % 7 > 1", "contacts")
 plain("r15_archived", lambda s, d: memory.archived(A.classified(s, d), stats.passing(A.contacts(s, d), 65, 20)), "SELECT contact_id FROM classified WHERE contact_id NOT IN (SELECT contact_id FROM contacts WHERE message_count_total >= 65 AND message_count_from_me >= 20 AND message_count_from_them >= 20)", "contacts", "classified")
-plain("r16_unique_slugs", lambda s, d: classify.unique_slugs(A.contacts(s, d).select("contact_id", F.concat(F.lit("user-"), (K % 100).cast("string")).alias("slug"))), f"SELECT contact_id, slug || CASE WHEN count(*) OVER (PARTITION BY slug) > 1 THEN '-' || left(sha256(contact_id), 6) ELSE '' END AS slug FROM (SELECT contact_id, 'user-' || {N} % 100 AS slug FROM contacts)", "contacts")
-SOURCES = F.element_at(F.array(*map(F.lit, [*memory.CORRECTIONS, "elsewhere"])), (F.col("seq") % 13 + 1).cast("int"))
-plain("r18_strongest", lambda s, d: memory.strongest(A.msg_events(s, d).select("contact_id", F.lit("tone").alias("field"), F.col("seq").cast("string").alias("value"), SOURCES.alias("source"), "seq")), f"SELECT contact_id, 'tone' AS field, arg_min(seq, seq % 13 * 1000000000 - seq)::VARCHAR AS value, ({[*memory.CORRECTIONS, 'elsewhere']})[min(seq % 13) + 1] AS source FROM msg_events GROUP BY contact_id", "msg_events")
+plain("r16_unique_slugs", lambda s, d: classify.unique_slugs(A.contacts(s, d).select("contact_id", F.concat(F.lit("user-"), (number() % 100).cast("string")).alias("slug"))), f"SELECT contact_id, slug || CASE WHEN count(*) OVER (PARTITION BY slug) > 1 THEN '-' || left(sha256(contact_id), 6) ELSE '' END AS slug FROM (SELECT contact_id, 'user-' || {N} % 100 AS slug FROM contacts)", "contacts")
+
+
+def correction_source():
+    return F.element_at(F.array(*map(F.lit, [*memory.CORRECTIONS, "elsewhere"])), (F.col("seq") % 13 + 1).cast("int"))
+
+
+plain("r18_strongest", lambda s, d: memory.strongest(A.msg_events(s, d).select("contact_id", F.lit("tone").alias("field"), F.col("seq").cast("string").alias("value"), correction_source().alias("source"), "seq")), f"SELECT contact_id, 'tone' AS field, arg_min(seq, seq % 13 * 1000000000 - seq)::VARCHAR AS value, ({[*memory.CORRECTIONS, 'elsewhere']})[min(seq % 13) + 1] AS source FROM msg_events GROUP BY contact_id", "msg_events")
 plain("r19_anchored_rate", lambda s, d: A.contacts(s, d).select("contact_id", memory.anchored_rate(F.col("message_count_from_me") / F.col("message_count_total")).alias("rate")), "SELECT contact_id, CASE WHEN r > 0 THEN '1 per ' || round(1 / r)::BIGINT || printf(' messages (%.1f%%)', round(r * 100, 1)) ELSE 'never (0.0%)' END AS rate FROM (SELECT contact_id, message_count_from_me / message_count_total::DOUBLE AS r FROM contacts)", "contacts")
 plain("r21_too_long", lambda s, d: memory.too_long(A.msg_conv(s, d).select(F.col("seq").alias("id"), F.when(F.col("sender") == "me", "quote").otherwise("evidence").alias("kind"), "text")), "SELECT seq AS id, CASE WHEN sender = 'me' THEN 'quote' ELSE 'evidence' END AS kind, length(text) AS length FROM msg_conv WHERE length(text) > CASE WHEN sender = 'me' THEN 30 ELSE 60 END", "msg_conv")
 plain("m04_sample_plan", lambda s, d: sampling.sample_plan(A.msg_docs(s, d)), f"SELECT contact_id, chars, CASE WHEN chars <= 30000 THEN 'full' ELSE 'topic_aware_time_stratified' END AS strategy FROM (SELECT contact_id, sum({ln})::BIGINT AS chars FROM msg_docs GROUP BY 1)", "msg_docs")
