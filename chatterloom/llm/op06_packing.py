@@ -16,6 +16,7 @@ null doc_ids stay null. Texts are read whole. Other columns are not read.
 from __future__ import annotations
 
 import itertools
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import WordCache, vocabulary
+from .bpe import END, vocabulary
 from .common import id_text
 
 WINDOW = 2048
@@ -155,30 +156,56 @@ def plan(sizes: list[int], window: int = WINDOW) -> list[tuple[int, int, int, in
     return out
 
 
-def pieces(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
-    """A row for each piece of each document, as SCHEMA."""
+class WordIds(dict):
+    """Ids (as bytes) of pre-split words, by the tokenizers library. Emptied beyond `most` words."""
+
+    def __init__(self, path: str, most: int = 1_000_000, group: int = 1000):
+        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.special, self.most, self.group = Tokenizer.from_file(path), vocabulary(path).special, most, group
+        self.closes = np.array([t.endswith(END) for t in vocabulary(path).tokens])
+
+    def learn(self, need: set[str]) -> None:
+        """Makes sure that all of `need` are held. Words are encoded many at a time, parted by spaces: each ends in a
+        token that closes a word. Where the count of these is another one, each word is encoded alone."""
+        new = need - self.keys()
+        if new and len(self) > self.most:
+            self.clear()
+            new = need
+        special = [w for w in new if w in self.special]
+        plain = [w for w in new if w not in self.special]
+        for lo in range(0, len(plain), self.group):
+            some = plain[lo : lo + self.group]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.closes[ids]) + 1)
+            if len(ends) != len(some):
+                special.extend(some)
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(some, ends.tolist()):
+                self[w] = raw[at:end]
+                at = end
+        for w in special:
+            self[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def packed(batches):
-        vocab = vocabulary(path)
-        tokenizer: list = []
 
-        cache: dict[str, bytes] = {}
+_BUILT: dict[str, WordIds] = {}
 
-        def learn(words: set[str]) -> None:
-            if not tokenizer:
-                import os
 
-                os.environ["TOKENIZERS_PARALLELISM"] = "false"
-                from tokenizers import Tokenizer
+def word_ids(path: str) -> WordIds:
+    """Kept for each Python process, so that a worker's later tasks find the words of its earlier ones."""
+    if path not in _BUILT:
+        _BUILT[path] = WordIds(path)
+    return _BUILT[path]
 
-                tokenizer.append(Tokenizer.from_file(path))
-            if len(cache) > 400_000:
-                cache.clear()
-                words = words | need
-            new = list(words)
-            for w, e in zip(new, tokenizer[0].encode_batch_fast(new, add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
 
+def pieces(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
+    """A row for each piece of each document, as SCHEMA."""
+
+    def packed(batches):
+        vocab, cache = vocabulary(path), word_ids(path)
         held: list[tuple[int | None, bytes]] = []
         size = seq = 0
         base = None
@@ -200,9 +227,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
             ids = b.column("doc_id")
             for lo in range(0, b.num_rows, 500):
                 words = [vocab.words(t.as_py() or "") for t in b.column("text").slice(lo, 500)]
-                need = set(itertools.chain.from_iterable(words))
-                if new := need - cache.keys():
-                    learn(new)
+                cache.learn(set(itertools.chain.from_iterable(words)))
                 for k, ws in enumerate(words):
                     x = b"".join(map(cache.__getitem__, ws)) + end
                     held.append((ids[lo + k].as_py(), x))
