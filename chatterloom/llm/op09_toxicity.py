@@ -23,10 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _LETTER_APART, Words, id_text, mix, steps, written
+from . import op10_minhash_dedup
+from .common import _LETTER_APART, Words, id_text, steps, written
 from .op03_quality_classifier import logistic, sample
 
 MAX_TRAIN = 20_000
+#: Training rows of one label are near copies from this similarity of word shingles (per cent); at 38 of 64 equal
+#: coordinates a pair at 80 is missed with a probability of 4e-5.
+NEAR, NEAR_MATCHES = 80, 38
 #: Learnt stems at most, the weightiest first.
 MAX_STEMS = 4_000
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, CLAUSE = range(7)
@@ -152,23 +156,15 @@ def base_lexicon() -> dict[int, tuple[float, int]]:
 
 
 def one_of_each(rows: DataFrame) -> DataFrame:
-    """One row of each group of copies and near copies of a label: of those with the same least word hash, for two
-    orders of hashes. Else every word of a much copied text would look like a sign of its label."""
-    schema = "y int, text string, k1 long, k2 long"
-
-    def keyed(batches):
-        for b in batches:
-            texts = lowered(b.column("text"))
-            k1, k2 = np.zeros(len(texts), np.uint64), np.zeros(len(texts), np.uint64)
-            for lo, hi in steps(texts):
-                w = Words(texts[lo:hi], apart=_LETTER_APART)
-                full = np.flatnonzero(w.n)
-                if len(full):
-                    k1[lo + full] = np.minimum.reduceat(w.hash, w.first[full])
-                    k2[lo + full] = np.minimum.reduceat(mix(w.hash), w.first[full])
-            yield pa.RecordBatch.from_arrays([b.column("y"), b.column("text"), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))], names=["y", "text", "k1", "k2"])
-
-    return written(rows.mapInArrow(keyed, schema).dropDuplicates(["y", "k1"]).dropDuplicates(["y", "k2"]).select("y", "text"))
+    """One row of each group of copies and near copies of a label: equal texts, and texts that op10's links (exactly
+    confirmed shingle sets) connect. Else every word of a much copied text would look like a sign of its label. The
+    row with the least hash of its text stays, however the rows were dealt."""
+    text = F.coalesce("text", F.lit(""))
+    apart = written(rows.groupBy("y", F.xxhash64("y", text).alias("key"), F.sha2(text, 256).alias("digest")).agg(F.min(text).alias("text")))
+    marked = F.when(F.col("y") == 1, F.regexp_replace("text", r"[^\x20\x09-\x0D]+", "$0=1")).otherwise(F.col("text"))  # no links between labels
+    near = op10_minhash_dedup.groups(apart.select(F.col("key").alias("doc_id"), marked.alias("text")), NEAR, NEAR_MATCHES)
+    kept = near.where("doc_id = component_id").select(F.col("doc_id").alias("key"))
+    return written(apart.join(kept, "key", "left_semi").select("y", "text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int | None = 3, held: int = 1, max_train: int = MAX_TRAIN) -> Grammar:
