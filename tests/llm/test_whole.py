@@ -17,3 +17,16 @@ def test_op9_trains_on_texts_that_share_words(spark):
         assert set(apart[2:]) < {t for _, t in got}
         assert parts == 1 or sorted(got) == first
         first = sorted(got)
+
+
+def test_pipeline_links_from_080(spark):
+    import corpus_pipeline
+
+    rows = []
+    for i in range(8):
+        w = [f"w{i}x{k}" for k in range(100)]
+        near = [x + "y" if k in (30, 60) else x for k, x in enumerate(w)]  # 86 of 106 shingles in common: 0.811
+        far = [x + "z" if k in (20, 50, 80) else x for k, x in enumerate(w)]  # 81 of 111: 0.730, and less with near
+        rows += [(3 * i, " ".join(w)), (3 * i + 1, " ".join(near)), (3 * i + 2, " ".join(far))]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in rows if i % 3 != 1}
