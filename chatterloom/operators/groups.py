@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,9 +50,21 @@ def signals(g: DataFrame, contacts: DataFrame) -> DataFrame:
     return by_group.join(own, "group_id", "left").groupBy("contact_id").agg(F.count("*").alias("shared_groups"), F.sum("n").alias("messages_from_participant"), F.coalesce(F.sum("own"), F.lit(0)).alias("messages_from_me"))
 
 
+#: Terms that one pass over the messages asks of; more go in further passes.
+TERMS_A_PASS = 1000
+
+
 def mentions(g: DataFrame, terms: DataFrame) -> DataFrame:
-    """Uses of each (short) list of terms in own messages: term, count. terms is broadcast: names that a caller asks of."""
+    """Uses of each of a list of terms in own messages: term, count. terms are names that a caller asks of: they are
+    counted here and dealt to blocks by their hash, each of about TERMS_A_PASS, which are broadcast one by one."""
     own = g.where((F.col("sender") == "me") & has_text(F.col("text"))).select("text")
     k = ((F.length("text") - F.length(F.replace("text", F.col("term"), F.lit("")))) / F.length("term")).cast("long")
-    hits = own.join(F.broadcast(terms.where(F.length("term") >= 2).select("term").distinct().limit(1000)), F.col("text").contains(F.col("term")))
-    return hits.groupBy("term").agg(F.sum(k).alias("count")).where("count > 0")
+    asked = terms.where(F.length("term") >= 2).select("term").distinct()
+    blocks = -(-asked.count() // TERMS_A_PASS) or 1
+
+    def counted(part: DataFrame) -> DataFrame:
+        hits = own.join(F.broadcast(part), F.col("text").contains(F.col("term")))
+        return hits.groupBy("term").agg(F.sum(k).alias("count")).where("count > 0")
+
+    each = [counted(asked.where(F.pmod(F.xxhash64("term"), F.lit(blocks)) == b) if blocks > 1 else asked) for b in range(blocks)]
+    return reduce(DataFrame.unionByName, each)
