@@ -1,7 +1,7 @@
 """Toxicity: a weighted finite-state pattern grammar over clauses.
 
-Five small transducers read the classed words of a clause: insult, threat, target, negation and reported speech.
-Their composition is compiled to one table of (state, class) -> (state, weight factor). A clause's weight is the sum
+Three small transducers read the classed words of a clause: target, negation and reported speech. Insults and
+threats are classes of single words or stems, not patterns of clauses. Their composition is compiled to one table of (state, class) -> (state, weight factor). A clause's weight is the sum
 of its insults and threats, each times its factor (a target near by raises it, negation or reported speech before it
 lowers it). A text's score is a logistic over clause weights.
 
