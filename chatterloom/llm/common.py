@@ -3,25 +3,30 @@ scanning and distributed connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Text bytes that one vectorised step holds at a time.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from spark.checkpoint.dir. Set here only if unset, as in tests."""
     set_to = spark.conf.get("spark.checkpoint.dir", None)
     if not set_to:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         set_to = "file://" + os.path.join(tempfile.gettempdir(), "chatterloom-shared")
         spark.conf.set("spark.checkpoint.dir", set_to)
     return set_to.rstrip("/")
@@ -45,8 +50,54 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
 
 
-def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) if not isinstance(c, pa.Array) else c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each lengthened until no column (whatever its case) bears it."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def _trim() -> Callable[[int], int]:
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda _: 0
+
+
+def lean(f):
+    """A function over batches that, when it ends, gives the memory that it took back to the system: workers are
+    used again, and a stage must not pay for what those before it held."""
+
+    @functools.wraps(f)
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            _POW.clear()
+            pa.default_memory_pool().release_unused()
+            _trim()(0)
+
+    return run
+
+
+def with_score(docs: DataFrame, f: Callable[[pa.Array], np.ndarray], score: str, text: str) -> DataFrame:
+    """docs with a double column `score`, made of the column `text`. Columns of any name pass through."""
+    names = docs.columns
+    at = names.index(text)
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    schema = plain.select("*", F.lit(0.0).alias("score")).schema
+
+    @lean
+    def scored(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(f(b.column(at)), pa.float64())], names=[*b.schema.names, "score"])
+
+    return plain.mapInArrow(scored, schema).toDF(*names, score)
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:
@@ -54,6 +105,19 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def text_steps(column: pa.Array, most: int = STEP_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of a column of texts as `steps`, each with its UTF-8 (null is empty), a range at a time."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    lo = size = 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > lo and size + n > most:
+            yield lo, i, text_bytes(column.slice(lo, i - lo))
+            lo, size = i, 0
+        size += n + 1
+    if lo < len(sizes):
+        yield lo, len(sizes), text_bytes(column.slice(lo))
+
+
 def steps(texts: list[bytes], most: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `most` bytes; a longer text stands alone."""
     lo = size = 0
@@ -87,7 +151,7 @@ _POW: dict[str, np.ndarray] = {}
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POW.get("up", ())) < n:
-        size = max(n, STEP_BYTES + 4096)
+        size = (n | 0x3FFFF) + 1  # a little more, so that it is seldom built anew
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             x = np.full(size, base, U64)
             x[0] = 1

@@ -16,11 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, parts, shared_dir, text_bytes, written
-
-#: Stands for a null doc_id: it ranks last.
-NO_ID = 2**63 - 1
-
+from .common import U64, lean, parts, shared_dir, text_steps, written
 
 def packed(*arrays: np.ndarray | bytes) -> bytes:
     raw = [a if isinstance(a, bytes) else np.ascontiguousarray(a).tobytes() for a in arrays]
@@ -43,20 +39,24 @@ def text_hash(t: bytes) -> int:
 
 
 class Texts:
-    """The texts of a bucket, ordered by their least id and then by the text; ids[k]: sorted ids of text k."""
+    """The texts of a bucket, ordered by their least id (null last) and then by a hash; ids[k]: sorted ids of text
+    k; nulls[k]: its rows without an id, which rank after those."""
 
     def __init__(self, blob: bytes):
-        sizes, number, ids, joined = unpacked(blob)
-        sizes, number, ids = (np.frombuffer(x, "<i8") for x in (sizes, number, ids))
+        sizes, number, nulls, ids, joined = unpacked(blob)
+        sizes, number, self.nulls, ids = (np.frombuffer(x, "<i8") for x in (sizes, number, nulls, ids))
         at = np.concatenate(([0], np.cumsum(sizes)))
         self.texts = [bytes(joined[a:b]) for a, b in zip(at, at[1:])]
         at = np.concatenate(([0], np.cumsum(number)))
         self.ids = [ids[a:b] for a, b in zip(at, at[1:])]
 
 
-def _blob(texts: dict[bytes, list[np.ndarray]]) -> bytes:
-    each = sorted(((np.sort(np.concatenate(i)), t) for t, i in texts.items()), key=lambda x: (x[0][0], x[1]))
-    return packed(np.array([len(t) for _, t in each], "<i8"), np.array([len(i) for i, _ in each], "<i8"), np.concatenate([i for i, _ in each]) if each else b"", b"".join(t for _, t in each))
+def _blob(texts: dict[bytes, list[tuple[np.ndarray, int]]]) -> bytes:
+    """texts: by text, arrays of ids and numbers of rows without one."""
+    each = [(np.sort(np.concatenate([a for a, _ in i])), sum(n for _, n in i), t) for t, i in texts.items()]
+    each.sort(key=lambda x: (not len(x[0]), x[0][0] if len(x[0]) else 0, text_hash(x[2])))
+    sizes, number, nulls = (np.array(x, "<i8") for x in ([len(t) for *_, t in each], [len(i) for i, *_ in each], [n for _, n, _ in each]))
+    return packed(sizes, number, nulls, np.concatenate([i for i, *_ in each]) if each else b"", b"".join(t for *_, t in each))
 
 
 def buckets_for(docs: DataFrame, each: int = 8 << 20) -> int:
@@ -69,14 +69,18 @@ def buckets_for(docs: DataFrame, each: int = 8 << 20) -> int:
 def settle(docs: DataFrame, buckets: int) -> DataFrame:
     """A table (dst, texts) of a row for each bucket that holds texts, bucketed by dst. docs: doc_id, text."""
 
+    @lean
     def dealt(batches):
         for b in batches:
-            ids = b.column("doc_id").fill_null(NO_ID).to_numpy()
-            by: dict[int, dict[bytes, list]] = {}
-            for k, t in enumerate(text_bytes(b.column("text"))):
-                by.setdefault(text_hash(t) % buckets, {}).setdefault(t, []).append(ids[k : k + 1])
-            yield pa.RecordBatch.from_arrays([pa.array(list(by), pa.int32()), pa.array([_blob(x) for x in by.values()], pa.binary())], names=["dst", "texts"])
-
+            null = b.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            ids = b.column("doc_id").fill_null(0).to_numpy()
+            for lo, _, some in text_steps(b.column("text"), 4 << 20):
+                by: dict[int, dict[bytes, list]] = {}
+                for k, t in enumerate(some, lo):
+                    by.setdefault(text_hash(t) % buckets, {}).setdefault(t, []).append((ids[k:k], 1) if null[k] else (ids[k : k + 1], 0))
+                yield pa.RecordBatch.from_arrays([pa.array(list(by), pa.int32()), pa.array([_blob(x) for x in by.values()], pa.binary())], names=["dst", "texts"])
+
+    @lean
     def joined(batches):
         """Blobs of a bucket come in any order; they are sorted when they are merged."""
         by: dict[int, list[bytes]] = {}
@@ -87,8 +91,8 @@ def settle(docs: DataFrame, buckets: int) -> DataFrame:
             texts: dict[bytes, list] = {}
             for x in by.pop(d):
                 got = Texts(x)
-                for t, i in zip(got.texts, got.ids):
-                    texts.setdefault(t, []).append(i)
+                for t, i, n in zip(got.texts, got.ids, got.nulls.tolist()):
+                    texts.setdefault(t, []).append((i, n))
             yield pa.RecordBatch.from_arrays([pa.array([d], pa.int32()), pa.array([_blob(texts)], pa.binary())], names=["dst", "texts"])
 
     spark = docs.sparkSession
@@ -96,15 +100,9 @@ def settle(docs: DataFrame, buckets: int) -> DataFrame:
     table = docs.mapInArrow(dealt, "dst int, texts binary").repartition(min(buckets, parts(spark)), "dst").mapInArrow(joined, "dst int, texts binary")
     # one file for each bucket's task; the table is laid out by dst, so that answers come to the texts, not they to them
     table.repartition(buckets, "dst").write.bucketBy(buckets, "dst").option("compression", "none").option("path", f"{shared_dir(spark)}/{name}").format("parquet").saveAsTable(name)
-    return spark.table(name)
-
-
-def settled_free(homes: DataFrame) -> None:
-    """Forgets the tables of homes (their files lie in the shared folder)."""
-    spark = homes.sparkSession
-    for t in spark.catalog.listTables():
-        if t.name.startswith("homes_"):
-            spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+    homes = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # from the catalog; the files are in the shared folder, and the plan above has been resolved
+    return homes
 
 
 def asked(homes: DataFrame, ask: Callable[[int, Texts, dict[int, list]], Iterator[tuple[int, bytes]]], *answers: DataFrame) -> DataFrame:
@@ -113,6 +111,7 @@ def asked(homes: DataFrame, ask: Callable[[int, Texts, dict[int, list]], Iterato
     table = with_answers(homes, *answers)
     n = len(answers)
 
+    @lean
     def rows(batches):
         for b in batches:
             for r in range(b.num_rows):
@@ -135,6 +134,7 @@ def answered(asks: DataFrame, answer: Callable[[list[tuple[int, bytes]]], Iterat
     """(dst, src, blob), written: for each bucket, what it answers to each home that asked (src: the bucket), and
     rows of src -1 for what the bucket reports of itself."""
 
+    @lean
     def rows(batches):
         by: dict[int, list[tuple[int, bytes]]] = {}
         for b in batches:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, id_text, steps, text_bytes
+from .common import Words, id_text, lean, text_steps
 from .text_stats import _DIGIT, _LETTER, _STOP, _UPPER, SYMBOLS, dup_lines, lines, of_sorted, repeated_words
 
 MAX_TRAIN = 400
@@ -151,12 +151,12 @@ def judge(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray], share: float
     w_e, w_t = weights
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, n_lines long, n_content_lines long, content_share double"
 
+    @lean
     def judged(batches):
         for b in batches:
-            texts = text_bytes(b.column("text"))
             ids = b.column("doc_id")
-            for lo, hi in steps(texts):
-                w = Words(texts[lo:hi])
+            for lo, hi, some in text_steps(b.column("text")):
+                w = Words(some)
                 n = w.n
                 code = np.concatenate(([0], np.cumsum((w.buf & 0xC0) != 0x80)))
                 chars = w.per_doc(code[w.end] - code[w.start])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_text, steps, text_bytes
+from .common import id_text, lean, text_steps, with_score
 from .text_stats import NAMES, features
 
 #: Labelled rows at most that a fit reads.
@@ -94,8 +94,8 @@ def calibrated(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return a, -a * float(c)
 
 
-def text_features(texts: list[bytes]) -> np.ndarray:
-    found = [features(texts[a:b]) for a, b in steps(texts)]
+def text_features(column: pa.Array) -> np.ndarray:
+    found = [features(some) for _, _, some in text_steps(column)]
     return np.concatenate(found) if found else np.zeros((0, len(NAMES)))
 
 
@@ -116,9 +116,10 @@ def train(docs: DataFrame, labels: DataFrame, folds: int | None = 5, held: int =
     """Fits on at most max_train labelled rows outside the held-out fold."""
     rows = sample(docs, labels, "quality", folds or 1, held if folds else -1, False, max_train)
 
+    @lean
     def told(batches):
         for b in batches:
-            f = text_features(text_bytes(b.column("text")))
+            f = text_features(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(list(f), pa.list_(pa.float64()))], names=["y", "f"])
 
     got = rows.select("y", "text").mapInArrow(told, "y int, f array<double>").toArrow()
@@ -130,17 +131,12 @@ def train(docs: DataFrame, labels: DataFrame, folds: int | None = 5, held: int =
 
 def classify(docs: DataFrame, model: Discriminant | None, threshold: float = 0.3, score: str = "score", text: str = "text") -> DataFrame:
     """docs with a column `score`; every other column passes through."""
-    names = docs.columns
-    schema = docs.select("*", F.lit(0.0).alias(score)).schema
-    at = names.index(text)
 
-    def scored(batches):
-        for b in batches:
-            f = text_features(text_bytes(b.column(at)))
-            s = model.score(f) if model else np.full(len(f), 0.5)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], names=[*b.schema.names, score])
+    def scores(column):
+        f = text_features(column)
+        return model.score(f) if model else np.full(len(f), 0.5)
 
-    return docs.mapInArrow(scored, schema)
+    return with_score(docs, scores, score, text)
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

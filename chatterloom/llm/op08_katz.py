@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import U64, Words, id_text, mix, steps
-from .homes import NO_ID, Texts, answered, asked, bucket_of, bucket_slices, buckets_for, packed, settle, unpacked, with_answers
+from .common import U64, Words, id_text, lean, mix, steps
+from .homes import Texts, answered, asked, bucket_of, bucket_slices, buckets_for, packed, settle, unpacked, with_answers
 
 TOP = 5
 END, START = U64(1), U64(2)
@@ -67,7 +67,7 @@ class Home:
     """The tokens of a bucket's texts as numbers of its distinct words."""
 
     def __init__(self, t: Texts, folds: int, held: int):
-        self.held = [np.array([i != NO_ID and folds > 0 and zlib.crc32(str(i).encode()) % folds == held for i in ids]) for ids in t.ids]
+        self.held = [np.array([*(folds > 0 and zlib.crc32(str(i).encode()) % folds == held for i in ids.tolist()), *[False] * n], bool) for ids, n in zip(t.ids, t.nulls.tolist())]
         weight = np.array([(~h).sum() for h in self.held])
         hashes, docs = [], []
         for lo, hi in steps(t.texts):
@@ -217,6 +217,7 @@ def score(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
     two = answered(asked(homes, ask_pairs, one), lambda asks: answer_pairs(asks, u), buckets)
     d = discounts(totals(two, TOP + 2))
 
+    @lean
     def scored(batches):
         for b in batches:
             for r in range(b.num_rows):
@@ -250,10 +251,10 @@ def score(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
                 log = np.bincount(h.doc, np.log10(np.maximum(p, 1e-300)), m)
                 base = np.bincount(h.doc, np.log10((c[h.token] + 0.1) / (u.total + 0.1 * (u.distinct + 1))), m)
                 n, known = np.bincount(h.doc, minlength=m), np.bincount(h.doc, c[h.token] > 0, m).astype(np.int64)
-                row = np.repeat(np.arange(m), [len(i) for i in t.ids])
-                ids = np.concatenate(t.ids)
+                row = np.repeat(np.arange(m), [len(i) for i in h.held])
+                ids = [i for a, k in zip(t.ids, t.nulls.tolist()) for i in [*a.tolist(), *[None] * k]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, mask=ids == NO_ID), pa.array(np.concatenate(h.held)), pa.array(n[row]), pa.array(known[row]), pa.array(np.full(len(row), u.total)), pa.array(base[row]), pa.array(log[row])],
+                    [pa.array(ids, pa.int64()), pa.array(np.concatenate(h.held)), pa.array(n[row]), pa.array(known[row]), pa.array(np.full(len(row), u.total)), pa.array(base[row]), pa.array(log[row])],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Words, connected_components, id_text, local_components, mix, steps, text_bytes, written
+from .common import U64, Words, connected_components, id_text, lean, local_components, mix, text_steps, written
 
 K = 64
 MATCHES = 42
@@ -70,11 +70,12 @@ def described(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, a 128-bit digest of the set, signature."""
     schema = "doc_id long, n_shingles long, d1 long, d2 long, sig binary"
 
+    @lean
     def rows(batches):
         for b in batches:
-            texts, ids = text_bytes(b.column("text")), b.column("doc_id")
-            for lo, hi in steps(texts):
-                h, at = shingles(texts[lo:hi])
+            ids = b.column("doc_id")
+            for lo, hi, some in text_steps(b.column("text")):
+                h, at = shingles(some)
                 sums = [np.concatenate(([U64(0)], np.cumsum(x, dtype=U64))) for x in (mix(h + U64(1)), mix(h ^ U64(0x5555555555555555)))]
                 d1, d2 = ((s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums)
                 sig = signatures(h, at)
@@ -149,11 +150,11 @@ def groups(docs: DataFrame, per_cent: int = 85, matches: int = MATCHES, block: i
     members = gathered.join(size, "component").select(F.col("node").alias("doc_id"), "component", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
     members = written(members)
 
+    @lean
     def sets(batches):
         for b in batches:
-            texts = text_bytes(b.column("text"))
-            for lo, hi in steps(texts):
-                h, at = shingles(texts[lo:hi])
+            for lo, hi, some in text_steps(b.column("text")):
+                h, at = shingles(some)
                 sig = signatures(h, at)
                 own = [np.asarray(b.column(c))[lo:hi] for c in ("doc_id", "component", "blocks")]
                 mine = (mix(own[0].astype(U64)) % own[2].astype(U64)).astype(np.int64)
