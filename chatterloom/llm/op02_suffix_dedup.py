@@ -16,9 +16,9 @@ same. The suffixes of the whole collection that agree in WIDTH bytes are found i
 A round over all texts at once would need as many rounds as the longest text has bytes, each over all of the data;
 segments bound both. Questions and answers travel through tables in the shared folder (see homes).
 
-Defined results: null and empty texts have no bytes. Rows that repeat a doc_id rank by text; equal texts of equal or
-different id rank by id, and only the first stays. Null doc_ids rank last. Very long texts are read whole. Other
-columns are not read.
+Defined results: null and empty texts have no bytes. Different texts of one doc_id (or without one) rank by a 64-bit
+hash of the text, however rows are dealt; equal texts of equal or different id rank by id, and only the first stays.
+Null doc_ids rank last. Very long texts are read whole. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import U64, id_text, mix, steps
-from .homes import NO_ID, Texts, answered, asked, bucket_of, bucket_slices, buckets_for, packed, settle, unpacked, with_answers
+from .common import U64, id_text, lean, mix, steps
+from .homes import Texts, answered, asked, bucket_of, bucket_slices, buckets_for, packed, settle, text_hash, unpacked, with_answers
 
 WIDTH = 100
 #: Segments that one transform holds at most (but for the segments of one anchor).
@@ -150,12 +150,15 @@ class Home:
     def ask_segments(self, some: np.ndarray, src: int, buckets: int):
         s, t = self.s, self.t
         rep, digest, where, _ = self.distinct(some, buckets)
-        least = np.array([i[0] for i in t.ids], np.int64)
+        least = np.array([i[0] if len(i) else 0 for i in t.ids], np.int64)
+        none = np.array([not len(i) for i in t.ids], np.uint8)
+        hashes = np.array([text_hash(x) for x in t.texts], U64)
         for k, sl in bucket_slices(where):
             r = rep[sl]
             size = s.count[r] + self.width - 1
             joined = b"".join([t.texts[d][a : a + n] for d, a, n in zip(s.text[r].tolist(), s.start[r].tolist(), size.tolist())])
-            yield k, packed(s.anchor[r], digest[sl], least[s.text[r]].astype("<i8"), s.text[r].astype("<i4"), s.start[r].astype("<i8"), size.astype("<i4"), joined)
+            of = s.text[r]
+            yield k, packed(s.anchor[r], digest[sl], least[of].astype("<i8"), none[of], hashes[of], s.start[r].astype("<i8"), size.astype("<i4"), joined)
 
 
 def answer_anchors(asks: list[tuple[int, bytes]]):
@@ -235,24 +238,23 @@ def repeated(strings: list[bytes], doc: np.ndarray, start: np.ndarray, width: in
 
 
 def answer_segments(asks: list[tuple[int, bytes]], width: int):
-    anchor, digest, ids, text, start, size, src, strings = [], [], [], [], [], [], [], []
-    for home, b in asks:
-        a, d, i, t, p, z, joined = unpacked(b)
-        n = len(a) // 8
+    anchor, digest, ids, none, text, start, size, strings = [], [], [], [], [], [], [], []
+    for _, b in asks:
+        a, d, i, o, t, p, z, joined = unpacked(b)
         anchor.append(np.frombuffer(a, U64)), digest.append(np.frombuffer(d, U64).reshape(-1, 2)), ids.append(np.frombuffer(i, "<i8"))
-        text.append(np.frombuffer(t, "<i4").astype(np.int64)), start.append(np.frombuffer(p, "<i8")), src.append(np.full(n, home))
+        none.append(np.frombuffer(o, np.uint8)), text.append(np.frombuffer(t, U64)), start.append(np.frombuffer(p, "<i8"))
         z = np.frombuffer(z, "<i4").astype(np.int64)
         size.append(z)
         end = np.cumsum(z)
         strings.append((joined, end - z))
     counts = [len(x) for x in anchor]
     base = np.cumsum([0, *counts])
-    anchor, digest, ids, text, start, size, src = (np.concatenate(x) for x in (anchor, digest, ids, text, start, size, src))
-    # texts in order: by least id, then home and place (homes hold different texts; of equal ids any order will do)
-    rank = np.lexsort((start, text, src, ids))
+    anchor, digest, ids, none, text, start, size = (np.concatenate(x) for x in (anchor, digest, ids, none, text, start, size))
+    # texts in order: by least id (null last), of equal ids by the text's hash, wherever they lie; homes hold different texts
+    rank = np.lexsort((start, text, ids, none))
     place = np.empty(len(rank), np.int64)
     place[rank] = np.arange(len(rank))
-    doc_new = np.concatenate(([True], (ids[rank][1:] != ids[rank][:-1]) | (src[rank][1:] != src[rank][:-1]) | (text[rank][1:] != text[rank][:-1])))
+    doc_new = np.concatenate(([True], (none[rank][1:] != none[rank][:-1]) | (ids[rank][1:] != ids[rank][:-1]) | (text[rank][1:] != text[rank][:-1])))
     doc = np.empty(len(rank), np.int64)
     doc[rank] = np.cumsum(doc_new)
     order = np.lexsort((place, digest[:, 1], digest[:, 0], anchor))
@@ -342,6 +344,7 @@ def dedup(docs: DataFrame, emit, schema: str, width: int = WIDTH) -> DataFrame:
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
+    @lean
     def cut(batches):
         for b in batches:
             for r in range(b.num_rows):
@@ -350,9 +353,9 @@ def dedup(docs: DataFrame, emit, schema: str, width: int = WIDTH) -> DataFrame:
                 h = Home(t, width)
                 masks = removed(h, h.read_anchors(anchors, buckets), segments, buckets)
                 rows = []
-                for x, ids, mask in zip(t.texts, t.ids, masks):
-                    for k, i in enumerate(ids.tolist()):
-                        rows.append(emit(None if i == NO_ID else i, x, mask if k == 0 or len(x) < width else np.ones(len(x), bool)))
+                for x, ids, n, mask in zip(t.texts, t.ids, t.nulls.tolist(), masks):
+                    for k, i in enumerate([*ids.tolist(), *[None] * n]):
+                        rows.append(emit(i, x, mask if k == 0 or len(x) < width else np.ones(len(x), bool)))
                     if len(rows) >= 2000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], names=names)
                         rows = []
