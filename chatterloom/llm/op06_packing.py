@@ -2,7 +2,7 @@
 
 Documents (their ids and a closing id 1) are cut into full windows and a rest. The rests' histogram, in bins, is met
 by shallow combinations of at most DEPTH bins that fill a window: how often to use each is a non-negative least
-squares problem, solved by an active set and rounded down. What the combinations leave of a window is filled with
+squares problem, solved by an active set and rounded, as far as there are rests. What the combinations leave of a window is filled with
 cuts from rests that no combination took; those are then packed greedily. A last part of a window is cut into
 sequences whose sizes are powers of two, so that no padding is left.
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import END, vocabulary
-from .common import id_text
+from .common import id_text, lean
 
 WINDOW = 2048
 BINS = 32
@@ -102,7 +102,7 @@ def plan(sizes: list[int], window: int = WINDOW) -> list[tuple[int, int, int, in
             seq += 1
         if rest := n - full * window:
             bins[-(-rest // width)].append((d, full * window, rest))
-    times = np.floor(nnls(combos, np.array([len(x) for x in bins[1:]], float)) + 1e-9).astype(int)
+    times = np.rint(nnls(combos, np.array([len(x) for x in bins[1:]], float))).astype(int)
     open_: list[list[tuple[int, int, int]]] = []
     for j in np.flatnonzero(times):
         need = [(k + 1, int(c)) for k, c in enumerate(combos[:, j]) if c]
@@ -159,13 +159,10 @@ def plan(sizes: list[int], window: int = WINDOW) -> list[tuple[int, int, int, in
 class WordIds(dict):
     """Ids (as bytes) of pre-split words, by the tokenizers library. Emptied beyond `most` words."""
 
-    def __init__(self, path: str, most: int = 1_000_000, group: int = 1000):
+    def __init__(self, path: str, most: int = 300_000, group: int = 1000):
         super().__init__()
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.special, self.most, self.group = Tokenizer.from_file(path), vocabulary(path).special, most, group
-        self.closes = np.array([t.endswith(END) for t in vocabulary(path).tokens])
+        self.tokenizer, self.closes = loaded(path)
+        self.special, self.most, self.group = vocabulary(path).special, most, group
 
     def learn(self, need: set[str]) -> None:
         """Makes sure that all of `need` are held. Words are encoded many at a time, parted by spaces: each ends in a
@@ -191,21 +188,26 @@ class WordIds(dict):
             self[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-_BUILT: dict[str, WordIds] = {}
+_LOADED: dict[str, tuple] = {}
 
 
-def word_ids(path: str) -> WordIds:
-    """Kept for each Python process, so that a worker's later tasks find the words of its earlier ones."""
-    if path not in _BUILT:
-        _BUILT[path] = WordIds(path)
-    return _BUILT[path]
+def loaded(path: str) -> tuple:
+    """The tokenizer, read once for each Python process, and which tokens close a word. No word is kept with it."""
+    if path not in _LOADED:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        _LOADED[path] = tokenizer, np.array([t.endswith(END) for t in vocabulary(path).tokens])
+    return _LOADED[path]
 
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
     """A row for each piece of each document, as SCHEMA."""
 
+    @lean
     def packed(batches):
-        vocab, cache = vocabulary(path), word_ids(path)
+        vocab, cache = vocabulary(path), WordIds(path)  # each task learns its words anew
         held: list[tuple[int | None, bytes]] = []
         size = seq = 0
         base = None

@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a tokenization automaton.
 
 The merges are compiled once in each Python worker; pre-split words are encoded by its table, decoding emits the
-labels of the arcs read. Words are kept in a bounded cache.
+labels of the arcs read. A task keeps its words in a bounded cache.
 
 Defined results: null and empty texts have no tokens and decode to the empty text. Special tokens' strings in a text
 are those tokens. Repeated rows each get their row; other columns are not read. Very long texts are read whole, and
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import WordCache, automaton, vocabulary
-from .common import id_text
+from .common import id_text, lean
 
 
 class Coder:
@@ -48,8 +48,10 @@ def coder(path: str) -> Coder:
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the decoded text."""
 
+    @lean
     def rows(batches):
         c = coder(path)
+        c.cache.clear()  # each task learns its words anew
         for b in batches:
             n, h1, h2 = [], [], []
             for text in b.column("text"):
