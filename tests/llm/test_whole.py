@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from chatterloom.llm import op09_toxicity as op9
 
 
@@ -30,3 +32,88 @@ def test_pipeline_links_from_080(spark):
         rows += [(3 * i, " ".join(w)), (3 * i + 1, " ".join(near)), (3 * i + 2, " ".join(far))]
     kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in rows if i % 3 != 1}
+
+
+def compared(spark, frames, ours, sql):
+    """Both results as sorted rows; sql runs on the frames as tables."""
+    import duckdb
+
+    con = duckdb.connect()
+    for name, rows in frames.items():
+        con.register(name, rows)
+    got = con.sql(sql)
+    cols = sorted(got.columns)
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    return sorted((tuple(r[c] for c in cols) for r in ours.collect()), key=key), sorted(got.project(", ".join(cols)).fetchall(), key=key)
+
+
+def test_op5_runs_of_sentences(spark):
+    import pandas as pd
+
+    from chatterloom.llm import op05_line_dedup as op5
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abdeginorstuéß", k=rng.randint(2, 7)))
+    sentence = lambda n: " ".join(word() for _ in range(n)).capitalize() + rng.choice(".!?")
+    passages = [" ".join(sentence(rng.randint(4, 14)) for _ in range(8)) for _ in range(4)]
+    phrase = sentence(9)
+    texts, holds = [], []
+    for i in range(120):
+        lines = [" ".join(sentence(rng.randint(1, 12)) for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 6))]
+        lines.append(phrase)  # in every text, but too short to go
+        k = i % 6
+        if k < 4:
+            p = "".join(c.upper() if c.isascii() else c for c in passages[k]) if i % 5 == 0 else passages[k]
+            lines.insert(rng.randint(0, len(lines)), f"{sentence(6)} {p}  {sentence(3)}" if i % 2 else p.replace(" ", "\t ", 2))
+        holds.append(k < 4 and i >= 6)
+        texts.append("\n".join(lines))
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000, ""), (1001, None), (1002, " \n ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 7):
+        docs.repartition(parts).write.mode("overwrite").parquet(f"{spark.conf.get('spark.checkpoint.dir')}/op5-{parts}/documents.parquet")
+        ours, theirs = compared(spark, {"documents": pd.DataFrame(rows, columns=["doc_id", "text"])}, op5.op5_line_dedup(spark, f"{spark.conf.get('spark.checkpoint.dir')}/op5-{parts}"), op5.ORACLE_SQL)
+        assert ours == theirs
+    got = {r["doc_id"]: r for r in op5.dedup_lines(docs).collect()}
+    assert [got[i]["n_removed"] > 0 for i in range(120)] == holds
+    for i, r in got.items():
+        if i < 120:
+            assert all(s["start"] >= 0 and s["start"] + s["length"] <= len(texts[i]) for s in r["spans"])
+            assert len(texts[i]) - sum(s["length"] for s in r["spans"]) == r["kept_chars"]
+
+
+def test_op2_does_not_depend_on_partitions(spark):
+    from chatterloom.llm import op02_suffix_dedup as op2
+
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared = [text(180) for _ in range(40)]
+    rows = [(i if i < 30 else None, text(60) + shared[i] + end) for i in range(40) for end in (" x", " y")] + [(2**63 - 1, shared[0] + "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for parts in ("1", "4", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        found.append(sorted(map(str, op2.dedup(docs.repartition(int(parts)), op2.digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1] == found[2]
+    assert any(f"doc_id={2**63 - 1}" in x for x in found[0])
+
+
+def test_pipeline_takes_any_column_and_row(spark):
+    import corpus_pipeline
+
+    names = ["row_key", "gone_key", "new_text", "score", "Score_", "__quality", "a.b", "component_id", "part", "y"]
+    text = "Some words of a plain text that goes on. " * 8
+    rows = [(1, text), (1, "another text under the same id, with other words in it"), (None, text), (None, "no id here but a text"), (None, None), (2, ""), (2, ""), (3, "a b c " * 60_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for n in names:
+        docs = docs.withColumn(n, F.lit("z"))
+    at = "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, at)
+        assert name == "packing" or out.columns == docs.columns
+        assert stage(spark, docs.where("doc_id > 99"), at).count() == 0
+        kept = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in out.select("doc_id", "text").collect()) if name != "packing" else None
+        if name == "minhash_dedup":
+            assert len(kept) == 7 and (True, 0, text) not in kept and sum(k[1] == 1 for k in kept) == 2
+        if name == "suffix_dedup":
+            assert len(kept) == 8 and (True, 0, "") in kept
