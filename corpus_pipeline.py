@@ -1,17 +1,20 @@
 """A training corpus from `documents`: quality classifier, toxicity, near-duplicates, repeated strings, packing.
 
-Each stage works on all that the one before kept. All but the last return the columns of documents. Rows that repeat
-a doc_id are one document from the near-duplicate stage on (the row of least text stays); rows with a null doc_id are
-kept apart and linked with nothing. Null texts count as empty. A column of documents may have any name.
+Each stage works on all that the one before kept. All but the last return the columns of documents.
+
+Defined results: null texts count as empty. Near-duplicates and repeated strings treat every row as a document,
+whatever its doc_id: of rows that repeat an id, or have none, only those whose texts are near duplicates go (equal
+rows among them; rows without words stay, as they link with nothing), and rows rank by doc_id, null last, then by a
+hash of the text. A column of documents may have any name: the columns used inside get names that none bears.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterloom.llm import op02_suffix_dedup, op03_quality_classifier, op06_packing, op09_toxicity, op10_minhash_dedup
-from chatterloom.llm.common import written
+from chatterloom.llm.common import free_names, written
 
 VOCABULARY = "word_bpe_49k.json"
 LEAST_QUALITY = 0.3
@@ -20,42 +23,49 @@ LEAST_TOXIC = 0.7
 NEAR, NEAR_MATCHES = 80, 38
 
 
-def one_row_per_id(docs: DataFrame) -> DataFrame:
-    """docs with one row for each doc_id (all rows for null)."""
-    twice = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if twice.isEmpty():
-        return docs
-    some = docs.join(twice, "doc_id", "left_semi")
-    rest = docs.join(twice, "doc_id", "left_anti")
-    whole = F.struct(F.coalesce("text", F.lit("")).alias("__t"), *[F.col(f"`{c}`") for c in docs.columns])
-    best = some.groupBy("doc_id").agg(F.min(whole).alias("__w")).select(*[F.col(f"__w.`{c}`").alias(c) for c in docs.columns])
-    return rest.unionByName(best)
+def column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def keyed(docs: DataFrame, key: str) -> DataFrame:
+    """docs with a column `key`, a long that no two rows share and that ranks them: the doc_id where each row has one
+    of its own, else the row's place by (doc_id, null last, hash of the text), written so that it holds still."""
+    ids = docs.select(docs["doc_id"].cast("long").alias("id"))
+    if ids.groupBy("id").count().where("id is null or count > 1").isEmpty():
+        return docs.withColumn(key, docs["doc_id"].cast("long"))
+    rank = [docs["doc_id"].isNull(), docs["doc_id"].cast("long"), F.xxhash64(F.coalesce(docs["text"], F.lit("")))]
+    return written(docs.repartitionByRange(*rank).sortWithinPartitions(*rank).withColumn(key, F.monotonically_increasing_id()))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    (score,) = free_names(docs.columns, "score")
     model = op03_quality_classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return op03_quality_classifier.classify(docs, model, score="__quality").where(F.col("__quality") >= LEAST_QUALITY).select(*[f"`{c}`" for c in docs.columns])
+    return op03_quality_classifier.classify(docs, model, score=score).where(F.col(score) >= LEAST_QUALITY).drop(score)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    (score,) = free_names(docs.columns, "score")
     model = op09_toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return op09_toxicity.detect(docs, model, score="__toxic").where(F.col("__toxic") < LEAST_TOXIC).select(*[f"`{c}`" for c in docs.columns])
+    return op09_toxicity.detect(docs, model, score=score).where(F.col(score) < LEAST_TOXIC).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = one_row_per_id(docs)
-    gone = op10_minhash_dedup.groups(docs, NEAR, NEAR_MATCHES).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    key, gone = free_names(docs.columns, "row_key", "gone_key")
+    rows = keyed(docs, key)
+    found = op10_minhash_dedup.groups(rows.select(F.col(key).alias("doc_id"), "text"), NEAR, NEAR_MATCHES)
+    late = found.where("doc_id <> component_id").select(F.col("doc_id").alias(gone))
+    return rows.join(late, rows[key] == late[gone], "left_anti").drop(key)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**62) + F.monotonically_increasing_id())
-    docs = one_row_per_id(docs).withColumn("__key", key)
-    docs = written(docs) if docs.where("doc_id is null").limit(1).count() else docs  # row numbers must hold still
-    cut = op02_suffix_dedup.dedup(docs.select(F.col("__key").alias("doc_id"), "text"), op02_suffix_dedup.texts_kept, "doc_id long, text string, n_removed long").select(F.col("doc_id").alias("__key"), F.col("text").alias("__text"))
-    names = [c for c in docs.columns if c != "__key"]
-    new = {"text": F.col("__text").alias("text")} | ({"n_chars": F.length("__text").cast(docs.schema["n_chars"].dataType).alias("n_chars")} if "n_chars" in names else {})
-    return docs.drop("text").join(cut, "__key").select(*[new.get(c, F.col(f"`{c}`")) for c in names])
+    key, new = free_names(docs.columns, "row_key", "new_text")
+    rows = keyed(docs, key)
+    cut = op02_suffix_dedup.dedup(rows.select(F.col(key).alias("doc_id"), "text"), op02_suffix_dedup.texts_kept, "doc_id long, text string, n_removed long")
+    cut = cut.select(F.col("doc_id").alias(key), F.col("text").alias(new))
+    made = {"text": F.col(new).alias("text")}
+    if "n_chars" in docs.columns:
+        made["n_chars"] = F.length(new).cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return rows.drop("text").join(cut, key).select(*[made.get(c, column(c)) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
