@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import redact
-from .operators import classify, governance, groups, sampling, stats
+from .operators import classify, governance, groups, sampling, schemas, stats
 from .sources import artifacts, meta, sessions
 
 # Folders of a thread export, by platform.
@@ -21,8 +21,13 @@ INBOXES = {
 
 
 def inboxes(spark: SparkSession, root: str, platform: str) -> list[str]:
-    """Every known inbox below root, else root itself."""
-    return [p for p in (f"{root.rstrip('/')}/{x}" for x in INBOXES[platform]) if artifacts.exists(spark, p)] or [root]
+    """Every known inbox below root, else root itself if a folder in it holds threads; else an error."""
+    root = root.rstrip("/")
+    if found := [p for p in (f"{root}/{x}" for x in INBOXES[platform]) if artifacts.exists(spark, p)]:
+        return found
+    if artifacts.any_match(spark, f"{root}/*/message_*.json"):
+        return [root]
+    raise FileNotFoundError(f"no inbox of {platform} below {root}; looked for " + ", ".join(INBOXES[platform]))
 
 
 def imported(spark: SparkSession, a: argparse.Namespace, of_groups: bool) -> DataFrame:
@@ -31,11 +36,7 @@ def imported(spark: SparkSession, a: argparse.Namespace, of_groups: bool) -> Dat
     else:
         read = meta.group_messages if of_groups else meta.messages
         d = read(spark, inboxes(spark, a.path, a.platform), a.me, a.alias, a.platform)
-    return d.withColumn("text", redact(F.col("text"), custom=governance.custom_patterns(spark, a.config)))
-
-
-def bundle(m: DataFrame, scope: list[str]) -> dict[str, DataFrame]:
-    return {"lexical": stats.lexical(m, scope), "punctuation": stats.punctuation(m, scope), "emoji": stats.emoji(m, scope), "structure": stats.structure(m, scope), "bursts": stats.bursts(m, scope), "hours": stats.hours(m, scope), "words": stats.top_terms(m, scope, 1, 50), "bigrams": stats.top_terms(m, scope, 2, 30), "trigrams": stats.top_terms(m, scope, 3, 20, 3), "latency": stats.reply_latency(m, scope)}
+    return d if a.no_redact else d.withColumn("text", redact(F.col("text"), custom=governance.custom_patterns(spark, a.config)))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -51,21 +52,23 @@ def parser() -> argparse.ArgumentParser:
         return c
 
     for name in ("parse", "parse-groups"):
-        c = command(name, "me", "out", config="config.json", include_groups=False)
+        c = command(name, "me", "out", config="config.json", include_groups=False, no_redact=False)
         c.add_argument("platform", choices=governance.PLATFORMS)
         c.add_argument("path")
         c.add_argument("--alias", action="append", default=[])
-    command("stats", "messages", "out", total=100, each_way=50)
+    command("stats", "messages", "out", total=100, each_way=50, out_global="", out_per_contact="")
     command("filter", "messages", "out", total=100, each_way=50)
-    c = command("sample", "messages", "out", n=200, contact="", classified="", since="", until="")
+    c = command("sample", "messages", "out", n=0, contact="", classified="", since="", until="", sender="", buckets=sampling.BUCKETS, full_under_chars=30_000)
     c.add_argument("mode", choices=("classify", "memory", "persona"))
     command("group-stats", "groups", "out")
     command("group-signals", "groups", "messages", "out")
     command("group-context", "groups", "out")
-    command("classify-plan", "contacts", "out", classified="", results="", size=5)
-    command("classify-progress", "contacts", "results", fail_if_remaining=False)
+    command("classify-plan", "contacts", "out", classified="", results="", signals="", size=5)
+    command("classify-progress", "contacts", "results", fail_if_remaining=False, next=0)
     command("classify-merge", "contacts", "results", "out", existing="", require_all=False)
-    command("validate", "classified")
+    c = command("validate", classified="")
+    c.add_argument("schema", nargs="?", choices=list(schemas.SCHEMAS))
+    c.add_argument("path", nargs="?")
     c = command("check-freshness", root=".")
     c.add_argument("gate", choices=list(governance.GATES))
     c = command("redact", root=".", regex=False, flags="gi", replacement="[redacted-custom]")
@@ -92,18 +95,23 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "stats":
         m = read(a.messages)
         artifacts.write_lines(stats.totals(m, a.total, a.each_way), f"{a.out}/totals")
-        for at, scope in (("global", []), ("contact", ["contact_id"])):
-            for k, d in bundle(m, scope).items():
-                artifacts.write_lines(d, f"{a.out}/{at}/{k}")
+        for at, scope, out in (("global", [], a.out_global), ("contact", ["contact_id"], a.out_per_contact)):
+            artifacts.write_lines(stats.bundled(m, scope), out or f"{a.out}/{at}")
     elif a.command == "filter":
         c = stats.contact_stats(read(a.messages))
         artifacts.write_lines(stats.passing(c, a.total, a.each_way), a.out)
         say(**stats.filter_report(c, a.total, a.each_way).first().asDict())
     elif a.command == "sample":
         m = read(a.messages)
-        for flag, keep in ((a.contact, F.col("contact_id") == a.contact), (a.since, F.col("timestamp") >= F.lit(a.since or None).cast("timestamp")), (a.until, F.col("timestamp") <= F.lit(a.until or None).cast("timestamp"))):
+        for flag, keep in ((a.contact, F.col("contact_id") == a.contact), (a.sender, F.col("sender") == a.sender), (a.since, F.col("timestamp") >= F.lit(a.since or None).cast("timestamp")), (a.until, F.col("timestamp") <= F.lit(a.until or None).cast("timestamp"))):
             m = m.where(keep) if flag else m
-        s = sampling.persona_sample(m, labels(spark, a.classified), a.n) if a.mode == "persona" else sampling.contact_sample(m, a.n)
+        if a.mode == "persona":
+            classified = labels(spark, a.classified)
+            for r in sampling.label_quotas(classified, a.n or 800).collect():  # a row for each label
+                say(**r.asDict())
+            s = sampling.persona_sample(m, classified, a.n or 800, a.buckets)
+        else:
+            s = sampling.contact_sample(m, a.n or 200, a.full_under_chars, a.buckets)
         if not (n := artifacts.write_lines(m.join(s, ["contact_id", "seq"]).select("contact_id", "timestamp", "sender", "text", "media_type", "seq"), a.out)):
             print("no messages to sample from", file=sys.stderr)
             return 1
@@ -117,23 +125,38 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 artifacts.write_lines(d, f"{a.out}/{k}")
         else:
             artifacts.write_lines(groups.tone_counts(g), f"{a.out}/counts")
-            for k, d in bundle(groups.as_messages(g), []).items():
-                artifacts.write_lines(d, f"{a.out}/{k}")
+            artifacts.write_lines(stats.bundled(groups.as_messages(g), []), f"{a.out}/stats")
     elif a.command == "classify-plan":
-        t = classify.tasks(read(a.contacts, contacts), labels(spark, a.classified), labels(spark, a.results))
+        signals = spark.read.json(a.signals) if a.signals else None
+        t = classify.tasks(read(a.contacts, contacts), labels(spark, a.classified), labels(spark, a.results), signals)
         artifacts.write_shards(classify.shards(t, a.size), a.out)
         say(**classify.manifest(read(a.contacts, contacts), labels(spark, a.classified), labels(spark, a.results), a.size).first().asDict())
     elif a.command == "classify-progress":
-        row = classify.progress(read(a.contacts, contacts), labels(spark, a.results)).first().asDict()
+        c, done = read(a.contacts, contacts), labels(spark, a.results)
+        row = classify.progress(c, done).first().asDict()
         say(**row)
+        for r in classify.waiting(c, done).select("contact_id", "contact_name", "message_count_total").limit(a.next).collect():  # as many as are asked for
+            say(**r.asDict())
         return int(a.fail_if_remaining and row["remaining"] > 0)
     elif a.command == "classify-merge":
         d = classify.merge(read(a.contacts, contacts), labels(spark, a.existing), labels(spark, a.results))
         artifacts.write_lines(d, a.out)
         missing = d.where("missing").count()
         say(missing=missing)
+        for r in d.where("missing").select("contact_id").orderBy("contact_id").limit(20).collect():  # a preview
+            say(**r.asDict())
         return int(a.require_all and missing > 0)
     elif a.command == "validate":
+        if a.schema:
+            try:
+                found = schemas.issues(a.schema, artifacts.read_document(spark, a.path))
+            except ValueError as e:
+                found = [("", "invalid_json", str(e))]
+            for p, code, message in found:
+                say(path=p, code=code, message=message)
+            if not found:
+                say(ok=a.schema, path=a.path)
+            return int(bool(found))
         bad = classify.violations(labels(spark, a.classified))
         for r in bad.limit(100).collect():  # a report of the first hundred
             say(**r.asDict())

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 #: White space that trimming removes, for Java and RE2 classes.
 WS = r"[\t-\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+#: Edges beside which the pattern has an ASCII word character.
+BEFORE_WORD, AFTER_WORD = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
+#: The same characters themselves.
+WIDE_SPACES = "\t\n\x0b\x0c\r \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 HAN = r"[\x{4E00}-\x{9FFF}]"
 TOKEN = r"[\x{4E00}-\x{9FFF}]|[A-Za-z0-9]+(?:\.[0-9]+)?%?"
 
-# The swear words counted (the last pattern counts substrings; 草莓 is not one).
+# The swear words counted (the last pattern counts substrings).
 SWEARS = [
     "fuck(?:ing|ed|er|s)?",
     "shit(?:ty|s)?",
@@ -20,7 +24,7 @@ SWEARS = [
     "cunt",
     "bastard",
 ]
-SWEARS_HAN = "操|草|卧槽|妈的|靠|尼玛|傻逼|垃圾"
+SWEARS_HAN = "操|草(?!莓)|卧槽|妈的|靠|尼玛|傻逼|垃圾"
 # What is redacted, in this order.
 EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
 PHONE = r"(\+?\d[\d\s\-().]{7,}\d)"
@@ -31,8 +35,21 @@ SECRETS = [
     r"\bghp_[A-Za-z0-9]{20,}\b",
     r"\b[A-Za-z0-9_-]{32,}\.[A-Za-z0-9_-]{32,}\.[A-Za-z0-9_-]{32,}\b",
 ]
-#: Pictographs in common use; the full property has some 150 ranges.
-EMOJI = r"[\x{A9}\x{AE}\x{203C}\x{2049}\x{2122}\x{2139}\x{2194}-\x{2199}\x{231A}\x{231B}\x{2328}\x{23E9}-\x{23F3}\x{2600}-\x{2604}\x{260E}\x{2611}\x{2614}\x{2615}\x{2639}\x{263A}\x{2660}\x{2663}\x{2665}\x{2666}\x{26A0}\x{26A1}\x{2705}\x{2728}\x{2744}\x{274C}\x{2757}\x{2763}\x{2764}\x{2B50}\x{2B55}\x{1F300}-\x{1F3FA}\x{1F400}-\x{1F64F}\x{1F680}-\x{1F6FF}\x{1F90C}-\x{1F93A}\x{1F93C}-\x{1F945}\x{1F947}-\x{1F9FF}\x{1FA70}-\x{1FAFF}]"
+#: What a match of each secret begins with; the last begins anywhere, but takes two long runs.
+SECRET_SIGNS = ["sk-", "AKIA", "ghp_", ""]
+LONG_RUNS = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{32,}+\.[A-Za-z0-9_-]{32}"
+
+
+def property_class(name: str) -> str:
+    """The characters of a Unicode property as a class of ranges, for Java and RE2."""
+    import regex
+
+    have = regex.compile(rf"\p{{{name}}}+")
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x20000))))
+    return "[" + "".join(rf"\x{{{ord(m[0][0]):X}}}-\x{{{ord(m[0][-1]):X}}}" for m in have.finditer(every)) + "]"
+
+
+EMOJI = property_class("Extended_Pictographic")
 
 
 def ascii_edges(pattern: str) -> str:
@@ -49,7 +66,7 @@ def utf16_length(c: Column) -> Column:
 
 
 def right_trim(c: Column) -> Column:
-    return F.regexp_replace(c, WS + r"+\z", "")
+    return F.rtrim(c, F.lit(WIDE_SPACES))
 
 
 def has_text(c: Column) -> Column:
@@ -81,23 +98,33 @@ def ngrams(words: Column, n: int) -> Column:
 
 
 def swear_count(c: Column) -> Column:
-    total = count_of(c, SWEARS_HAN) - count_of(c, "草莓")
-    for p in SWEARS:
-        total = total + count_of(c, "(?i)" + ascii_edges(p))
-    return total
+    """Whole words, which cannot overlap, by one alternation; the others only in texts that hold Han characters."""
+    return count_of(c, "(?i)" + ascii_edges("|".join(SWEARS))) + F.when(c.rlike(HAN), count_of(c, SWEARS_HAN)).otherwise(0)
+
+
+def letters(c: Column, which: str) -> Column:
+    """How many characters of `which` a text holds."""
+    return (F.length(c) - F.length(F.translate(c, which, ""))).cast("long")
 
 
 def redact(c: Column, email: bool = True, phone: bool = True, address: bool = True, secrets: bool = True, custom: list[dict] | None = None) -> Column:
     """Replaces e-mails, phone numbers, addresses, secrets and custom patterns, in that order. A custom pattern:
     pattern, is_regex, flags (g: all matches, i: any case), replacement."""
+
+    def put(c: Column, sign: Column, pattern: str, new: str) -> Column:
+        """Texts without a cheap sign of a match are not searched."""
+        return F.when(sign, F.regexp_replace(c, pattern, new)).otherwise(c)
+
+    digits = F.length(c) - F.length(F.translate(c, "0123456789", ""))
     if email:
-        c = F.regexp_replace(c, ascii_pattern(EMAIL), "[redacted-email]")
+        c = put(c, c.contains("@"), ascii_pattern(EMAIL.removesuffix(r"\b")) + AFTER_WORD, "[redacted-email]")
     if phone:
-        c = F.regexp_replace(c, PHONE, "[redacted-phone]")
+        c = put(c, digits >= 2, PHONE, "[redacted-phone]")
     if address:
-        c = F.regexp_replace(c, ascii_pattern(ADDRESS), "[redacted-address]")
-    for p in SECRETS if secrets else ():
-        c = F.regexp_replace(c, ascii_pattern(p), "[redacted-secret]")
+        c = put(c, digits >= 1, ADDRESS.replace(r"\b\.?", AFTER_WORD + r"\.?").replace(r"\b", BEFORE_WORD), "[redacted-address]")
+    for p, sign in zip(SECRETS, SECRET_SIGNS) if secrets else ():
+        edges = p.replace(r"\b", BEFORE_WORD, 1).replace(r"\b", AFTER_WORD) if sign else ascii_pattern(p)
+        c = put(c, c.contains(sign) if sign else c.rlike(LONG_RUNS), edges, "[redacted-secret]")
     for p in custom or ():
         flags = p.get("flags", "gi") or ("" if p.get("is_regex") else "gi")
         body = p["pattern"] if p.get("is_regex") else "".join("\\" + x if x in r".*+?^${}()|[]\\" else x for x in p["pattern"])
@@ -125,10 +152,12 @@ def slug(c: Column) -> Column:
 
 
 def slugify(name: Column, username: Column) -> Column:
-    """First word of a name and the user name, both of a-z and 0-9."""
-    first = F.regexp_replace(F.lower(F.element_at(F.split(F.trim(name), r"\s+"), 1)), "[^a-z0-9]", "")
+    """First word of a name and the user name, both of a-z and 0-9, joined by a hyphen if there is a user name (also
+    where nothing is left of the first word)."""
+    words = F.split(F.regexp_replace(F.coalesce(name, F.lit("")), "^" + WS + "+", ""), WS + "+")
+    first = F.regexp_replace(F.lower(F.element_at(words, 1)), "[^a-z0-9]", "")
     user = F.regexp_replace(F.lower(F.coalesce(username, F.lit(""))), "[^a-z0-9]", "")
-    return F.concat_ws("-", F.nullif(first, F.lit("")), F.nullif(user, F.lit("")))
+    return F.when(user != "", F.concat(first, F.lit("-"), user)).otherwise(first)
 
 
 def result_file_name(contact_id: Column) -> Column:

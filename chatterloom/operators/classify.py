@@ -9,30 +9,48 @@ from ..functions.text import result_file_name
 
 # The labels in use.
 LABELS = "intimate_partner family_close family_extended close_friend friend work_peer work_hierarchy acquaintance unclassified".split()
+#: Sources of labels that no result replaces.
+USER_SET = ("manual_override", "correction_override")
 
 
-def tasks(contacts: DataFrame, classified: DataFrame, results: DataFrame) -> DataFrame:
-    """Contacts without a label or a result, with the file that each result goes to."""
+def tasks(contacts: DataFrame, classified: DataFrame, results: DataFrame, signals: DataFrame | None = None, result_dir: str = "exports/classifications", sample_dir: str = "exports/samples/classify", n: int = 200) -> DataFrame:
+    """Contacts without a label or a result: the file that each result goes to, its path, the path of its sample and the
+    command that makes it, and the contact's signal from groups (null without one, or without signals)."""
     left = contacts.join(classified.select("contact_id"), "contact_id", "left_anti").join(results.select("contact_id"), "contact_id", "left_anti")
-    return left.withColumn("result_file", result_file_name(F.col("contact_id")))
+    file = result_file_name(F.col("contact_id"))
+    at = F.concat(F.lit(sample_dir + "/"), file)
+    command = F.array(*map(F.lit, ("python", "-m", "chatterloom.cli", "sample", "classify", "--contact")), F.col("contact_id"), F.lit("--n"), F.lit(str(n)), F.lit("--out"), at)
+    left = left.withColumn("result_file", file).withColumn("result_path", F.concat(F.lit(result_dir + "/"), file)).withColumn("sample_path", at).withColumn("sample_command", command)
+    if signals is None:
+        return left.withColumn("group_signal", F.lit(None).cast("string"))
+    of = signals.select("contact_id", F.struct(*signals.columns).alias("group_signal"))
+    return left.join(of, "contact_id", "left")
 
 
 def shards(t: DataFrame, size: int = 5) -> DataFrame:
-    """Numbered shards of `size` tasks, most messages first. One ordered window without a key: a single task reads the rows, one a
-    contact, so keep their columns few."""
+    """Numbered shards of `size` tasks, most messages first. A task's place is its place among those with as many
+    messages and the number of those with more: the latter comes from a row for each number of messages."""
     size = max(1, size)
-    order = [F.desc("message_count_total"), F.asc("contact_id")]
-    d = t.withColumn("__part", F.lit(0)).withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1)
-    return d.withColumn("shard_index", (F.floor(F.col("__n") / size) + 1).cast("long")).drop("__part", "__n")
+    by = "message_count_total"
+    more = t.groupBy(by).agg(F.count("*").alias("__k")).withColumn("__one", F.lit(0))
+    more = more.select(by, (F.sum("__k").over(Window.partitionBy("__one").orderBy(F.desc(by))) - F.col("__k")).alias("__before"))
+    d = t.join(more, by).withColumn("__n", F.col("__before") + F.row_number().over(Window.partitionBy(by).orderBy("contact_id")) - 1)
+    return d.withColumn("shard_index", (F.floor(F.col("__n") / size) + 1).cast("long")).select(*t.columns, "shard_index")
 
 
 def merge(contacts: DataFrame, existing: DataFrame, results: DataFrame) -> DataFrame:
-    """For each contact: a manual override, else the last result, else the label it had, else missing."""
-    last = results.groupBy("contact_id").agg(F.max_by("label", "seq").alias("new"), F.count("*").alias("k"))
-    had = existing.select("contact_id", F.col("label").alias("old"), F.col("label_source").alias("src"))
-    d = contacts.join(had, "contact_id", "left").join(last, "contact_id", "left")
-    label = F.when(F.col("src") == "manual_override", F.col("old")).otherwise(F.coalesce("new", "old"))
-    return d.select("contact_id", label.alias("label"), label.isNull().alias("missing"), F.coalesce(F.col("k") > 1, F.lit(False)).alias("duplicate"))
+    """For each contact: the row with a label that the user set or corrected, else the last result, else the row it had,
+    else missing. All columns of the results come back: those of the row that stands."""
+    rest = [c for c in results.columns if c not in ("contact_id", "seq")]
+    row = lambda d: F.struct(*[(F.col(c) if c in d.columns else F.lit(None).cast(results.schema[c].dataType)).alias(c) for c in rest])
+    last = results.groupBy("contact_id").agg(F.max_by(row(results), "seq").alias("new"), F.count("*").alias("k"))
+    if "seq" in existing.columns:  # of several rows of a contact the last
+        existing = existing.groupBy("contact_id").agg(F.max_by(F.struct(*[c for c in existing.columns if c != "contact_id"]), "seq").alias("e")).select("contact_id", "e.*")
+    had = existing.select("contact_id", row(existing).alias("old"), F.col("label_source").alias("src"))
+    d = contacts.select("contact_id").join(had, "contact_id", "left").join(last, "contact_id", "left")
+    stands = F.when(F.col("src").isin(*USER_SET), F.col("old")).otherwise(F.coalesce("new", "old"))
+    d = d.select("contact_id", stands.alias("row"), F.coalesce(F.col("k") > 1, F.lit(False)).alias("duplicate"))
+    return d.select("contact_id", *[F.col("row")[c].alias(c) for c in rest], F.col("row").isNull().alias("missing"), "duplicate")
 
 
 def progress(contacts: DataFrame, classified: DataFrame) -> DataFrame:
@@ -42,6 +60,11 @@ def progress(contacts: DataFrame, classified: DataFrame) -> DataFrame:
     return d.agg(F.count_if(on("a")).alias("total"), F.count_if(on("a") & on("b")).alias("classified"), F.count_if(~on("a")).alias("extra"), F.count_if(F.col("k") > 1).alias("duplicates"), F.count_if(~on("b")).alias("remaining"))
 
 
+def waiting(contacts: DataFrame, classified: DataFrame) -> DataFrame:
+    """Contacts without a label, those with the most messages first."""
+    return contacts.join(classified.select("contact_id"), "contact_id", "left_anti").orderBy(F.desc("message_count_total"), "contact_id")
+
+
 def manifest(contacts: DataFrame, classified: DataFrame, results: DataFrame, size: int = 5) -> DataFrame:
     n = tasks(contacts, classified, results).agg(F.count("*").alias("remaining"))
     a, b = contacts.agg(F.count("*").alias("total")), classified.agg(F.count("*").alias("existing"))

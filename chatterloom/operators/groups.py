@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import has_text, normal_identity, tokens, utf16_length
+from ..functions.text import WS, has_text, normal_identity, tokens, utf16_length
 
 # Words that are not counted as terms.
 STOPWORDS = "the and you that this for with have not are was but just 啊 吗 吧 呢 的 了 是 我 你 他 她 它 们 在 就 都 和".split()
@@ -22,7 +22,8 @@ def tone_counts(g: DataFrame) -> DataFrame:
 
 
 def contexts(g: DataFrame) -> DataFrame:
-    return g.groupBy("group_id").agg(F.count("*").alias("messages"), F.count_if(F.col("sender") == "me").alias("messages_from_me"), F.countDistinct("participant_id").alias("participants"), F.min("timestamp").alias("first_at"), F.max("timestamp").alias("last_at"))
+    """Groups, those with the most messages first."""
+    return g.groupBy("group_id").agg(F.count("*").alias("messages"), F.count_if(F.col("sender") == "me").alias("messages_from_me"), F.countDistinct("participant_id").alias("participants"), F.min("timestamp").alias("first_at"), F.max("timestamp").alias("last_at")).orderBy(F.desc("messages"), "group_id")
 
 
 def top_participants(g: DataFrame, top: int = 20) -> DataFrame:
@@ -31,40 +32,61 @@ def top_participants(g: DataFrame, top: int = 20) -> DataFrame:
     return c.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= top).drop("seen")
 
 
-def top_terms(g: DataFrame, top: int = 25, only_me: bool = False) -> DataFrame:
+def top_terms(g: DataFrame, top: int = 25, only_me: bool = False, cut: Callable[[Column], Column] = tokens) -> DataFrame:
     g = g.where(has_text(F.col("text")))
-    t = (g.where("sender = 'me'") if only_me else g).select("group_id", "seq", F.posexplode(tokens(F.col("text"))).alias("pos", "term"))
+    t = (g.where("sender = 'me'") if only_me else g).select("group_id", "seq", F.posexplode(cut(F.col("text"))).alias("pos", "term"))
     t = t.where((utf16_length(F.col("term")) > 1) & ~F.col("term").isin(STOPWORDS))
     c = t.groupBy("group_id", "term").agg(F.count("*").alias("count"), F.min(F.struct("seq", "pos")).alias("seen"))
     return c.withColumn("rank", F.row_number().over(Window.partitionBy("group_id").orderBy(F.desc("count"), "seen")).cast("long")).where(F.col("rank") <= top).drop("seen")
 
 
-def signals(g: DataFrame, contacts: DataFrame) -> DataFrame:
-    """Contacts met in groups, by id or name. Messages count once for each of the two keys that match, as the format
-    defines; own messages of shared groups once."""
-    keys = lambda d, a, b, *more: d.select(*more, F.explode(F.array_distinct(F.array(normal_identity(F.col(a)), normal_identity(F.col(b))))).alias("key")).where("key <> ''")
-    per = keys(g, "participant_id", "participant_name", "group_id", "participant_id").groupBy("key", "group_id", "participant_id").agg(F.count("*").alias("n"))
-    hit = keys(contacts, "contact_id", "contact_name", "contact_id").join(per, "key")
-    by_group = hit.groupBy("contact_id", "group_id").agg(F.sum("n").alias("n"))
-    own = g.where("sender = 'me'").groupBy("group_id").agg(F.count("*").alias("own"))
-    return by_group.join(own, "group_id", "left").groupBy("contact_id").agg(F.count("*").alias("shared_groups"), F.sum("n").alias("messages_from_participant"), F.coalesce(F.sum("own"), F.lit(0)).alias("messages_from_me"))
+#: Terms of a group that one row of its messages is searched for; a group with more has several rows a message.
+TERMS_A_ROW = 500
+TOP_ADDRESS_TERMS = 10
 
 
-#: Terms that one pass over the messages asks of; more go in further passes.
-TERMS_A_PASS = 1000
+def uses(text: Column, term: Column) -> Column:
+    """How often a text holds a term, from the left and without overlaps."""
+    return ((F.length(text) - F.length(F.replace(text, term, F.lit("")))) / F.length(term)).cast("long")
 
 
 def mentions(g: DataFrame, terms: DataFrame) -> DataFrame:
-    """Uses of each of a list of terms in own messages: term, count. terms are names that a caller asks of: they are
-    counted here and dealt to blocks by their hash, each of about TERMS_A_PASS, which are broadcast one by one."""
-    own = g.where((F.col("sender") == "me") & has_text(F.col("text"))).select("text")
-    k = ((F.length("text") - F.length(F.replace("text", F.col("term"), F.lit("")))) / F.length("term")).cast("long")
-    asked = terms.where(F.length("term") >= 2).select("term").distinct()
-    blocks = -(-asked.count() // TERMS_A_PASS) or 1
-
-    def counted(part: DataFrame) -> DataFrame:
-        hits = own.join(F.broadcast(part), F.col("text").contains(F.col("term")))
-        return hits.groupBy("term").agg(F.sum(k).alias("count")).where("count > 0")
-
-    each = [counted(asked.where(F.pmod(F.xxhash64("term"), F.lit(blocks)) == b) if blocks > 1 else asked) for b in range(blocks)]
-    return reduce(DataFrame.unionByName, each)
+    """Uses of terms (group_id, term) in the own messages of their group: group_id, term, count. A group's terms travel
+    with its messages as arrays of TERMS_A_ROW, so that no row stands for a pair of a message and a term."""
+    asked = terms.select("group_id", F.regexp_replace("term", f"^{WS}+|{WS}+$", "").alias("term")).where(utf16_length(F.col("term")) >= 2).distinct()
+    size = asked.groupBy("group_id").agg(F.ceil(F.count("*") / TERMS_A_ROW).cast("int").alias("blocks"))
+    blocks = asked.join(size, "group_id").groupBy("group_id", F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block")).agg(F.collect_list("term").alias("terms"))
+    own = g.where((F.col("sender") == "me") & has_text(F.col("text"))).select("group_id", "text")
+    found = F.filter(F.transform("terms", lambda t: F.struct(t.alias("term"), uses(F.col("text"), t).alias("k"))), lambda x: x["k"] > 0)
+    return own.join(blocks, "group_id").select("group_id", F.inline(found)).groupBy("group_id", "term").agg(F.sum("k").alias("count"))
+
+
+def signals(g: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Contacts met in groups, by id or name, with the ids and names that matched (sorted), the groups shared, messages
+    and the ten terms that own messages there address them by (term, count; most used first, then by term). A message
+    counts once for each of the two keys that match, as the format defines; own messages of shared groups once.
+    Evidence of groups is weak."""
+    keys = lambda d, a, b, *more: d.select(*more, F.explode(F.array_distinct(F.array(normal_identity(F.col(a)), normal_identity(F.col(b))))).alias("key")).where("key <> ''")
+    per = keys(g, "participant_id", "participant_name", "group_id", "participant_id", "participant_name").groupBy("key", "group_id", "participant_id", "participant_name").agg(F.count("*").alias("n"))
+    hit = keys(contacts, "contact_id", "contact_name", "contact_id", "contact_name").join(per, "key")
+    each = hit.groupBy("contact_id", "contact_name", "group_id", "participant_id", "participant_name").agg(F.sum("n").alias("n"))
+    own = g.where("sender = 'me'").groupBy("group_id").agg(F.count("*").alias("own"))
+    by_group = each.groupBy("contact_id", "contact_name", "group_id").agg(F.sum("n").alias("n"), F.collect_set("participant_id").alias("ids"), F.collect_set("participant_name").alias("names"))
+    people = by_group.join(own, "group_id", "left").groupBy("contact_id", "contact_name").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("matched_participant_ids"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("matched_participant_names"),
+        F.count("*").alias("shared_groups"),
+        F.coalesce(F.sum("own"), F.lit(0)).alias("messages_from_me"),
+        F.sum("n").alias("messages_from_participant"),
+    )
+    trim = lambda c: F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    names = each.select("contact_id", "group_id", F.explode(F.array("contact_name", "participant_name")).alias("term"))
+    names = names.select("contact_id", "group_id", trim("term").alias("term")).distinct()
+    # a name is asked of in all groups that its contact shares, whichever it was met in
+    names = names.select("contact_id", "term").distinct().join(names.select("contact_id", "group_id").distinct(), "contact_id")
+    used = names.join(mentions(g, names.select("group_id", "term")), ["group_id", "term"]).groupBy("contact_id", "term").agg(F.sum("count").alias("count"))
+    rank = F.row_number().over(Window.partitionBy("contact_id").orderBy(F.desc("count"), "term"))
+    top = used.withColumn("rank", rank).where(F.col("rank") <= TOP_ADDRESS_TERMS).groupBy("contact_id").agg(F.array_sort(F.collect_list(F.struct("rank", "term", "count"))).alias("t"))
+    terms = F.coalesce(F.transform("t", lambda x: F.struct(x["term"].alias("term"), x["count"].alias("count"))), F.expr("cast(array() as array<struct<term:string,count:bigint>>)"))
+    out = people.join(top, "contact_id", "left").withColumn("address_terms_from_me", terms).drop("t")
+    return out.select("*", F.lit("group_chat").alias("evidence_source"), F.lit("weak").alias("weight")).orderBy(F.desc("shared_groups"), F.desc("messages_from_participant"), "contact_id")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .classify import half_year
+
 # Sources of a correction, the strongest first; and how each section of a document is merged (open
-# threads and sensitivities have rules of their own: open_threads here, decayed in classify).
+# threads and sensitivities have rules of their own: merge_threads here, decayed in classify).
 CORRECTIONS = "agent_hard agent_soft person_hard person_soft tone_register_hard tone_register_soft tone_hard tone_soft agent_body person_body tone_register_table tone_body".split()
 STRATEGIES = {
     "quick rules": "replace",
@@ -76,6 +78,39 @@ def merge_sections(old: DataFrame, new: DataFrame, strategies: dict[str, str] =
     return d.select("contact_id", "section", body.alias("body"))
 
 
+def merge_threads(old: DataFrame, new: DataFrame) -> DataFrame:
+    """contact_id, thread, status, last_seen: threads of the new findings as they are; those that only the old ones have
+    stay and are marked as resolved or stale, last seen when they last were. old, new: contact_id, thread, status, last_seen."""
+    o = old.select("contact_id", "thread", F.col("last_seen").alias("__seen"))
+    d = o.join(new, ["contact_id", "thread"], "full")
+    return d.select("contact_id", "thread", F.coalesce("status", F.lit("resolved or stale")).alias("status"), F.coalesce("last_seen", "__seen").alias("last_seen"))
+
+
+#: Contacts with more messages than this are read in windows of half a year.
+CHUNK_TRIGGER = 5000
+
+
+def chunks(m: DataFrame, trigger: int = CHUNK_TRIGGER) -> DataFrame:
+    """contact_id, half, messages, first_at, last_at: the windows in which a contact is read; half is null for a contact
+    that is read at once."""
+    each = m.groupBy("contact_id", half_year(F.col("timestamp")).alias("h")).agg(F.count("*").alias("k"), F.min("timestamp").alias("a"), F.max("timestamp").alias("b"))
+    large = F.sum("k").over(Window.partitionBy("contact_id")) > trigger
+    return each.withColumn("half", F.when(large, F.col("h"))).groupBy("contact_id", "half").agg(F.sum("k").alias("messages"), F.min("a").alias("first_at"), F.max("b").alias("last_at"))
+
+
+#: Kinds of findings that only the last window tells.
+OF_LAST_WINDOW = ("thread", "last_state")
+
+
+def merge_windows(found: DataFrame) -> DataFrame:
+    """Findings of windows (contact_id, half, kind, item, count, first_seen, severity) as those of contacts: equal items are
+    one, with counts added, the earliest first_seen and the highest severity; threads and last states of the last
+    window only."""
+    last = F.max("half").over(Window.partitionBy("contact_id"))
+    d = found.withColumn("__last", last).where(~F.col("kind").isin(*OF_LAST_WINDOW) | (F.col("half") == F.col("__last")))
+    return d.groupBy("contact_id", "kind", "item").agg(F.sum("count").alias("count"), F.min("first_seen").alias("first_seen"), F.max("severity").alias("severity"))
+
+
 def roll_back(old: DataFrame, new: DataFrame, labels: float = 0.3, sensitivities: float = 0.5) -> DataFrame:
     """One row: the share of contacts with another label and of sensitivities that went, and whether to roll back.
     old, new: contact_id, label, sensitivities (a count)."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +37,7 @@ def topic_count(text: Column, words: str) -> Column:
 
 def picked(n: Column, count: Column, rank: Column) -> Column:
     """Whether 0-based rank is floor(i * (count / n)) for an i below n, for n below count."""
-    step = count.cast("double") / n
+    step = count.cast("double") / F.greatest(n, F.lit(1))
     i = F.ceil(rank / step)
     near = [F.greatest(F.lit(0), i + k) for k in (-1, 0, 1)]
     hit = F.lit(False)
@@ -53,28 +52,40 @@ def uniform_stride(m: DataFrame, scope: list[str], n: int, order: tuple = ("time
     return d.where((F.col("__n") <= n) | picked(F.lit(n), F.col("__n"), F.col("__r"))).drop("__n", "__r")
 
 
-def time_stratified(m: DataFrame, scope: list[str], n: int | Column, buckets: int = BUCKETS) -> DataFrame:
-    """At most n messages for each scope, evenly from equal spans of time; what sparse spans lack comes from the rest
-    by stride. n may be a column that is the same for all rows of a scope."""
-    n = F.lit(n) if isinstance(n, int) else n
-    w = Window.partitionBy(*scope)
+def with_strata(m: DataFrame, scope: list[str], n: Column, buckets: Column | int, chosen: str, among: Column | None = None) -> DataFrame:
+    """m with a flag `chosen`: at most n messages of each scope (of those for which `among` holds), evenly from equal
+    spans of time; what sparse spans lack comes from the rest by stride. n is the same for all rows of a scope."""
+    among = F.lit(True) if among is None else among
+    buckets = F.lit(buckets) if isinstance(buckets, int) else buckets
     ms = F.unix_millis("timestamp")
-    d = m.withColumn("__n", F.count("*").over(w)).withColumn("__lo", F.min(ms).over(w)).withColumn("__hi", F.max(ms).over(w))
-    size = (F.col("__hi") - F.col("__lo")) / F.lit(float(buckets))
-    b = F.when(F.col("__hi") == F.col("__lo"), F.lit(0)).otherwise(F.least(F.lit(buckets - 1), F.floor((ms - F.col("__lo")) / size)))
+    d = m.withColumn("__a", among).withColumn("__want", n)
+    w = Window.partitionBy(*scope, "__a")
+    d = d.withColumn("__n", F.count("*").over(w)).withColumn("__lo", F.min(ms).over(w)).withColumn("__hi", F.max(ms).over(w))
     flat = F.col("__hi") == F.col("__lo")
-    d = d.withColumn("__b", b.cast("int"))
-    bw = Window.partitionBy(*scope, "__b")
+    size = (F.col("__hi") - F.col("__lo")) / buckets.cast("double")
+    d = d.withColumn("__b", F.when(flat, F.lit(0)).otherwise(F.least(buckets - 1, F.floor((ms - F.col("__lo")) / size))).cast("int"))
+    bw = Window.partitionBy(*scope, "__a", "__b")
     d = d.withColumn("__k", F.count("*").over(bw)).withColumn("__r", F.row_number().over(bw.orderBy("timestamp", "seq")) - 1)
-    quota = F.when(flat, n).otherwise(F.floor(n / buckets) + (F.col("__b") < n % buckets).cast("int"))
-    take = (F.col("__n") <= n) | (F.col("__k") <= quota) | picked(quota, F.col("__k"), F.col("__r"))
+    want = F.col("__want")
+    quota = F.when(flat, want).otherwise(F.floor(want / buckets) + (F.col("__b") < want % buckets).cast("int"))
+    take = F.col("__a") & (want > 0) & ((F.col("__n") <= want) | (F.col("__k") <= quota) | picked(quota, F.col("__k"), F.col("__r")))
     d = d.withColumn("__t", F.coalesce(take, F.lit(False)))
-    taken = F.sum(F.col("__t").cast("long")).over(w)
-    d = d.withColumn("__gap", F.when(F.col("__n") <= n, F.lit(0)).otherwise(F.greatest(F.lit(0), n - taken)))
-    rw = Window.partitionBy(*scope, "__t")
+    d = d.withColumn("__gap", F.when(F.col("__n") <= want, F.lit(0)).otherwise(F.greatest(F.lit(0), want - F.sum(F.col("__t").cast("long")).over(w))))
+    rw = Window.partitionBy(*scope, "__a", "__t")
     d = d.withColumn("__q", F.row_number().over(rw.orderBy("timestamp", "seq")) - 1).withColumn("__m", F.count("*").over(rw))
-    extra = ~F.col("__t") & ((F.col("__m") <= F.col("__gap")) & (F.col("__gap") > 0) | picked(F.col("__gap"), F.col("__m"), F.col("__q")))
-    return d.where(F.col("__t") | extra).drop("__n", "__lo", "__hi", "__b", "__k", "__r", "__t", "__gap", "__q", "__m")
+    extra = F.col("__a") & ~F.col("__t") & (F.col("__gap") > 0) & ((F.col("__m") <= F.col("__gap")) | picked(F.col("__gap"), F.col("__m"), F.col("__q")))
+    return d.withColumn(chosen, F.col("__t") | extra).drop("__a", "__want", "__n", "__lo", "__hi", "__b", "__k", "__r", "__t", "__gap", "__q", "__m")
+
+
+def time_stratified(m: DataFrame, scope: list[str], n: int | Column, buckets: int = BUCKETS) -> DataFrame:
+    """At most n messages for each scope, spread over time. n may be a column that is the same for all rows of a scope."""
+    return with_strata(m, scope, F.lit(n) if isinstance(n, int) else n, buckets, "__chosen").where("__chosen").drop("__chosen")
+
+
+def label_quotas(classified: DataFrame, total: int) -> DataFrame:
+    """label, contacts, label_quota of a persona sample."""
+    quotas = persona_quota(classified.where("label <> 'unclassified'"), total)
+    return quotas.groupBy("label").agg(F.count("*").alias("contacts"), F.max("label_quota").alias("label_quota")).orderBy("label")
 
 
 def persona_quota(classified: DataFrame, total: int) -> DataFrame:
@@ -87,86 +98,91 @@ def persona_quota(classified: DataFrame, total: int) -> DataFrame:
     return d.select("contact_id", "label", "label_quota", (F.floor(F.col("label_quota") / F.col("contacts")) + (F.col("j") < F.col("label_quota") % F.col("contacts")).cast("long")).alias("quota"))
 
 
+TOPIC_OF = {w: t for t, words in TOPICS.items() for w in words.split()}
+TOP_TERMS = 10
+
+
+def topic_terms(text: Column) -> Column:
+    """The topics' terms that a text holds, in lower case and as often as it holds them: ASCII ones as whole words by one
+    search, the others as substrings, in texts with Han characters only."""
+    whole = F.transform(F.regexp_extract_all(text, F.lit(term_pattern("|".join(w for w in TOPIC_OF if w.isascii()))), F.lit(0)), F.lower)
+    parts = F.flatten(F.array(*[F.array_repeat(F.lit(w), count_of(text, w).cast("int")) for w in TOPIC_OF if not w.isascii()]))
+    return F.when(text.rlike(HAN), F.concat(whole, parts)).otherwise(whole)
+
+
 def topic_profile(m: DataFrame, scope: list[str]) -> DataFrame:
-    """For each scope and topic, messages with a term of it and terms in all."""
-    d = m.where(has_text(F.col("text")))
-    each = F.array(*[F.struct(F.lit(t).alias("topic"), topic_count(F.col("text"), words).alias("k")) for t, words in TOPICS.items()])
-    return d.select(*scope, F.explode(each).alias("e")).groupBy(*scope, "e.topic").agg(F.count_if(F.col("e.k") > 0).alias("message_count"), F.sum("e.k").alias("match_count"))
+    """For each scope and topic: messages with a term of it, uses of terms, and the ten most used (term, count), equal
+    counts in the order of the terms. Topics that no message has are there with zeros."""
+    d = m.where(has_text(F.col("text"))).select(*scope, topic_terms(F.col("text")).alias("terms"))
+    of = F.create_map(*[F.lit(x) for pair in TOPIC_OF.items() for x in pair])
+    d = d.select(*scope, "terms", F.transform("terms", lambda t: of[t]).alias("topics"))
+    # a hit counts its message if it is the first of its topic there; a hit without a topic stands for each scope
+    hits = d.select(*scope, F.posexplode_outer("terms").alias("pos", "term"), "topics").withColumn("topic", of[F.col("term")])
+    first = F.array_position("topics", F.col("topic")) == F.col("pos") + 1
+    counted = hits.groupBy(*scope, "topic", "term").agg(F.count("*").alias("count"), F.count_if(first).alias("messages"))
+    every = counted.select(*scope, F.explode(F.array(*map(F.lit, TOPICS))).alias("topic"), F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("count"), F.lit(0).cast("long").alias("messages")).distinct()
+    counted = counted.where("topic is not null").unionByName(every)
+    pairs = F.collect_list(F.when(F.col("term").isNotNull(), F.struct((-F.col("count")).alias("less"), "term")))  # a topic has few terms
+    out = counted.groupBy(*scope, "topic").agg(F.sum("messages").alias("message_count"), F.sum("count").alias("match_count"), F.array_sort(pairs).alias("p"))
+    return out.select(*scope, "topic", "message_count", "match_count", F.transform(F.slice("p", 1, TOP_TERMS), lambda x: F.struct(x["term"].alias("term"), (-x["less"]).alias("count"))).alias("top_terms"))
 
 
 def total_text_chars(m: DataFrame, scope: list[str]) -> DataFrame:
     return m.groupBy(*scope).agg(F.coalesce(F.sum(utf16_length(F.col("text"))), F.lit(0)).alias("chars"))
 
 
-def stride_list(items: list, n: int) -> list:
-    return items if len(items) <= n else [items[int(i * (len(items) / n))] for i in range(n)]
-
-
-def strata_list(items: list[tuple], n: int, buckets: int = BUCKETS) -> list[tuple]:
-    """time_stratified over (ms, seq, ...) rows of one contact that are in order of time."""
-    if len(items) <= n:
-        return items
-    lo, hi = items[0][0], items[-1][0]
-    if lo == hi:
-        return stride_list(items, n)
-    by: list[list] = [[] for _ in range(buckets)]
-    for x in items:
-        by[min(buckets - 1, int((x[0] - lo) / ((hi - lo) / buckets)))].append(x)
-    out = [x for k, b in enumerate(by) for x in stride_list(b, n // buckets + (k < n % buckets))]
-    if len(out) < n:
-        seen = set(out)
-        out += stride_list([x for x in items if x not in seen], n - len(out))
-    return sorted(out)
+#: Share of a topic-aware sample that goes by time alone.
+BY_TIME = 0.65
 
 
 def topic_aware(m: DataFrame, n: int, buckets: int = BUCKETS) -> DataFrame:
-    """contact_id, seq of samples that keep sparse topics: 65 % by time, the rest shared over topics, largest first.
-    Each choice depends on those before, so a contact's places and topic flags (not its texts) go to one function."""
+    """contact_id, seq of samples that keep sparse topics: a share by time, the rest over the contact's topics, those
+    with the most messages first, each by stride over all its messages; what is left goes by time again. Each topic's
+    share depends on what was chosen before, so there is a pass for each; all are windows over the same partitioning,
+    on rows of a few numbers."""
     n = max(1, n)
     text = F.coalesce("text", F.lit(""))
-    flags = F.array(*[(topic_count(text, w) > 0) for w in TOPICS.values()])
-    rows = m.select("contact_id", "seq", F.unix_millis("timestamp").alias("ms"), flags.alias("topics"))
-
-    def choose(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(["ms", "seq"])
-        items = list(zip(p.ms, p.seq))
-        topics = dict(zip(items, p.topics))
-        got = dict.fromkeys(items if len(items) <= n else strata_list(items, max(1, int(n * 0.65)), buckets))
-        if len(items) > n:
-            by = [[x for x in items if topics[x][k]] for k in range(len(TOPICS))]
-            active = sorted((k for k in range(len(by)) if by[k]), key=lambda k: (-len(by[k]), k))
-            for i, k in enumerate(active):
-                left = n - len(got)
-                if left <= 0:
-                    break
-                for x in stride_list(by[k], max(1, -(-left // (len(active) - i)))):
-                    if len(got) < n:
-                        got[x] = None
-            if len(got) < n:
-                for x in strata_list([x for x in items if x not in got], n - len(got), buckets):
-                    got[x] = None
-        return pd.DataFrame({"contact_id": p.contact_id.iloc[0], "seq": [x[1] for x in got]})
-
-    return rows.groupBy("contact_id").applyInPandas(choose, "contact_id string, seq long")
+    flags = F.array(*[topic_count(text, w) > 0 for w in TOPICS.values()])
+    own = Window.partitionBy("contact_id")
+    d = m.select("contact_id", "seq", "timestamp", flags.alias("flags")).withColumn("total", F.count("*").over(own))
+    d = with_strata(d, ["contact_id"], F.lit(max(1, int(n * BY_TIME))), buckets, "got")
+    numbers = F.array(*[F.struct((-F.sum(F.element_at("flags", k + 1).cast("long")).over(own)).alias("less"), F.lit(k + 1).alias("at")) for k in range(len(TOPICS))])
+    d = d.withColumn("ranked", F.array_sort(F.filter(numbers, lambda x: x["less"] < 0))).withColumn("active", F.size("ranked"))
+    for i in range(len(TOPICS)):
+        d = d.withColumn("left", n - F.sum(F.col("got").cast("long")).over(own))
+        d = d.withColumn("is", F.coalesce(F.element_at("flags", F.get("ranked", F.lit(i))["at"]), F.lit(False)))
+        w = Window.partitionBy("contact_id", "is")
+        d = d.withColumn("k", F.count("*").over(w)).withColumn("r", F.row_number().over(w.orderBy("timestamp", "seq")) - 1)
+        quota = F.greatest(F.lit(1), F.ceil(F.col("left") / F.greatest(F.lit(1), F.col("active") - i)))
+        d = d.withColumn("got", F.col("got") | F.col("is") & (F.col("left") > 0) & ((F.col("k") <= quota) | picked(quota, F.col("k"), F.col("r"))))
+    d = d.withColumn("left", n - F.sum(F.col("got").cast("long")).over(own)).withColumn("had", F.col("got"))
+    d = with_strata(d, ["contact_id"], F.col("left"), buckets, "more", ~F.col("had"))
+    return d.where((F.col("total") <= n) | F.col("got") | F.col("more")).select("contact_id", "seq")
 
 
 def sample_plan(m: DataFrame, cutoff: int = 30_000) -> DataFrame:
-    """contact_id, chars and strategy: full for contacts of at most `cutoff` characters of text, else by topic."""
-    chars = total_text_chars(m, ["contact_id"])
-    return chars.withColumn("strategy", F.when(F.col("chars") <= cutoff, "full").otherwise("topic_aware_time_stratified"))
-
-
-def contact_sample(m: DataFrame, n: int = 200, cutoff: int = 30_000) -> DataFrame:
-    """contact_id, seq of each contact's sample by its plan, from messages with a text."""
+    """contact_id, chars, strategy (full for contacts of at most `cutoff` characters of text, else by topic and time) and
+    topic profile: a row (topic, message_count, match_count, top_terms) for each topic, in the topics' order."""
+    strategy = F.when(F.col("chars") <= cutoff, "full").otherwise("topic_time_stratified")
+    place = F.array_position(F.array(*map(F.lit, TOPICS)), F.col("topic"))
+    rows = topic_profile(m.withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(" "))), ["contact_id"])  # no text is empty, so no contact is missing
+    profile = rows.groupBy("contact_id").agg(F.array_sort(F.collect_list(F.struct(place.alias("at"), "topic", "message_count", "match_count", "top_terms"))).alias("p"))  # seven rows each
+    profile = profile.select("contact_id", F.transform("p", lambda x: x.dropFields("at")).alias("topic_profile"))
+    return total_text_chars(m, ["contact_id"]).withColumn("strategy", strategy).join(profile, "contact_id", "left")
+
+
+def contact_sample(m: DataFrame, n: int = 200, cutoff: int = 30_000, buckets: int = BUCKETS) -> DataFrame:
+    """contact_id, seq of each contact's sample: all messages with a text of contacts of at most `cutoff` characters, else a
+    topic-aware one."""
     m = m.where(F.col("text").isNotNull())
-    d = m.join(sample_plan(m, cutoff).select("contact_id", "strategy"), "contact_id")
-    whole = d.where("strategy = 'full'").select("contact_id", "seq")
-    return whole.unionByName(topic_aware(d.where("strategy <> 'full'").drop("strategy"), n))
+    d = m.join(total_text_chars(m, ["contact_id"]), "contact_id")
+    whole = d.where(F.col("chars") <= cutoff).select("contact_id", "seq")
+    return whole.unionByName(topic_aware(d.where(F.col("chars") > cutoff), n, buckets))
 
 
-def persona_sample(m: DataFrame, classified: DataFrame, total: int = 800) -> DataFrame:
+def persona_sample(m: DataFrame, classified: DataFrame, total: int = 800, buckets: int = BUCKETS) -> DataFrame:
     """contact_id, seq, label: own messages with a text, by time, as many for each contact as its quota says.
     Unclassified contacts give none."""
     quota = persona_quota(classified.where("label <> 'unclassified'"), total).select("contact_id", "label", F.col("quota").alias("__quota"))
     d = m.where((F.col("sender") == "me") & F.col("text").isNotNull()).join(quota, "contact_id")
-    return time_stratified(d, ["contact_id"], F.col("__quota")).select("contact_id", "seq", "label")
+    return time_stratified(d, ["contact_id"], F.col("__quota"), buckets).select("contact_id", "seq", "label")

@@ -3,12 +3,15 @@ messages together, ["contact_id"] for each contact. Only own messages with text
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import EMOJI, HAN, count_of, detect_lang, has_text, ngrams, right_trim, swear_count, tokens, utf16_length
+from ..functions.text import EMOJI, HAN, count_of, detect_lang, has_text, letters, ngrams, right_trim, swear_count, tokens, utf16_length
 
 BURST_GAP_MS = 300_000
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 THRESHOLDS = (100, 50)
 
 
@@ -49,31 +52,40 @@ def totals(m: DataFrame, total: int = THRESHOLDS[0], each_way: int = THRESHOLDS[
     return s.agg(F.sum("message_count_total").alias("total_messages"), F.sum("message_count_from_me").alias("total_messages_from_me"), F.count("*").alias("total_contacts"), F.count_if(ok).alias("contacts_above_threshold"))
 
 
-def top_terms(m: DataFrame, scope: list[str], n: int, top: int, least: int = 1) -> DataFrame:
-    """Most frequent n-grams; equal counts by first occurrence. least is met after the cut to `top`."""
-    words = mine(m).select(*scope, "seq", tokens(F.col("text")).alias("t"))  # a column of its own: worked out once a message
+def top_terms(m: DataFrame, scope: list[str], n: int, top: int, least: int = 1, cut: Callable[[Column], Column] = tokens) -> DataFrame:
+    """Most frequent n-grams of the tokens that `cut` makes; equal counts by first occurrence. least is met after the cut
+    to `top`."""
+    words = mine(m).select(*scope, "seq", cut(F.col("text")).alias("t"))  # a column of its own: worked out once a message
     terms = words.select(*scope, "seq", F.posexplode(F.col("t") if n == 1 else ngrams(F.col("t"), n)).alias("pos", "term"))
-    counted = terms.groupBy(*scope, "term").agg(F.count("*").alias("count"), F.min(F.struct("seq", "pos")).alias("seen"))
+    # the place of a term as one number, so that the aggregate is by hash; decimals hold any seq and pos
+    place = F.col("seq").cast("decimal(20,0)") * F.lit(10**10).cast("decimal(11,0)") + F.col("pos")
+    counted = terms.groupBy(*scope, "term").agg(F.count("*").alias("count"), F.min(place).alias("seen"))
     w = Window.partitionBy(*scope).orderBy(F.desc("count"), "seen")
     return counted.withColumn("rank", F.row_number().over(w).cast("long")).where((F.col("rank") <= top) & (F.col("count") >= least)).drop("seen")
 
 
-def lexical(m: DataFrame, scope: list[str]) -> DataFrame:
-    t = mine(m).select(*scope, "text", tokens(F.col("text")).alias("t"))
-    zh = F.filter("t", lambda x: x.rlike(HAN))
-    t = t.select(*scope, "t", F.size("t").cast("long").alias("n"), F.size(zh).cast("long").alias("zh"), swear_count(F.col("text")).alias("swears"))
-    some = t.groupBy(*scope).agg(
-        F.sum("n").alias("total_tokens"),
-        F.sum("swears").alias("swear_count"),
-        (1000 * ratio(F.sum("swears"), F.count("*"))).alias("swears_per_1k"),
-        ratio(F.sum(F.col("n") - F.col("zh")), F.sum("n")).alias("en_ratio"),
-        ratio(F.sum("zh"), F.sum("n")).alias("zh_ratio"),
+def lexical(m: DataFrame, scope: list[str], cut: Callable[[Column], Column] = tokens) -> DataFrame:
+    """Tokens are made once: a row for each, of which a message's first carries the message's own numbers; terms are
+    then counted in one group-by, and scopes in a second that only adds numbers."""
+    t = mine(m).select(*scope, "text", cut(F.col("text")).alias("t"))
+    zh = F.size(F.filter("t", lambda x: x.rlike(HAN))).cast("long")
+    t = t.select(*scope, F.posexplode_outer("t").alias("pos", "term"), F.size("t").cast("long").alias("n"), zh.alias("zh"), swear_count(F.col("text")).alias("swears"))
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    once = lambda c, name: F.sum(F.when(first, c).otherwise(0)).alias(name)
+    names = ("messages", "n", "zh", "swears", "mixed")
+    mixed = ((F.col("zh") > 0) & (F.col("n") > F.col("zh"))).cast("long")
+    terms = t.groupBy(*scope, "term").agg(*(once(c, k) for c, k in zip((F.lit(1), F.col("n"), F.col("zh"), F.col("swears"), mixed), names)))
+    s = {k: F.sum(k) for k in names}
+    return terms.groupBy(*scope).agg(
+        F.coalesce(s["n"], F.lit(0)).alias("total_tokens"),
+        F.coalesce(s["swears"], F.lit(0)).alias("swear_count"),
+        (1000 * ratio(s["swears"], s["messages"])).alias("swears_per_1k"),
+        ratio(s["n"] - s["zh"], s["n"]).alias("en_ratio"),
+        ratio(s["zh"], s["n"]).alias("zh_ratio"),
         F.lit(0.0).alias("other_ratio"),
-        ratio(F.count_if((F.col("zh") > 0) & (F.col("n") > F.col("zh"))), F.count("*")).alias("code_switch_rate"),
+        ratio(s["mixed"], s["messages"]).alias("code_switch_rate"),
+        F.count("term").alias("unique_tokens"),
     )
-    # distinct tokens by two group-bys: the second only adds numbers
-    unique = t.select(*scope, F.explode("t").alias("term")).groupBy(*scope, "term").count().groupBy(*scope).agg(F.count("*").alias("unique_tokens"))
-    return (some.join(unique, scope, "left") if scope else some.crossJoin(unique)).withColumn("unique_tokens", F.coalesce("unique_tokens", F.lit(0)))
 
 
 def punctuation(m: DataFrame, scope: list[str]) -> DataFrame:
@@ -85,11 +97,8 @@ def punctuation(m: DataFrame, scope: list[str]) -> DataFrame:
     return t.groupBy(*scope).agg(
         *[share(last == ch, name) for ch, name in ((".", "end_period"), ("!", "end_exclamation"), ("?", "end_question"), ("…", "end_ellipsis"))],
         share((last != "") & ~last.isin(".", "!", "?", "…"), "end_none"),
-        (F.sum(count_of(c, "[A-Z]")) / F.greatest(F.sum(count_of(c, "[A-Za-z]")), F.lit(1))).alias("caps_rate"),
-        share(c.rlike(r"\.\.\.|…"), "ellipsis_rate"),
-        share(c.rlike("[?？]"), "question_rate"),
-        share(c.rlike("[!！]"), "exclamation_rate"),
-        share(c.rlike("[,，]"), "comma_rate"),
+        (F.sum(letters(c, UPPER)) / F.greatest(F.sum(letters(c, UPPER + UPPER.lower())), F.lit(1))).alias("caps_rate"),
+        *[share(c.contains(a) | c.contains(b), name) for a, b, name in (("...", "…", "ellipsis_rate"), ("?", "？", "question_rate"), ("!", "！", "exclamation_rate"), (",", "，", "comma_rate"))],
     )
 
 
@@ -121,16 +130,42 @@ def structure(m: DataFrame, scope: list[str]) -> DataFrame:
     return placed.groupBy(*scope).agg(*bins, (F.sum(F.col("len") * F.col("k")) / F.sum("k")).alias("mean_length"), ((F.max("lo") + F.max("hi")) / 2.0).alias("median_length"), F.max("p").alias("p90_length"))
 
 
+#: Messages are set in order by spans of time of this size, and the spans are then joined at their ends.
+SPAN_MS = 86_400_000
+
+
+def gaps(m: DataFrame, scope: list[str]) -> DataFrame:
+    """scope, gap: the gaps (ms) from each message to the next in order of time, and null for the first. A
+    scope's messages are never in one task: gaps are taken within spans of time, then between spans, a row each."""
+    ms = F.unix_millis("timestamp")
+    d = m.select(*scope, ms.alias("ms"), F.floor(ms / SPAN_MS).alias("span"))
+    within = d.select(*scope, (F.col("ms") - F.lag("ms").over(Window.partitionBy(*scope, "span").orderBy("ms"))).alias("gap")).where("gap is not null")
+    ends = d.groupBy(*scope, "span").agg(F.min("ms").alias("lo"), F.max("ms").alias("hi"))
+    return within.unionByName(ends.select(*scope, (F.col("lo") - F.lag("hi").over(Window.partitionBy(*scope).orderBy("span"))).alias("gap")))
+
+
 def bursts(m: DataFrame, scope: list[str]) -> DataFrame:
     """Runs of own messages with gaps of five minutes at most: count, mean size, mean gaps within and between (s)."""
-    w = Window.partitionBy(*scope).orderBy("timestamp", "seq")
-    gap = F.unix_millis("timestamp") - F.unix_millis(F.lag("timestamp").over(w))
-    g = m.where("sender = 'me'").select(*scope, gap.alias("gap"))
+    g = gaps(m.where("sender = 'me'"), scope)
     inside = F.col("gap") <= BURST_GAP_MS
     n = F.count("*") - F.count_if(inside)
     return g.groupBy(*scope).agg(n.alias("bursts"), (F.count("*") / n).alias("mean_size"), (F.coalesce(F.avg(F.when(inside, F.col("gap"))), F.lit(0.0)) / 1000).alias("mean_gap_within"), (F.coalesce(F.avg(F.when(~inside, F.col("gap"))), F.lit(0.0)) / 1000).alias("mean_gap_between"))
 
 
+def burst_ids(m: DataFrame, scope: list[str]) -> DataFrame:
+    """Own messages with the number of their burst in the scope, from 1: scope, seq, burst."""
+    d = m.where("sender = 'me'").withColumn("ms", F.unix_millis("timestamp")).withColumn("span", F.floor(F.col("ms") / SPAN_MS))
+    w = Window.partitionBy(*scope, "span").orderBy("ms", "seq")
+    ends = d.groupBy(*scope, "span").agg(F.min("ms").alias("lo"), F.max("ms").alias("hi"))
+    before = ends.select(*scope, "span", F.lag("hi").over(Window.partitionBy(*scope).orderBy("span")).alias("before"))
+    d = d.join(before, [*scope, "span"])
+    gap = F.col("ms") - F.coalesce(F.lag("ms").over(w), F.col("before"))
+    d = d.withColumn("new", F.coalesce((gap > BURST_GAP_MS).cast("long"), F.lit(1)))
+    begun = d.groupBy(*scope, "span").agg(F.sum("new").alias("n"))
+    offset = begun.select(*scope, "span", (F.sum("n").over(Window.partitionBy(*scope).orderBy("span")) - F.col("n")).alias("offset"))
+    return d.withColumn("k", F.sum("new").over(w)).join(offset, [*scope, "span"]).select(*scope, "seq", (F.col("offset") + F.col("k")).alias("burst"))
+
+
 def hours(m: DataFrame, scope: list[str]) -> DataFrame:
     h, d = F.hour("timestamp"), F.dayofweek("timestamp") - 1
     return m.where("sender = 'me'").groupBy(*scope).agg(*[F.count_if(h == k).alias(f"h{k:02d}") for k in range(24)], *[F.count_if(d == k).alias(f"d{k}") for k in range(7)])
@@ -138,8 +173,9 @@ def hours(m: DataFrame, scope: list[str]) -> DataFrame:
 
 def replies(m: DataFrame, asker: str = "them") -> DataFrame:
     """Each message of `asker` with the wait for the next of the other side, in the same contact."""
-    w = Window.partitionBy("contact_id").orderBy("timestamp", "seq").rowsBetween(1, Window.unboundedFollowing)
-    nxt = F.first(F.when(F.col("sender") != asker, F.col("timestamp")), ignorenulls=True).over(w)
+    # from the end, so that the frame only grows: time in proportion to the messages
+    w = Window.partitionBy("contact_id").orderBy(F.desc("timestamp"), F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
+    nxt = F.last(F.when(F.col("sender") != asker, F.col("timestamp")), ignorenulls=True).over(w)
     return m.withColumn("next", nxt).where((F.col("sender") == asker) & F.col("next").isNotNull()).select("contact_id", "seq", (F.unix_millis("next") - F.unix_millis("timestamp")).alias("wait_ms"))
 
 
@@ -149,3 +185,28 @@ def reply_latency(m: DataFrame, scope: list[str], asker: str = "them") -> DataFr
 
 def languages(m: DataFrame) -> DataFrame:
     return m.where(has_text(F.col("text"))).groupBy("contact_id", detect_lang(F.col("text")).alias("language")).agg(F.count("*").alias("messages"))
+
+
+#: Parts of a bundle that are lists: their rank sets the order of (term, count).
+LISTS = {"words": (1, 50, 1), "bigrams": (2, 30, 1), "trigrams": (3, 20, 3)}
+
+
+def bundled(m: DataFrame, scope: list[str]) -> DataFrame:
+    """A row for each scope that has messages, with its statistics as nested columns; with contact_id as the scope also
+    the name and the number of messages, in order of first appearance."""
+    parts = {"lexical": lexical(m, scope), "punctuation": punctuation(m, scope), "emoji": emoji(m, scope), "structure": structure(m, scope), "bursts": bursts(m, scope), "hours": hours(m, scope), "latency": reply_latency(m, scope)}
+    lists = {name: top_terms(m, scope, *how) for name, how in LISTS.items()} | {"top_emoji": top_emoji(m, scope).withColumnRenamed("emoji", "term")}
+    if scope == ["contact_id"]:
+        out = m.groupBy(*scope).agg(F.min_by("contact_name", "seq").alias("contact_name"), F.count("*").alias("message_count"), F.min("seq").alias("first_seq"))
+    else:
+        out = m.groupBy(*scope).agg(F.count("*").alias("message_count"))
+
+    def put(d: DataFrame) -> DataFrame:
+        return out.join(d, scope, "left") if scope else out.crossJoin(d)  # without a scope each is one row
+
+    for name, d in parts.items():
+        out = put(d.select(*scope, F.struct(*[c for c in d.columns if c not in scope]).alias(name)))
+    for name, d in lists.items():
+        rows = d.groupBy(*scope).agg(F.array_sort(F.collect_list(F.struct("rank", "term", "count"))).alias(name))  # as many as the list is long
+        out = put(rows.withColumn(name, F.transform(name, lambda x: F.struct(x["term"].alias("term"), x["count"].alias("count")))))
+    return out.orderBy("first_seq").drop("first_seq") if scope == ["contact_id"] else out

@@ -19,6 +19,12 @@ def msg_events(s: SparkSession, d: str) -> DataFrame:
     return _read(s, d, "events").select(uid.alias("contact_id"), F.concat(F.lit("User "), uid).alias("contact_name"), F.col("event_id").alias("seq"), F.date_trunc("millisecond", "ts").alias("timestamp"), F.when(F.col("event_type").isin("click", "purchase"), "me").otherwise("them").alias("sender"), F.lit(None).cast("string").alias("text"), F.lit("messenger").alias("platform"))
 
 
+def msg_events_text(s: SparkSession, d: str) -> DataFrame:
+    """Events with the document of their number as text, if there is one."""
+    docs = _read(s, d, "documents").select(F.col("doc_id").alias("seq"), "text")
+    return msg_events(s, d).drop("text").join(docs, "seq", "left")
+
+
 def msg_conv(s: SparkSession, d: str) -> DataFrame:
     cid = F.col("conv_id").cast("string")
     at = F.timestamp_seconds(F.lit(1704067200) + F.col("conv_id") * 3600 + F.col("turn") * F.col("turn") * 60)
@@ -32,9 +38,10 @@ def msg_docs(s: SparkSession, d: str) -> DataFrame:
 
 
 def group_msgs(s: SparkSession, d: str) -> DataFrame:
-    docs = _read(s, d, "documents").where("doc_id < 200").select("doc_id", "text")
+    """Events as messages of groups; the text of one is the document of its number, if there is one."""
+    docs = _read(s, d, "documents").select("doc_id", "text")
     uid = F.col("user_id").cast("string")
-    e = _read(s, d, "events").join(F.broadcast(docs), F.col("doc_id") == F.col("event_id") % 200, "left")  # 200 documents: the adapter's definition
+    e = _read(s, d, "events").join(docs, F.col("doc_id") == F.col("event_id"), "left")
     return e.select(F.col("event_type").alias("group_id"), F.col("event_type").alias("group_name"), F.date_trunc("millisecond", "ts").alias("timestamp"), F.when(F.col("user_id") == 0, "me").otherwise("participant").alias("sender"), uid.alias("participant_id"), F.concat(F.lit("User "), uid).alias("participant_name"), "text", F.lit("wechat").alias("platform"), F.col("event_id").alias("seq"))
 
 
@@ -48,7 +55,7 @@ LABELS = ("intimate_partner", "family_close", "family_extended", "close_friend",
 def classified(s: SparkSession, d: str) -> DataFrame:
     k = F.col("contact_id").cast("long")
     label = F.element_at(F.array(*map(F.lit, LABELS)), (k % 9 + 1).cast("int"))
-    return contacts(s, d).where(k % 3 != 0).select("contact_id", label.alias("label"), F.when(k % 10 == 0, "manual_override").otherwise("model").alias("label_source"), k.alias("seq"), "span_days")
+    return contacts(s, d).where(k % 3 != 0).select("contact_id", label.alias("label"), F.when(k % 10 == 0, "manual_override").when(k % 10 == 1, "correction_override").otherwise("model").alias("label_source"), k.alias("seq"), "span_days")
 
 
 def results(s: SparkSession, d: str) -> DataFrame:
@@ -64,10 +71,11 @@ def _q(x: str) -> str:
 
 SQL = {
     "msg_events": "SELECT user_id::VARCHAR AS contact_id, 'User ' || user_id AS contact_name, event_id AS seq, epoch_us(ts) // 1000 AS ms, CASE WHEN event_type IN ('click','purchase') THEN 'me' ELSE 'them' END AS sender FROM events",
+    "msg_events_text": "SELECT user_id::VARCHAR AS contact_id, event_id AS seq, epoch_us(ts) // 1000 AS ms, CASE WHEN event_type IN ('click','purchase') THEN 'me' ELSE 'them' END AS sender, text FROM events LEFT JOIN documents ON doc_id = event_id",
     "msg_conv": "SELECT conv_id::VARCHAR AS contact_id, conv_id * 1000 + turn AS seq, (1704067200 + conv_id * 3600 + turn * turn * 60) * 1000 AS ms, CASE WHEN role = 'user' THEN 'me' ELSE 'them' END AS sender, text FROM conversations",
     "msg_docs": "SELECT source AS contact_id, doc_id AS seq, (1704067200 + doc_id * 60) * 1000 AS ms, 'me' AS sender, text || ([" + ", ".join(map(_q, SUFFIXES)) + "])[doc_id % 8 + 1] AS text FROM documents",
-    "group_msgs": "SELECT event_type AS group_id, epoch_us(ts) // 1000 AS ms, CASE WHEN user_id = 0 THEN 'me' ELSE 'participant' END AS sender, user_id::VARCHAR AS participant_id, 'User ' || user_id AS participant_name, d.text AS text, event_id AS seq FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id % 200",
+    "group_msgs": "SELECT event_type AS group_id, epoch_us(ts) // 1000 AS ms, CASE WHEN user_id = 0 THEN 'me' ELSE 'participant' END AS sender, user_id::VARCHAR AS participant_id, 'User ' || user_id AS participant_name, d.text AS text, event_id AS seq FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id",
     "contacts": "SELECT contact_id, min_by(contact_name, ms) AS contact_name, count(*) AS message_count_total, count(*) FILTER (sender = 'me') AS message_count_from_me, count(*) FILTER (sender <> 'me') AS message_count_from_them, min(ms) AS first_ms, max(ms) AS last_ms, greatest(1, floor((max(ms) - min(ms)) / 86400000.0::DOUBLE + 0.5))::BIGINT AS span_days FROM msg_events GROUP BY contact_id",
-    "classified": "SELECT contact_id, ([" + ", ".join(map(_q, LABELS)) + "])[contact_id::BIGINT % 9 + 1] AS label, CASE WHEN contact_id::BIGINT % 10 = 0 THEN 'manual_override' ELSE 'model' END AS label_source, contact_id::BIGINT AS seq, span_days FROM contacts WHERE contact_id::BIGINT % 3 <> 0",
+    "classified": "SELECT contact_id, ([" + ", ".join(map(_q, LABELS)) + "])[contact_id::BIGINT % 9 + 1] AS label, CASE WHEN contact_id::BIGINT % 10 = 0 THEN 'manual_override' WHEN contact_id::BIGINT % 10 = 1 THEN 'correction_override' ELSE 'model' END AS label_source, contact_id::BIGINT AS seq, span_days FROM contacts WHERE contact_id::BIGINT % 3 <> 0",
     "results": "SELECT contact_id, 'friend' AS label, contact_id::BIGINT * 2 AS seq FROM contacts WHERE contact_id::BIGINT % 2 = 0 UNION ALL SELECT contact_id, 'work_peer', contact_id::BIGINT * 2 + 1 FROM contacts WHERE contact_id::BIGINT % 4 = 0",
 }

@@ -70,7 +70,7 @@ for name, n, top, least in (("a04_words", 1, 50, 1), ("a05_bigrams", 2, 30, 1),
         plain(name + tail, lambda s, d, n=n, top=top, least=least, scope=scope: stats.top_terms(A.msg_docs(s, d), scope, n, top, least), None)
         ORACLES[name + tail] = f"WITH msg_docs AS ({SQL['msg_docs']})" + term_sql("msg_docs", n, top, least, ",".join(scope))
 
-SWEAR_SQL = " + ".join(f"len(regexp_extract_all(text, '(?i)\\b(?:{p})\\b'))" for p in SWEARS) + f" + len(regexp_extract_all(text, '{SWEARS_HAN}')) - len(regexp_extract_all(text, '草莓'))"
+SWEAR_SQL = " + ".join(f"len(regexp_extract_all(text, '(?i)\\b(?:{p})\\b'))" for p in SWEARS) + " + len(regexp_extract_all(text, '{}')) - len(regexp_extract_all(text, '草莓'))".format(SWEARS_HAN.replace("(?!莓)", ""))  # RE2 has no look-ahead
 LEX = ("a07_a10_lexical", ["contact_id"]), ("a07_a10_lexical_global", [])
 for name, scope in LEX:
     cols = "".join(c + ", " for c in scope)
@@ -91,7 +91,19 @@ for tail, scope in (("", "contact_id"), ("_global", "")):
     plain("a19_hours" + tail, lambda s, d, sc=sc: stats.hours(A.msg_events(s, d), sc), "SELECT " + cols + ", ".join([f"count(*) FILTER (hour(t) = {k}) AS h{k:02d}" for k in range(24)] + [f"count(*) FILTER (dayofweek(t) = {k}) AS d{k}" for k in range(7)]) + f" FROM (SELECT *, make_timestamp(ms * 1000) AS t FROM msg_events WHERE sender = 'me'){group}", "msg_events")
     for op, asker in (("a20_reply_latency", "them"), ("r22_their_latency", "me")):
         plain(op + tail, lambda s, d, sc=sc, asker=asker: stats.reply_latency(A.msg_events(s, d), sc, asker), f"SELECT {cols}count(*) AS pairs, round(median(nx - ms) / 1000.0::DOUBLE, 6) AS median_latency_s FROM (SELECT *, first_value(CASE WHEN sender <> '{asker}' THEN ms END IGNORE NULLS) OVER (PARTITION BY contact_id ORDER BY ms, seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nx FROM msg_events) WHERE sender = '{asker}' AND nx IS NOT NULL{group}", "msg_events")
-plain("a14_top_emoji", lambda s, d: stats.top_emoji(A.msg_docs(s, d), ["contact_id"]), None)
+plain("a14_top_emoji", lambda s, d: stats.top_emoji(A.msg_docs(s, d), ["contact_id"]), f"SELECT contact_id, emoji, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY contact_id ORDER BY count DESC, seen) AS rank FROM (SELECT contact_id, emoji, count(*) AS count, min(seq * 1000000 + pos) AS seen FROM (SELECT contact_id, seq, unnest(e) AS emoji, generate_subscripts(e, 1) AS pos FROM (SELECT contact_id, seq, regexp_extract_all(text, '{EMOJI}') AS e FROM msg_docs WHERE {HASTEXT})) GROUP BY 1, 2)) WHERE rank <= 25", "msg_docs")
+plain("w02_burst_ids", lambda s, d: stats.burst_ids(A.msg_events(s, d), ["contact_id"]), "SELECT contact_id, seq, sum(new) OVER (PARTITION BY contact_id ORDER BY ms, seq)::BIGINT AS burst FROM (SELECT *, CASE WHEN ms - lag(ms) OVER (PARTITION BY contact_id ORDER BY ms, seq) <= 300000 THEN 0 ELSE 1 END AS new FROM msg_events WHERE sender = 'me')", "msg_events")
+
+
+def flat_bundle(s: SparkSession, d: str) -> DataFrame:
+    """Some of the numbers of each contact's bundle."""
+    b = stats.bundled(A.msg_docs(s, d), ["contact_id"])
+    top = F.get("words", F.lit(0))
+    return b.select("contact_id", "contact_name", "message_count", F.col("lexical.total_tokens").alias("total_tokens"), F.size("words").cast("long").alias("words"), top["term"].alias("top_word"), top["count"].alias("top_count"), F.col("structure.p90_length").alias("p90_length"), F.col("hours.h00").alias("h00"), F.col("bursts.bursts").alias("bursts"))
+
+
+plain("a03_per_contact", flat_bundle, None)
+ORACLES["a03_per_contact"] = f"WITH msg_docs AS ({SQL['msg_docs']}), tt AS (SELECT contact_id, seq, {TOK} AS t FROM msg_docs WHERE {HASTEXT}), rr AS (SELECT contact_id, seq, unnest(t) AS term, generate_subscripts(t, 1) AS pos FROM tt), cc AS (SELECT contact_id, term, count(*) AS count, min(seq * 1000000 + pos) AS seen FROM rr GROUP BY 1, 2), kk AS (SELECT *, row_number() OVER (PARTITION BY contact_id ORDER BY count DESC, seen) AS rank FROM cc), w AS (SELECT contact_id, count(*) FILTER (rank <= 50) AS words, max(term) FILTER (rank = 1) AS top_word, max(count) FILTER (rank = 1) AS top_count, sum(count)::BIGINT AS total_tokens FROM kk GROUP BY 1), l AS (SELECT contact_id, list_sort(list(l))[least(count(*), floor(0.9::DOUBLE * count(*))::INT + 1)] AS p90_length FROM (SELECT contact_id, {ln} AS l FROM msg_docs WHERE {HASTEXT}) GROUP BY 1), b AS (SELECT contact_id, count(*) FILTER (gap IS NULL OR gap > 300000) AS bursts, count(*) FILTER (hour(make_timestamp(ms * 1000)) = 0) AS h00 FROM (SELECT contact_id, ms, ms - lag(ms) OVER (PARTITION BY contact_id ORDER BY ms, seq) AS gap FROM msg_docs) GROUP BY 1) SELECT m.contact_id, m.contact_id AS contact_name, count(*) AS message_count, any_value(total_tokens) AS total_tokens, any_value(words) AS words, any_value(top_word) AS top_word, any_value(top_count) AS top_count, any_value(p90_length) AS p90_length, any_value(h00) AS h00, any_value(bursts) AS bursts FROM msg_docs m LEFT JOIN w USING (contact_id) LEFT JOIN l USING (contact_id) LEFT JOIN b USING (contact_id) GROUP BY 1"
 plain("j11_next_reply", lambda s, d: stats.replies(A.msg_events(s, d)), "SELECT contact_id, seq, nx - ms AS wait_ms FROM (SELECT *, first_value(CASE WHEN sender = 'me' THEN ms END IGNORE NULLS) OVER (PARTITION BY contact_id ORDER BY ms, seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nx FROM msg_events) WHERE sender = 'them' AND nx IS NOT NULL", "msg_events")
 plain("x01_languages", lambda s, d: stats.languages(A.msg_docs(s, d)), f"SELECT contact_id, CASE WHEN regexp_matches(text, '{HAN}') THEN 'zh' WHEN regexp_matches(text, '[A-Za-z]') THEN 'en' ELSE 'other' END AS language, count(*) AS messages FROM msg_docs WHERE length(text) > 0 GROUP BY 1, 2", "msg_docs")
 plain("x02_tokens", lambda s, d: A.msg_docs(s, d).select("seq", F.array_join(tokens(F.col("text")), " ").alias("tokens")), f"SELECT seq, array_to_string({TOK}, ' ') AS tokens FROM msg_docs", "msg_docs")
@@ -105,26 +117,92 @@ plain("t07_top_participants", lambda s, d: groups.top_participants(A.group_msgs(
 STOP = "(" + ", ".join(f"'{w}'" for w in groups.STOPWORDS) + ")"
 plain("a23_group_terms", lambda s, d: groups.top_terms(A.group_msgs(s, d)), None)
 ORACLES["a23_group_terms"] = f"WITH group_msgs AS ({SQL['group_msgs']}), tt AS (SELECT group_id, seq, {TOK} AS t FROM group_msgs WHERE length(text) > 0), rr AS (SELECT group_id, seq, unnest(t) AS term, generate_subscripts(t, 1) AS pos FROM tt), cc AS (SELECT group_id, term, count(*) AS count, min(seq * 1000000 + pos) AS seen FROM rr WHERE length(term) > 1 AND term NOT IN {STOP} GROUP BY 1, 2) SELECT group_id, term, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY count DESC, seen) AS rank FROM cc) WHERE rank <= 25"
-plain("a25_group_signals", lambda s, d: groups.signals(A.group_msgs(s, d), A.contacts(s, d)), "SELECT c.contact_id, count(*) AS shared_groups, sum(n)::BIGINT AS messages_from_participant, coalesce(sum(own), 0)::BIGINT AS messages_from_me FROM contacts c JOIN (SELECT group_id, participant_id, 2 * count(*) AS n FROM group_msgs GROUP BY 1, 2) p ON p.participant_id = c.contact_id LEFT JOIN (SELECT group_id, count(*) AS own FROM group_msgs WHERE sender = 'me' GROUP BY 1) o ON o.group_id = p.group_id GROUP BY 1", "contacts", "group_msgs")
-plain("a24_mentions", lambda s, d: groups.mentions(A.group_msgs(s, d).withColumn("sender", F.lit("me")), s.createDataFrame([("the",), ("and",), ("of",), ("x",)], "term string")), "SELECT term, sum(k)::BIGINT AS count FROM (SELECT term, (length(text) - length(replace(text, term, ''))) // length(term) AS k FROM group_msgs, (VALUES ('the'), ('and'), ('of')) t(term) WHERE text IS NOT NULL) GROUP BY term HAVING sum(k) > 0", "group_msgs")
+
+
+def flat_signals(s: SparkSession, d: str) -> DataFrame:
+    """The signals of groups in which every message is one's own too, so that names can be found in texts; a contact's
+    name is that of a language, which many texts hold."""
+    langs = F.array(*[F.lit(f" {x} ") for x in ("de", "en", "es", "fr")])
+    c = A.contacts(s, d).withColumn("contact_name", F.element_at(langs, (F.col("contact_id").cast("long") % 4 + 1).cast("int")))
+    g = A.group_msgs(s, d)
+    mine = g.where(F.col("text").isNotNull()).withColumns({"sender": F.lit("me"), "participant_id": F.lit("me"), "participant_name": F.lit("Me")})
+    out = groups.signals(g.unionByName(mine), c)
+    flat = lambda c: F.array_join(c, ",")
+    terms = F.transform("address_terms_from_me", lambda x: F.concat(x["term"], F.lit("="), x["count"].cast("string")))
+    return out.select("contact_id", "contact_name", flat("matched_participant_ids").alias("ids"), flat("matched_participant_names").alias("names"), "shared_groups", "messages_from_me", "messages_from_participant", flat(terms).alias("terms"), "evidence_source", "weight")
+
+
+plain("a25_group_signals", flat_signals, "SELECT p.contact_id, any_value(name) AS contact_name, p.contact_id AS ids, 'User ' || p.contact_id AS names, count(*) AS shared_groups, coalesce(sum(own), 0)::BIGINT AS messages_from_me, sum(n)::BIGINT AS messages_from_participant, coalesce(any_value(terms), '') AS terms, 'group_chat' AS evidence_source, 'weak' AS weight FROM (SELECT contact_id, ([' de ', ' en ', ' es ', ' fr '])[contact_id::BIGINT % 4 + 1] AS name FROM contacts) c JOIN (SELECT group_id, participant_id AS contact_id, count(*) AS n FROM group_msgs GROUP BY 1, 2) p USING (contact_id) LEFT JOIN (SELECT group_id, count(*) FILTER (sender = 'me') + count(text) AS own FROM group_msgs GROUP BY 1) o ON o.group_id = p.group_id LEFT JOIN (SELECT contact_id, term || '=' || sum(k)::BIGINT AS terms FROM (SELECT q.contact_id, trim(([' de ', ' en ', ' es ', ' fr '])[q.contact_id::BIGINT % 4 + 1]) AS term, k FROM (SELECT DISTINCT participant_id AS contact_id, group_id FROM group_msgs) q JOIN (SELECT group_id, t.term, sum(((length(text) - length(replace(text, t.term, ''))) // length(t.term)) * CASE WHEN sender = 'me' THEN 2 ELSE 1 END) AS k FROM group_msgs, (VALUES ('de'), ('en'), ('es'), ('fr')) t(term) WHERE text IS NOT NULL GROUP BY 1, 2) u ON u.group_id = q.group_id AND u.term = trim(([' de ', ' en ', ' es ', ' fr '])[q.contact_id::BIGINT % 4 + 1])) GROUP BY contact_id, term HAVING sum(k) > 0) a ON a.contact_id = p.contact_id GROUP BY 1", "contacts", "group_msgs")
+asked_terms = lambda s, d: A.group_msgs(s, d).select("group_id").distinct().select("group_id", F.explode(F.array(*map(F.lit, ("the", " and ", "of", "x", "no such")))).alias("term"))
+plain("a24_mentions", lambda s, d: groups.mentions(A.group_msgs(s, d).withColumn("sender", F.lit("me")), asked_terms(s, d)), "SELECT group_id, term, sum(k)::BIGINT AS count FROM (SELECT group_id, term, (length(text) - length(replace(text, term, ''))) // length(term) AS k FROM group_msgs, (VALUES ('the'), ('and'), ('of'), ('no such')) t(term) WHERE text IS NOT NULL) GROUP BY 1, 2 HAVING sum(k) > 0", "group_msgs")
 
 
 def topic_sql() -> str:
-    each = " UNION ALL ".join(f"SELECT contact_id, '{t}' AS topic, " + " + ".join(rf"len(regexp_extract_all(text, '(?i)\b{x}\b'))" if x.isascii() else f"len(regexp_extract_all(text, '{x}'))" for x in w.split()) + " AS k FROM msg_docs WHERE length(text) > 0" for t, w in sampling.TOPICS.items())
-    return f"SELECT contact_id, topic, count(*) FILTER (k > 0) AS message_count, sum(k)::BIGINT AS match_count FROM ({each}) GROUP BY 1, 2"
+    """Uses of every term in every text, then of topics."""
+    uses = " UNION ALL ".join(f"SELECT contact_id, seq, '{t}' AS topic, '{x}' AS term, len(regexp_extract_all(text, '" + (rf"(?i)\b{x}\b" if x.isascii() else x) + "')) AS k FROM tx" for t, w in sampling.TOPICS.items() for x in w.split())
+    return f", tx AS (SELECT contact_id, seq, text FROM msg_docs WHERE length(text) > 0), uu AS ({uses}), mm AS (SELECT contact_id, seq, topic, sum(k) AS k FROM uu GROUP BY ALL), pp AS (SELECT contact_id, topic, count(*) FILTER (k > 0) AS message_count, sum(k)::BIGINT AS match_count FROM mm GROUP BY ALL), ss AS (SELECT contact_id, topic, term, sum(k)::BIGINT AS k FROM uu GROUP BY 1, 2, 3), rr AS (SELECT *, row_number() OVER (PARTITION BY contact_id, topic ORDER BY k DESC, term) AS r FROM ss WHERE k > 0), qq AS (SELECT contact_id, topic, string_agg(term || '=' || k, ',' ORDER BY r) AS terms FROM rr WHERE r <= 10 GROUP BY ALL), profile AS (SELECT pp.*, coalesce(terms, '') AS terms FROM pp LEFT JOIN qq USING (contact_id, topic))"
 
 
-plain("a26_topic_profile", lambda s, d: sampling.topic_profile(A.msg_docs(s, d), ["contact_id"]), topic_sql(), "msg_docs")
+def flat_terms(c):
+    return F.array_join(F.transform(c, lambda x: F.concat(x["term"], F.lit("="), x["count"].cast("string"))), ",")
+
+
+plain("a26_topic_profile", lambda s, d: sampling.topic_profile(A.msg_docs(s, d), ["contact_id"]).withColumn("top_terms", flat_terms("top_terms")), None)
+ORACLES["a26_topic_profile"] = f"WITH msg_docs AS ({SQL['msg_docs']}){topic_sql()} SELECT contact_id, topic, message_count, match_count, terms AS top_terms FROM profile"
 plain("a27_text_chars", lambda s, d: sampling.total_text_chars(A.msg_docs(s, d), ["contact_id"]), f"SELECT contact_id, sum({ln})::BIGINT AS chars FROM msg_docs GROUP BY 1", "msg_docs")
 STRIDE = "list_transform(range({q}), lambda i: floor(i * ({c} / {q}::DOUBLE))::BIGINT)"
 plain("m01_uniform_stride", lambda s, d: sampling.uniform_stride(A.msg_events(s, d), ["contact_id"], 7).select("contact_id", "seq"), "SELECT contact_id, seq FROM (SELECT *, count(*) OVER (PARTITION BY contact_id) AS c, row_number() OVER (PARTITION BY contact_id ORDER BY ms, seq) - 1 AS r FROM msg_events) WHERE c <= 7 OR list_contains(" + STRIDE.format(q="7", c="c") + ", r)", "msg_events")
+
+
+def strata_sql(name: str, view: str, n: str, among: str = "true", keep: str = "") -> str:
+    """CTEs of which `name` has the columns of view (contact_id, ms, seq and `keep`) and a flag t: whether time strata of
+    at most n messages of those for which `among` holds choose it."""
+    cols = ", ".join(["contact_id", "ms", "seq", *([keep] if keep else [])])
+    return f"""{name}0 AS (SELECT {cols}, ({among}) AS a, ({n})::BIGINT AS want FROM {view}),
+{name}1 AS (SELECT *, count(*) OVER w AS n, min(ms) OVER w AS lo, max(ms) OVER w AS hi FROM {name}0 WINDOW w AS (PARTITION BY contact_id, a)),
+{name}2 AS (SELECT *, CASE WHEN hi = lo THEN 0 ELSE least(4, floor((ms - lo) / ((hi - lo) / 5.0::DOUBLE)))::INT END AS b FROM {name}1),
+{name}3 AS (SELECT *, count(*) OVER (PARTITION BY contact_id, a, b) AS k, row_number() OVER (PARTITION BY contact_id, a, b ORDER BY ms, seq) - 1 AS r, CASE WHEN hi = lo THEN want ELSE want // 5 + (b < want % 5)::BIGINT END AS q FROM {name}2),
+{name}4 AS (SELECT *, a AND want > 0 AND (n <= want OR k <= q OR list_contains({STRIDE.format(q='q', c='k')}, r)) AS t0 FROM {name}3),
+{name}5 AS (SELECT *, CASE WHEN n <= want THEN 0 ELSE greatest(0, want - sum(t0::INT) OVER (PARTITION BY contact_id, a)) END::BIGINT AS g, row_number() OVER (PARTITION BY contact_id, a, t0 ORDER BY ms, seq) - 1 AS r2, count(*) OVER (PARTITION BY contact_id, a, t0) AS m FROM {name}4),
+{name} AS (SELECT {cols}, t0 OR (a AND NOT t0 AND g > 0 AND (m <= g OR list_contains({STRIDE.format(q='g', c='m')}, r2))) AS t FROM {name}5)"""
+
+
+def topic_aware_sql(view: str, n: int) -> str:
+    """CTEs of which `aware` has contact_id, seq of a topic-aware sample of n messages of view (contact_id, ms, seq, text):
+    by time first, then topic by topic, as the format says, then by time again."""
+    count = lambda w: " + ".join(f"len(regexp_extract_all(text, '" + (rf"(?i)\b{x}\b" if x.isascii() else x) + "'))" for x in w.split())
+    flags = ", ".join(f"({count(w)}) > 0" for w in sampling.TOPICS.values())
+    out = [f"ta AS (SELECT contact_id, ms, seq, [{flags}] AS f FROM {view})", strata_sql("tb", "ta", str(max(1, int(n * 0.65))), keep="f")]
+    sums = ", ".join(f"(sum(f[{k + 1}]::INT) OVER c)::BIGINT" for k in range(7))
+    out.append(f"tc AS (SELECT *, count(*) OVER c AS total, [{sums}] AS s FROM tb WINDOW c AS (PARTITION BY contact_id))")
+    ranked = "list_transform(list_sort(list_filter(list_transform(range(1, 8), lambda k: [-s[k], k::BIGINT]), lambda x: x[1] < 0)), lambda x: x[2]::BIGINT)"
+    out.append(f"t0 AS (SELECT contact_id, ms, seq, f, total, t, {ranked} AS o FROM tc)")
+    for i in range(7):
+        out.append(f"u{i} AS (SELECT *, {n} - sum(t::INT) OVER (PARTITION BY contact_id) AS l, coalesce(f[o[{i + 1}]], false) AS i FROM t{i})")
+        out.append(f"v{i} AS (SELECT *, count(*) OVER (PARTITION BY contact_id, i) AS k, row_number() OVER (PARTITION BY contact_id, i ORDER BY ms, seq) - 1 AS r, greatest(1, ceil(l / greatest(1, len(o) - {i})::DOUBLE))::BIGINT AS q FROM u{i})")
+        out.append(f"t{i + 1} AS (SELECT contact_id, ms, seq, f, total, o, t OR (i AND l > 0 AND (k <= q OR list_contains({STRIDE.format(q='q', c='k')}, r))) AS t FROM v{i})")
+    out.append(f"tl AS (SELECT contact_id, ms, seq, total, t AS had, {n} - sum(t::INT) OVER (PARTITION BY contact_id) AS l FROM t7)")
+    out.append(strata_sql("tm", "tl", "l", "NOT had", "total, had"))
+    out.append(f"aware AS (SELECT contact_id, seq FROM tm WHERE total <= {n} OR had OR t)")
+    return ", ".join(out)
+
+
 plain("m02_time_stratified", lambda s, d: sampling.time_stratified(A.msg_events(s, d), ["contact_id"], 23).select("contact_id", "seq"), None)
-ORACLES["m02_time_stratified"] = f"WITH msg_events AS ({SQL['msg_events']}), a AS (SELECT *, count(*) OVER w AS n, min(ms) OVER w AS lo, max(ms) OVER w AS hi FROM msg_events WINDOW w AS (PARTITION BY contact_id)), b AS (SELECT *, CASE WHEN hi = lo THEN 0 ELSE least(4, floor((ms - lo) / ((hi - lo) / 5.0::DOUBLE)))::INT END AS b FROM a), c AS (SELECT *, count(*) OVER (PARTITION BY contact_id, b) AS k, row_number() OVER (PARTITION BY contact_id, b ORDER BY ms, seq) - 1 AS r, CASE WHEN hi = lo THEN 23 ELSE 4 + (b < 3)::INT END AS q FROM b), d AS (SELECT *, n <= 23 OR k <= q OR list_contains({STRIDE.format(q='q', c='k')}, r) AS t FROM c), e AS (SELECT *, CASE WHEN n <= 23 THEN 0 ELSE greatest(0, 23 - sum(t::INT) OVER (PARTITION BY contact_id)) END::BIGINT AS g, row_number() OVER (PARTITION BY contact_id, t ORDER BY ms, seq) - 1 AS r2, count(*) OVER (PARTITION BY contact_id, t) AS m FROM d) SELECT contact_id, seq FROM e WHERE t OR (g > 0 AND (m <= g OR list_contains({STRIDE.format(q='g', c='m')}, r2)))"
+ORACLES["m02_time_stratified"] = f"WITH msg_events AS ({SQL['msg_events']}), {strata_sql('x', 'msg_events', '23')} SELECT contact_id, seq FROM x WHERE t"
 plain("m03_topic_aware", lambda s, d: sampling.topic_aware(A.msg_docs(s, d), 20), None)
+ORACLES["m03_topic_aware"] = f"WITH msg_docs AS ({SQL['msg_docs']}), {topic_aware_sql('msg_docs', 20)} SELECT contact_id, seq FROM aware"
 plain("m05_persona_quota", lambda s, d: sampling.persona_quota(A.classified(s, d), 800), "SELECT contact_id, label, lq AS label_quota, lq // c + (j < lq % c)::BIGINT AS quota FROM (SELECT contact_id, label, 800 // l + (i < 800 % l)::BIGINT AS lq, c, row_number() OVER (PARTITION BY label ORDER BY seq) - 1 AS j FROM classified JOIN (SELECT label, count(*) AS c, row_number() OVER (ORDER BY min(seq)) - 1 AS i, count(*) OVER () AS l FROM classified GROUP BY label) USING (label))", "classified")
-plain("g01_tasks", lambda s, d: classify.tasks(A.contacts(s, d), A.classified(s, d), A.results(s, d)).select("contact_id", "result_file"), "SELECT contact_id, rtrim(translate(base64(encode(contact_id)), '+/', '-_'), '=') || '.json' AS result_file FROM contacts WHERE contact_id NOT IN (SELECT contact_id FROM classified) AND contact_id NOT IN (SELECT contact_id FROM results)", "classified", "results")
+
+
+def flat_tasks(s: SparkSession, d: str) -> DataFrame:
+    t = classify.tasks(A.contacts(s, d), A.classified(s, d), A.results(s, d), groups.signals(A.group_msgs(s, d), A.contacts(s, d)))
+    return t.select("contact_id", "result_file", "result_path", "sample_path", F.array_join("sample_command", " ").alias("sample_command"), F.col("group_signal.shared_groups").alias("shared_groups"))
+
+
+FILE_SQL = "rtrim(translate(base64(encode(contact_id)), '+/', '-_'), '=') || '.json'"
+plain("g01_tasks", flat_tasks, f"SELECT contact_id, {FILE_SQL} AS result_file, 'exports/classifications/' || {FILE_SQL} AS result_path, 'exports/samples/classify/' || {FILE_SQL} AS sample_path, 'python -m chatterloom.cli sample classify --contact ' || contact_id || ' --n 200 --out exports/samples/classify/' || {FILE_SQL} AS sample_command, (SELECT nullif(count(DISTINCT group_id), 0) FROM group_msgs WHERE participant_id = contact_id) AS shared_groups FROM contacts WHERE contact_id NOT IN (SELECT contact_id FROM classified) AND contact_id NOT IN (SELECT contact_id FROM results)", "classified", "results", "group_msgs")
 plain("g02_shards", lambda s, d: classify.shards(classify.tasks(A.contacts(s, d), A.classified(s, d), A.results(s, d))).select("contact_id", "shard_index"), "SELECT contact_id, (row_number() OVER (ORDER BY message_count_total DESC, contact_id) - 1) // 5 + 1 AS shard_index FROM contacts WHERE contact_id NOT IN (SELECT contact_id FROM classified) AND contact_id NOT IN (SELECT contact_id FROM results)", "classified", "results")
-plain("g03_merge", lambda s, d: classify.merge(A.contacts(s, d), A.classified(s, d), A.results(s, d)), "SELECT contact_id, label, label IS NULL AS missing, coalesce(k > 1, false) AS duplicate FROM (SELECT c.contact_id, CASE WHEN e.label_source = 'manual_override' THEN e.label ELSE coalesce(r.label, e.label) END AS label, k FROM contacts c LEFT JOIN classified e USING (contact_id) LEFT JOIN (SELECT contact_id, max_by(label, seq) AS label, count(*) AS k FROM results GROUP BY 1) r USING (contact_id))", "classified", "results")
+plain("g03_merge", lambda s, d: classify.merge(A.contacts(s, d), A.classified(s, d), A.results(s, d)), "SELECT contact_id, label, label IS NULL AS missing, coalesce(k > 1, false) AS duplicate FROM (SELECT c.contact_id, CASE WHEN e.label_source IN ('manual_override', 'correction_override') THEN e.label ELSE coalesce(r.label, e.label) END AS label, k FROM contacts c LEFT JOIN classified e USING (contact_id) LEFT JOIN (SELECT contact_id, max_by(label, seq) AS label, count(*) AS k FROM results GROUP BY 1) r USING (contact_id))", "classified", "results")
 plain("a28_duplicates", lambda s, d: A.results(s, d).groupBy("contact_id").count().where("count > 1").select("contact_id"), "SELECT contact_id FROM results GROUP BY 1 HAVING count(*) > 1", "results")
 plain("a29_progress", lambda s, d: classify.progress(A.contacts(s, d), A.results(s, d)), "SELECT (SELECT count(*) FROM contacts) AS total, count(*) AS classified, 0::BIGINT AS extra, count(*) FILTER (k > 1) AS duplicates, (SELECT count(*) FROM contacts) - count(*) AS remaining FROM (SELECT contact_id, count(*) AS k FROM results GROUP BY 1)", "results")
 plain("a31_manifest", lambda s, d: classify.manifest(A.contacts(s, d), A.classified(s, d), A.results(s, d)), "SELECT (SELECT count(*) FROM contacts) AS total, (SELECT count(*) FROM classified) AS existing, (SELECT count(DISTINCT contact_id) FROM results) AS completed, count(*) AS remaining, ceil(count(*) / 5.0)::BIGINT AS shards FROM contacts WHERE contact_id NOT IN (SELECT contact_id FROM classified) AND contact_id NOT IN (SELECT contact_id FROM results)", "classified", "results")
@@ -182,6 +260,37 @@ def correction_source():
 plain("r18_strongest", lambda s, d: memory.strongest(A.msg_events(s, d).select("contact_id", F.lit("tone").alias("field"), F.col("seq").cast("string").alias("value"), correction_source().alias("source"), "seq")), f"SELECT contact_id, 'tone' AS field, arg_min(seq, seq % 13 * 1000000000 - seq)::VARCHAR AS value, ({[*memory.CORRECTIONS, 'elsewhere']})[min(seq % 13) + 1] AS source FROM msg_events GROUP BY contact_id", "msg_events")
 plain("r19_anchored_rate", lambda s, d: A.contacts(s, d).select("contact_id", memory.anchored_rate(F.col("message_count_from_me") / F.col("message_count_total")).alias("rate")), "SELECT contact_id, CASE WHEN r > 0 THEN '1 per ' || round(1 / r)::BIGINT || printf(' messages (%.1f%%)', round(r * 100, 1)) ELSE 'never (0.0%)' END AS rate FROM (SELECT contact_id, message_count_from_me / message_count_total::DOUBLE AS r FROM contacts)", "contacts")
 plain("r21_too_long", lambda s, d: memory.too_long(A.msg_conv(s, d).select(F.col("seq").alias("id"), F.when(F.col("sender") == "me", "quote").otherwise("evidence").alias("kind"), "text")), "SELECT seq AS id, CASE WHEN sender = 'me' THEN 'quote' ELSE 'evidence' END AS kind, length(text) AS length FROM msg_conv WHERE length(text) > CASE WHEN sender = 'me' THEN 30 ELSE 60 END", "msg_conv")
-plain("m04_sample_plan", lambda s, d: sampling.sample_plan(A.msg_docs(s, d)), f"SELECT contact_id, chars, CASE WHEN chars <= 30000 THEN 'full' ELSE 'topic_aware_time_stratified' END AS strategy FROM (SELECT contact_id, sum({ln})::BIGINT AS chars FROM msg_docs GROUP BY 1)", "msg_docs")
-plain("m06_contact_sample", lambda s, d: sampling.contact_sample(A.msg_docs(s, d)), None)
-plain("m07_persona_sample", lambda s, d: sampling.persona_sample(A.msg_events(s, d).withColumn("text", F.lit("x")), A.classified(s, d)), None)
+
+
+def flat_plan(s: SparkSession, d: str) -> DataFrame:
+    p = sampling.sample_plan(A.msg_docs(s, d))
+    row = lambda x: F.concat_ws(" ", x["topic"], x["message_count"].cast("string"), x["match_count"].cast("string"), flat_terms(x["top_terms"]))
+    return p.select("contact_id", "chars", "strategy", F.array_join(F.transform("topic_profile", row), ";").alias("profile"))
+
+
+TOPIC_LIST = "[" + ", ".join(f"'{t}'" for t in sampling.TOPICS) + "]"
+plain("m04_sample_plan", flat_plan, None)
+ORACLES["m04_sample_plan"] = f"WITH msg_docs AS ({SQL['msg_docs']}){topic_sql()}, c AS (SELECT contact_id, sum({ln})::BIGINT AS chars FROM msg_docs GROUP BY 1), j AS (SELECT contact_id, string_agg(topic || ' ' || message_count || ' ' || match_count || ' ' || terms, ';' ORDER BY list_position({TOPIC_LIST}, topic)) AS profile FROM profile GROUP BY 1) SELECT contact_id, chars, CASE WHEN chars <= 30000 THEN 'full' ELSE 'topic_time_stratified' END AS strategy, profile FROM c JOIN j USING (contact_id)"
+plain("m06_contact_sample", lambda s, d: sampling.contact_sample(A.msg_docs(s, d), 40), None)
+ORACLES["m06_contact_sample"] = f"WITH msg_docs AS ({SQL['msg_docs']}), c AS (SELECT contact_id, sum({ln})::BIGINT AS chars FROM msg_docs GROUP BY 1), large AS (SELECT m.* FROM msg_docs m JOIN c USING (contact_id) WHERE chars > 30000 AND text IS NOT NULL), {topic_aware_sql('large', 40)} SELECT contact_id, seq FROM aware UNION ALL SELECT m.contact_id, m.seq FROM msg_docs m JOIN c USING (contact_id) WHERE chars <= 30000 AND text IS NOT NULL"
+plain("m07_persona_sample", lambda s, d: sampling.persona_sample(A.msg_events_text(s, d), A.classified(s, d), 400), with_sql("", "classified") + f", msg AS ({SQL['msg_events_text']}), cl AS (SELECT * FROM classified WHERE label <> 'unclassified'), quota AS (SELECT contact_id, label, lq // c + (j < lq % c)::BIGINT AS quota FROM (SELECT contact_id, label, 400 // l + (i < 400 % l)::BIGINT AS lq, c, row_number() OVER (PARTITION BY label ORDER BY seq) - 1 AS j FROM cl JOIN (SELECT label, count(*) AS c, row_number() OVER (ORDER BY min(seq)) - 1 AS i, count(*) OVER () AS l FROM cl GROUP BY label) USING (label))), pool AS (SELECT m.contact_id, ms, m.seq, label, quota FROM msg m JOIN quota USING (contact_id) WHERE sender = 'me' AND text IS NOT NULL), {strata_sql('x', 'pool', 'quota', keep='label')} SELECT contact_id, seq, label FROM x WHERE t")
+plain("r06_general_terms", lambda s, d: classify.general_terms(A.msg_docs(s, d).select(F.element_at(F.array(*map(F.lit, A.LABELS)), (F.col("seq") % 9 + 1).cast("int")).alias("label"), F.explode(tokens(F.col("text"))).alias("term"))), None)
+ORACLES["r06_general_terms"] = f"WITH msg_docs AS ({SQL['msg_docs']}) SELECT term, count(DISTINCT l) AS labels FROM (SELECT seq % 9 AS l, unnest({TOK}) AS term FROM msg_docs) GROUP BY 1 HAVING count(DISTINCT l) >= 2"
+plain("r10_chunks", lambda s, d: memory.chunks(A.msg_docs(s, d), 200), "SELECT contact_id, CASE WHEN n > 200 THEN h END AS half, count(*) AS messages, min(ms) AS first_at, max(ms) AS last_at FROM (SELECT *, (year(make_timestamp(ms * 1000)) * 2 + floor((month(make_timestamp(ms * 1000)) - 1) / 2.0 / 3))::BIGINT AS h, count(*) OVER (PARTITION BY contact_id) AS n FROM msg_docs) GROUP BY 1, 2", "msg_docs")
+
+
+def made_up(s: SparkSession, d: str) -> DataFrame:
+    """Findings of windows, made of events: kinds by number, items few."""
+    kind = F.element_at(F.array(*map(F.lit, ("topic", "joke", "thread", "last_state"))), (F.col("seq") % 4 + 1).cast("int"))
+    return A.msg_events(s, d).select("contact_id", (F.unix_millis("timestamp") % 3).alias("half"), kind.alias("kind"), (F.col("seq") % 5).cast("string").alias("item"), (F.col("seq") % 7).alias("count"), F.col("seq").alias("first_seen"), (F.col("seq") % 3).alias("severity"))
+
+
+plain("r10_merge_windows", lambda s, d: memory.merge_windows(made_up(s, d)), "SELECT contact_id, kind, item, sum(c)::BIGINT AS count, min(seq) AS first_seen, max(seq % 3) AS severity FROM (SELECT contact_id, seq, (['topic', 'joke', 'thread', 'last_state'])[seq % 4 + 1] AS kind, (seq % 5)::VARCHAR AS item, seq % 7 AS c, ms % 3 AS half, max(ms % 3) OVER (PARTITION BY contact_id) AS last FROM msg_events) WHERE kind NOT IN ('thread', 'last_state') OR half = last GROUP BY 1, 2, 3", "msg_events")
+
+
+def threads(s: SparkSession, d: str, new: bool) -> DataFrame:
+    c = A.contacts(s, d).where(number() % (3 if new else 2) != 0)
+    return c.select("contact_id", F.lit("trip").alias("thread"), F.lit("open" if new else "stalled").alias("status"), F.col("message_count_total" if new else "message_count_from_me").alias("last_seen"))
+
+
+plain("r12_merge_threads", lambda s, d: memory.merge_threads(threads(s, d, False), threads(s, d, True)), f"SELECT contact_id, 'trip' AS thread, CASE WHEN {N} % 3 <> 0 THEN 'open' ELSE 'resolved or stale' END AS status, CASE WHEN {N} % 3 <> 0 THEN message_count_total ELSE message_count_from_me END AS last_seen FROM contacts WHERE {N} % 3 <> 0 OR {N} % 2 <> 0", "contacts")

@@ -34,6 +34,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path with wild cards names anything."""
+    fs, p = _path(spark, pattern)
+    return bool(len(fs.globStatus(p) or []))
+
+
 def modified_ms(spark: SparkSession, path: str) -> int | None:
     """Time of the last change, null without such a file."""
     fs, p = _path(spark, path)
@@ -104,11 +110,12 @@ def read_results(spark: SparkSession, folder: str, schema: str = CLASSIFIED) ->
 
 
 def payload(d: DataFrame, column: str, schema: str) -> DataFrame:
-    """Explodes texts that hold a list of rows, an object with the list as `contacts`, or one row."""
+    """Explodes texts that hold a list of rows, an object with the list as `contacts`, or one row. Broken texts, and
+    values of other types than the schema's, are an error."""
     text = F.ltrim(column)
-    wrapped = F.from_json(column, f"contacts array<{_struct(schema)}>")["contacts"]
-    single = F.array(F.from_json(column, _struct(schema)))
-    rows = F.when(text.startswith("["), F.from_json(column, f"array<{_struct(schema)}>")).otherwise(F.coalesce(wrapped, single))
+    parsed = lambda kind: F.from_json(column, kind, {"mode": "FAILFAST"})
+    has_list = F.get_json_object(column, "$.contacts").startswith("[")
+    rows = F.when(text.startswith("["), parsed(f"array<{_struct(schema)}>")).when(has_list, parsed(f"contacts array<{_struct(schema)}>")["contacts"]).otherwise(F.array(parsed(_struct(schema))))
     return d.withColumn("__rows", rows).select(*[c for c in d.columns if c != column], F.inline("__rows"))
 
 

@@ -46,6 +46,14 @@ def test_commands(spark, root, capsys):
     assert run("validate", "--classified", results) == 0
     (results / "c.json").write_text(json.dumps([{"contact_id": "x", "label": "enemy", "confidence": 3}]))
     assert run("validate", "--classified", results) == 1
+    assert run("validate", "config", root / "config.json") == 0
+    (root / "bad.json").write_text('{"platform": 3}')
+    assert run("validate", "config", root / "bad.json") == 1
+    assert run("classify-progress", "--contacts", root / "contacts", "--results", root / "nothing", "--next", 3) == 0
+    assert run("sample", "classify", "--messages", lines, "--out", root / "mine", "--sender", "me", "--n", 3, "--full-under-chars", 1, "--buckets", 2) == 0
+    assert {r["sender"] for r in spark.read.json(str(root / "mine")).collect()} == {"me"} and spark.read.json(str(root / "mine")).count() == 3
+    assert run("stats", "--messages", lines, "--out", root / "stats", "--out-per-contact", root / "each") == 0
+    assert spark.read.json(str(root / "each")).select("message_count", "lexical.total_tokens").first()[0] == 12
     capsys.readouterr()
 
 
@@ -60,13 +68,25 @@ def test_redact_again(spark, root):
     assert sum("$1\\x" in t for t in texts) == 1 and not any("b3" in t for t in texts)
     assert any("b3" in r["text"] for r in artifacts.read_lines(spark, lines + ".bak").collect())
     text = person.read_text()
-    assert "Said $1\\x and $1\\x." in text and text.index("/redact applied") < text.index("## End")
+    assert "Said $1\\x and $1\\x." in text and text.index("redacted here") < text.index("## End")
     (root / "config.json").write_text('{"platform": "pigeon"}')
     with pytest.raises(ValueError, match="platform"):
         governance.redact_again(spark, str(root), "bo", "x")
     assert (root / "config.json").read_text() == '{"platform": "pigeon"}'
 
 
+def test_without_an_inbox_or_a_configuration(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="no inbox of instagram"):
+        cli.main(["parse", "instagram", str(tmp_path), "--me", "Me", "--out", str(tmp_path / "out")], spark)
+    assert governance.redact_again(spark, str(tmp_path), "_global_", "x")["patterns"] == 1
+    assert json.loads((tmp_path / "config.json").read_text())["redaction"]["custom_patterns"][0]["pattern"] == "x"
+    assert governance.redact_again(spark, str(tmp_path), "_global_", "y")["patterns"] == 2
+    (tmp_path / "results").mkdir()
+    (tmp_path / "results" / "a.json").write_text('[{"contact_id": "a", "confidence": "much"}]')
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        artifacts.read_results(spark, str(tmp_path / "results")).collect()
+
+
 def test_patterns_and_notes(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"redaction": {"custom_patterns": [{"pattern": "(", "is_regex": True}, {"pattern": "ok"}, {}]}}))
     with pytest.warns(UserWarning):

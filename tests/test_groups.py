@@ -1,10 +1,27 @@
-"""Cases in which an operator once did less than the whole job."""
+"""Group signals and mentions, by hand and on more terms than a row holds."""
 
 from chatterloom.operators import groups
 
 
 def test_mentions_of_over_a_thousand_terms(spark):
-    g = spark.createDataFrame([("me", " ".join(f"<{k}>" for k in range(2500))), ("me", "<7>"), ("them", "<8>"), ("me", None)], "sender string, text string")
-    terms = spark.createDataFrame([(f"<{k}>",) for k in range(2500)] + [("<7>",), ("none",), ("x",)], "term string")
+    g = spark.createDataFrame([("g", "me", " ".join(f"<{k}>" for k in range(2500))), ("g", "me", "<7>"), ("g", "them", "<8>"), ("h", "me", "<9>"), ("g", "me", None)], "group_id string, sender string, text string")
+    terms = spark.createDataFrame([("g", f" <{k}>\u3000") for k in range(2500)] + [("g", "<7>"), ("g", "none"), ("g", "x"), ("g", None)], "group_id string, term string")
     got = {r["term"]: r["count"] for r in groups.mentions(g, terms).collect()}
     assert got == {f"<{k}>": 1 + (k == 7) for k in range(2500)}
+
+
+def test_signals(spark):
+    rows = [
+        ("g1", "wx_a", "Ann Lee", "participant", "hi"), ("g1", "wx_a", "Annie", "participant", "hi"), ("g1", "me", "Me", "me", "Annie and Ann Lee, Annie"), ("g1", "me", "Me", "me", None),
+        ("g2", "other", "ann lee", "participant", "x"), ("g2", "me", "Me", "me", "ann lee"), ("g3", "wx_b", "Bo", "participant", "y"), ("g3", "me", "Me", "me", "Annie"),
+    ]
+    g = spark.createDataFrame(rows, "group_id string, participant_id string, participant_name string, sender string, text string")
+    contacts = spark.createDataFrame([("WX_A", " Ann Lee"), ("wx_c", "Cy"), ("wx_b", "B")], "contact_id string, contact_name string")
+    got = [r.asDict(recursive=True) for r in groups.signals(g, contacts).collect()]
+    assert [r["contact_id"] for r in got] == ["WX_A", "wx_b"]
+    a = got[0]
+    # one message of Ann Lee matches by id and by name, so it counts twice
+    assert (a["shared_groups"], a["messages_from_me"], a["messages_from_participant"]) == (2, 3, 4)
+    assert a["matched_participant_ids"] == ["other", "wx_a"] and a["matched_participant_names"] == ["Ann Lee", "Annie", "ann lee"]
+    assert a["address_terms_from_me"] == [{"term": "Annie", "count": 2}, {"term": "Ann Lee", "count": 1}, {"term": "ann lee", "count": 1}]
+    assert (a["evidence_source"], a["weight"]) == ("group_chat", "weak") and got[1]["address_terms_from_me"] == []
