@@ -41,6 +41,19 @@ def written(df: DataFrame, *parts: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Keys that a join treats as hot at most.
+HOT = 1000
+
+
+def hot_join(rows: DataFrame, small: DataFrame, on: list[str], n: str) -> DataFrame:
+    """rows joined with small (written; one row for each key, n: how many rows have it). Keys that over a HOT-th of all
+    have are HOT at most: they are broadcast, and their rows are not shuffled; the others meet in a shuffled join."""
+    bound = (small.agg(F.sum(n)).first()[0] or 0) / HOT
+    hot = F.broadcast(small.where(F.col(n) > bound).drop(n))
+    cold = small.where(F.col(n) <= bound).drop(n)
+    return rows.join(hot, on).unionByName(rows.join(hot, on, "left_anti").join(cold, on))
+
+
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

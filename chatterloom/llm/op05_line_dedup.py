@@ -7,8 +7,8 @@ evidence and have no digest; they belong to the run that they lie in. A maximal
 in the original text (in code points), if it holds RUN words or more: so a passage goes whether it is lines of its own
 or lies within one, and a short phrase or heading that many texts share stays.
 
-Units are written once, so that no text is read twice and each row of docs has a fixed number. Digests met by over
-a HOT-th of all repeats are at most HOT rows: they are broadcast and never shuffled; the others meet in a join.
+Units are written once, so that no text is read twice and each row of docs has a fixed number. Digests met by
+over a thousandth of all repeats are a thousand rows at most: they are broadcast, the others meet in a join.
 Only repeats are then sorted by document.
 
 Defined results: null and empty texts have no units. Rows that repeat a doc_id are documents of their own, ranked by a
@@ -22,12 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Words, id_text, lean, mix, powers, text_steps, written
+from .common import U64, Words, hot_join, id_text, lean, mix, powers, text_steps, written
 from .homes import text_hash
 
 #: Least words of a unit that counts as evidence, and of a run that goes.
 LEAST, RUN = 3, 25
-HOT = 1000
 UNITS = "row long, doc_id long, text long, seq int, first int, last int, before int, after int, d1 long, d2 long"
 _STOPS = np.zeros(256, bool)
 _STOPS[[ord(c) for c in ".!?"]] = True
@@ -105,13 +104,8 @@ def repeats(all_units: DataFrame) -> DataFrame:
     """The units that equal an earlier one."""
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text", "row", "seq")
     first = written(all_units.groupBy("d1", "d2").agg(F.min(rank).alias("s"), F.count("*").alias("n")).where("n > 1").select("d1", "d2", F.col("s.row").alias("r0"), F.col("s.seq").alias("s0"), "n"))
-    bound = (first.agg(F.sum("n")).first()[0] or 0) / HOT
-    hot = F.broadcast(first.where(F.col("n") > bound).drop("n"))  # HOT rows at most
-    cold = first.where(F.col("n") <= bound).drop("n")
-    late = F.expr("row <> r0 or seq <> s0")
     mine = all_units.select("row", "seq", "first", "last", "before", "after", "d1", "d2")
-    both = mine.join(hot, ["d1", "d2"]).unionByName(mine.join(hot, ["d1", "d2"], "left_anti").join(cold, ["d1", "d2"]))
-    return both.where(late).select("row", "seq", "first", "last", "before", "after")
+    return hot_join(mine, first, ["d1", "d2"], "n").where("row <> r0 or seq <> s0").select("row", "seq", "first", "last", "before", "after")
 
 
 def removed_runs(repeated: DataFrame, run: int = RUN) -> DataFrame:

@@ -36,9 +36,6 @@ from .common import _LETTER_APART, Words, id_text, lean, text_steps, with_score,
 from .op03_quality_classifier import logistic, sample
 
 MAX_TRAIN = 20_000
-#: Training rows of one label are near copies from this similarity of word shingles (per cent); at 38 of 64 equal
-#: coordinates a pair at 80 is missed with a probability of 4e-5.
-NEAR, NEAR_MATCHES = 80, 38
 #: Learnt stems at most, the weightiest first.
 MAX_STEMS = 4_000
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, ACTOR = CLASSES = range(7)
@@ -218,7 +215,7 @@ def one_of_each(rows: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     apart = written(rows.groupBy("y", F.xxhash64("y", text).alias("key"), F.sha2(text, 256).alias("digest")).agg(F.min(text).alias("text")))
     marked = F.when(F.col("y") == 1, F.regexp_replace("text", r"[^\x20\x09-\x0D]+", "$0=1")).otherwise(F.col("text"))  # no links between labels
-    near = op10_minhash_dedup.groups(apart.select(F.col("key").alias("doc_id"), marked.alias("text")), NEAR, NEAR_MATCHES)
+    near = op10_minhash_dedup.groups(apart.select(F.col("key").alias("doc_id"), marked.alias("text")))
     kept = near.where("doc_id = component_id").select(F.col("doc_id").alias("key"))
     return written(apart.join(kept, "key", "left_semi").select("y", "text"))
 

@@ -222,7 +222,7 @@ def test_op8(spark, odd, none, monkeypatch):
 
 def test_op10(spark, odd, none):
     docs = spark.read.parquet(f"{AT}/documents.parquet")
-    rows = sorted(op10.groups(docs).collect(), key=lambda r: r["doc_id"])
+    rows = sorted(op10.groups(docs, 85, 42).collect(), key=lambda r: r["doc_id"])
     sets = []
     for r in sorted(docs.collect(), key=lambda r: r["doc_id"]):
         w = lower_words(r["text"])
