@@ -1,14 +1,17 @@
 """Texts dealt to home buckets, and questions sent from homes to other buckets and answered in order.
 
-A home bucket holds its texts, each once with the ids of all its copies, in a fixed order; so what a home asks can
-be worked out again when the answers are read, and answers need not repeat the questions. Blocks of arrays travel
-as compressed binaries. All tables lie in the shared folder or the warehouse.
+A home bucket holds its texts, each once whatever its number of copies, in a fixed order; so what a home asks can be
+worked out again when the answers are read, and answers need not repeat the questions. Blocks of arrays travel as
+compressed binaries; a home and a bucket exchange one only where the home has a key of that bucket, so there are never
+more than distinct keys. What is found of a text goes back to its rows by a join on its digest (see `digest`), in which
+much copied texts are broadcast. All tables lie in the shared folder or the warehouse.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -38,25 +41,43 @@ def text_hash(t: bytes) -> int:
     return xxhash.xxh3_64_intdigest(t)
 
 
+def digest(t: bytes) -> tuple[int, int]:
+    """128 bits of a text as two longs; `digested` gives the same."""
+    import xxhash
+
+    one = xxhash.xxh64_intdigest(t, 42)
+    two = xxhash.xxh64_intdigest(t, one)
+    return tuple(x - (1 << 64) if x >> 63 else x for x in (one, two))
+
+
+def digested(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) as doc_id, d1, d2."""
+    t = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.xxhash64(t).alias("d1"), F.xxhash64(t, t).alias("d2"))
+
+
 class Texts:
-    """The texts of a bucket, ordered by their least id (null last) and then by a hash; ids[k]: sorted ids of text
-    k; nulls[k]: its rows without an id, which rank after those."""
+    """The texts of a bucket, ordered by their least id (null last: none) and then by a hash; copies: rows that hold a
+    text; weight: the sum of what they weigh."""
 
     def __init__(self, blob: bytes):
-        sizes, number, nulls, ids, joined = unpacked(blob)
-        sizes, number, self.nulls, ids = (np.frombuffer(x, "<i8") for x in (sizes, number, nulls, ids))
+        sizes, none, least, copies, weight, joined = unpacked(blob)
+        sizes, self.least, self.copies, self.weight = (np.frombuffer(x, "<i8") for x in (sizes, least, copies, weight))
+        self.none = np.frombuffer(none, np.uint8)
         at = np.concatenate(([0], np.cumsum(sizes)))
         self.texts = [bytes(joined[a:b]) for a, b in zip(at, at[1:])]
-        at = np.concatenate(([0], np.cumsum(number)))
-        self.ids = [ids[a:b] for a, b in zip(at, at[1:])]
 
 
-def _blob(texts: dict[bytes, list[tuple[np.ndarray, int]]]) -> bytes:
-    """texts: by text, arrays of ids and numbers of rows without one."""
-    each = [(np.sort(np.concatenate([a for a, _ in i])), sum(n for _, n in i), t) for t, i in texts.items()]
-    each.sort(key=lambda x: (not len(x[0]), x[0][0] if len(x[0]) else 0, text_hash(x[2])))
-    sizes, number, nulls = (np.array(x, "<i8") for x in ([len(t) for *_, t in each], [len(i) for i, *_ in each], [n for _, n, _ in each]))
-    return packed(sizes, number, nulls, np.concatenate([i for i, *_ in each]) if each else b"", b"".join(t for *_, t in each))
+def _blob(texts: dict[bytes, tuple[int, int, int, int]]) -> bytes:
+    """texts: (none, least, copies, weight) of each."""
+    each = sorted(texts.items(), key=lambda x: (x[1][0], x[1][1], text_hash(x[0])))
+    none, least, copies, weight = zip(*(v for _, v in each)) if each else ((),) * 4
+    return packed(np.array([len(t) for t, _ in each], "<i8"), np.array(none, np.uint8), *(np.array(x, "<i8") for x in (least, copies, weight)), b"".join(t for t, _ in each))
+
+
+def _met(texts: dict, t: bytes, v: tuple[int, int, int, int]) -> None:
+    had = texts.get(t)
+    texts[t] = v if had is None else (*min(had[:2], v[:2]), had[2] + v[2], had[3] + v[3])
 
 
 def buckets_for(docs: DataFrame, each: int = 8 << 20) -> int:
@@ -66,38 +87,34 @@ def buckets_for(docs: DataFrame, each: int = 8 << 20) -> int:
     return max(-(-size // each), min(parts(docs.sparkSession), 64))
 
 
-def settle(docs: DataFrame, buckets: int) -> DataFrame:
-    """A table (dst, texts) of a row for each bucket that holds texts, bucketed by dst. docs: doc_id, text."""
+def settle(docs: DataFrame, buckets: int, weigh: Callable[[int | None], int] = lambda _: 1) -> DataFrame:
+    """A table (dst, texts) of a row for each bucket that holds texts, bucketed by dst. docs: doc_id, text. weigh: what a
+    row of an id weighs."""
 
     @lean
     def dealt(batches):
         for b in batches:
-            null = b.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-            ids = b.column("doc_id").fill_null(0).to_numpy()
+            ids = b.column("doc_id").to_pylist()
             for lo, _, some in text_steps(b.column("text"), 4 << 20):
-                by: dict[int, dict[bytes, list]] = {}
-                for k, t in enumerate(some, lo):
-                    by.setdefault(text_hash(t) % buckets, {}).setdefault(t, []).append((ids[k:k], 1) if null[k] else (ids[k : k + 1], 0))
+                by: dict[int, dict[bytes, tuple]] = {}
+                for i, t in zip(ids[lo:], some):
+                    _met(by.setdefault(text_hash(t) % buckets, {}), t, (int(i is None), i or 0, 1, weigh(i)))
                 yield pa.RecordBatch.from_arrays([pa.array(list(by), pa.int32()), pa.array([_blob(x) for x in by.values()], pa.binary())], names=["dst", "texts"])
 
     @lean
     def joined(batches):
-        """Blobs of a bucket come in any order; they are sorted when they are merged."""
-        by: dict[int, list[bytes]] = {}
-        for b in batches:
-            for d, x in zip(b.column("dst").to_pylist(), b.column("texts").to_pylist()):
-                by.setdefault(d, []).append(x)
-        for d in sorted(by):
-            texts: dict[bytes, list] = {}
-            for x in by.pop(d):
-                got = Texts(x)
-                for t, i, n in zip(got.texts, got.ids, got.nulls.tolist()):
-                    texts.setdefault(t, []).append((i, n))
+        """Blobs of a bucket come together, in any order; they are sorted when they are merged."""
+        for d, blobs in grouped((d, x) for b in batches for d, x in zip(b.column("dst").to_pylist(), b.column("texts"))):
+            texts: dict[bytes, tuple] = {}
+            for x in blobs:
+                got = Texts(x.as_py())
+                for t, *v in zip(got.texts, *(y.tolist() for y in (got.none, got.least, got.copies, got.weight))):
+                    _met(texts, t, tuple(v))
             yield pa.RecordBatch.from_arrays([pa.array([d], pa.int32()), pa.array([_blob(texts)], pa.binary())], names=["dst", "texts"])
 
     spark = docs.sparkSession
     name = f"homes_{uuid.uuid4().hex}"
-    table = docs.mapInArrow(dealt, "dst int, texts binary").repartition(min(buckets, parts(spark)), "dst").mapInArrow(joined, "dst int, texts binary")
+    table = docs.mapInArrow(dealt, "dst int, texts binary").repartition(min(buckets, parts(spark)), "dst").sortWithinPartitions("dst").mapInArrow(joined, "dst int, texts binary")
     # one file for each bucket's task; the table is laid out by dst, so that answers come to the texts, not they to them
     table.repartition(buckets, "dst").write.bucketBy(buckets, "dst").option("compression", "none").option("path", f"{shared_dir(spark)}/{name}").format("parquet").saveAsTable(name)
     homes = spark.table(name)
@@ -136,15 +153,17 @@ def answered(asks: DataFrame, answer: Callable[[list[tuple[int, bytes]]], Iterat
 
     @lean
     def rows(batches):
-        by: dict[int, list[tuple[int, bytes]]] = {}
-        for b in batches:
-            for d, s, x in zip(*(c.to_pylist() for c in b.columns)):
-                by.setdefault(d, []).append((s, x))
-        for d in sorted(by):
-            out = list(answer(sorted(by.pop(d))))
+        for d, asked in grouped((d, (s, x)) for b in batches for d, s, x in zip(*(c.to_pylist() for c in b.columns[:2]), b.column("blob"))):
+            out = list(answer([(s, x.as_py()) for s, x in sorted(asked, key=lambda a: a[0])]))
             yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int32()), pa.array([d if s >= 0 else -1 for s, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["dst", "src", "blob"])
 
-    return written(asks.repartition(width, "dst").mapInArrow(rows, "dst int, src int, blob binary"))
+    return written(asks.repartition(width, "dst").sortWithinPartitions("dst").mapInArrow(rows, "dst int, src int, blob binary"))
+
+
+def grouped(rows: Iterator[tuple[int, object]]) -> Iterator[tuple[int, list]]:
+    """Values of each run of equal keys: a task holds one bucket at a time, however many its partition has."""
+    for key, run in groupby(rows, key=lambda r: r[0]):
+        yield key, [x for _, x in run]
 
 
 def bucket_slices(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:

@@ -11,7 +11,8 @@ same. The suffixes of the whole collection that agree in WIDTH bytes are found i
    column by column: each round inserts the next symbol (from the end) of every segment by the last-to-first
    mapping. In the order of its suffixes, neighbours with a common prefix of WIDTH or more hold equal strings; of
    each such run the earliest place stays.
-4. Homes read which strings go, and cut the bytes they cover.
+4. Homes read which strings go, and cut the bytes they cover. A text is worked on once, however many rows hold it; its
+   rows take the result by its digest.
 
 A round over all texts at once would need as many rounds as the longest text has bytes, each over all of the data;
 segments bound both. Questions and answers travel through tables in the shared folder (see homes).
@@ -28,9 +29,10 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import U64, id_text, lean, mix, steps
-from .homes import Texts, answered, asked, bucket_of, bucket_slices, buckets_for, packed, settle, text_hash, unpacked, with_answers
+from .common import U64, hot_join, id_text, lean, mix, steps, written
+from .homes import Texts, answered, asked, bucket_of, bucket_slices, buckets_for, digest, digested, packed, settle, text_hash, unpacked, with_answers
 
 WIDTH = 100
 #: Segments that one transform holds at most (but for the segments of one anchor).
@@ -150,15 +152,13 @@ class Home:
     def ask_segments(self, some: np.ndarray, src: int, buckets: int):
         s, t = self.s, self.t
         rep, digest, where, _ = self.distinct(some, buckets)
-        least = np.array([i[0] if len(i) else 0 for i in t.ids], np.int64)
-        none = np.array([not len(i) for i in t.ids], np.uint8)
         hashes = np.array([text_hash(x) for x in t.texts], U64)
         for k, sl in bucket_slices(where):
             r = rep[sl]
             size = s.count[r] + self.width - 1
             joined = b"".join([t.texts[d][a : a + n] for d, a, n in zip(s.text[r].tolist(), s.start[r].tolist(), size.tolist())])
             of = s.text[r]
-            yield k, packed(s.anchor[r], digest[sl], least[of].astype("<i8"), none[of], hashes[of], s.start[r].astype("<i8"), size.astype("<i4"), joined)
+            yield k, packed(s.anchor[r], digest[sl], t.least[of].astype("<i8"), t.none[of], hashes[of], s.start[r].astype("<i8"), size.astype("<i4"), joined)
 
 
 def answer_anchors(asks: list[tuple[int, bytes]]):
@@ -327,7 +327,7 @@ def removed(h: Home, some: np.ndarray, got: dict[int, bytes], buckets: int) -> l
 
 
 def dedup(docs: DataFrame, emit, schema: str, width: int = WIDTH) -> DataFrame:
-    """Rows that `emit(doc_id or None, text, mask of removed bytes)` makes of each row of docs."""
+    """doc_id and what `emit(text, mask of removed bytes)` makes of each row of docs, as schema says."""
     docs = id_text(docs)
     buckets = buckets_for(docs)
     homes = settle(docs, buckets)
@@ -339,13 +339,16 @@ def dedup(docs: DataFrame, emit, schema: str, width: int = WIDTH) -> DataFrame:
 
     two = answered(asked(homes, ask_segments, one), lambda asks: answer_segments(asks, width), buckets)
     names = [c.split()[0] for c in schema.split(", ")]
+    told = f"d1 long, d2 long, none boolean, least long, copies long, first struct<{schema.replace(' ', ':').replace(',:', ',')}>, other struct<{schema.replace(' ', ':').replace(',:', ',')}>"
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = to_arrow_schema(_parse_datatype_string(told))
 
     @lean
     def cut(batches):
+        """A row for each text: what its first row is made, and what the others are: all of it is there before them, but for
+        texts too short to hold a string."""
         for b in batches:
             for r in range(b.num_rows):
                 t = Texts(b.column("texts")[r].as_py())
@@ -353,31 +356,40 @@ def dedup(docs: DataFrame, emit, schema: str, width: int = WIDTH) -> DataFrame:
                 h = Home(t, width)
                 masks = removed(h, h.read_anchors(anchors, buckets), segments, buckets)
                 rows = []
-                for x, ids, n, mask in zip(t.texts, t.ids, t.nulls.tolist(), masks):
-                    for k, i in enumerate([*ids.tolist(), *[None] * n]):
-                        rows.append(emit(i, x, mask if k == 0 or len(x) < width else np.ones(len(x), bool)))
-                    if len(rows) >= 2000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], names=names)
+                for k, (x, mask) in enumerate(zip(t.texts, masks)):
+                    first = dict(zip(names, emit(x, mask)))
+                    other = first if len(x) < width or t.copies[k] == 1 else dict(zip(names, emit(x, np.ones(len(x), bool))))
+                    rows.append((*digest(x), bool(t.none[k]), int(t.least[k]), int(t.copies[k]), first, other))
+                    if len(rows) >= 1000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], names=arrow.names)
                         rows = []
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], names=arrow.names)
 
-    return with_answers(homes, one, two).mapInArrow(cut, schema)
+    found = written(with_answers(homes, one, two).mapInArrow(cut, told))
+    rows = hot_join(digested(docs).groupBy("doc_id", "d1", "d2").agg(F.count("*").alias("k")), found, ["d1", "d2"], "copies")
+    first = F.coalesce(F.when(F.col("none"), F.col("doc_id").isNull()).otherwise(F.col("doc_id") == F.col("least")), F.lit(False))
+    rows = rows.select("doc_id", first.alias("is_first"), "first", "other", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k"))).alias("n"))
+    return rows.select("doc_id", F.when(F.col("is_first") & (F.col("n") == 1), F.col("first")).otherwise(F.col("other")).alias("v")).select("doc_id", "v.*")
 
 
 def kept_bytes(x: bytes, mask: np.ndarray) -> bytes:
     return x if not mask.any() else np.frombuffer(x, np.uint8)[~mask].tobytes()
 
 
-def digests(i, x: bytes, mask: np.ndarray):
+DIGESTS = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+KEPT = "text string, n_removed long"
+
+
+def digests(x: bytes, mask: np.ndarray):
     spans = int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum()) if len(mask) else 0
-    return i, len(x), int(mask.sum()), spans, sha256(kept_bytes(x, mask)).hexdigest()
+    return len(x), int(mask.sum()), spans, sha256(kept_bytes(x, mask)).hexdigest()
 
 
-def texts_kept(i, x: bytes, mask: np.ndarray):
+def texts_kept(x: bytes, mask: np.ndarray):
     """The text without its removed bytes; a character that a cut leaves in part goes whole."""
-    return i, kept_bytes(x, mask).decode("utf-8", "ignore"), int(mask.sum())
+    return kept_bytes(x, mask).decode("utf-8", "ignore"), int(mask.sum())
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), digests, DIGESTS)

@@ -18,9 +18,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import U64, Words, id_text, lean, mix, steps
-from .homes import Texts, answered, asked, bucket_of, bucket_slices, buckets_for, packed, settle, unpacked, with_answers
+from .common import U64, Words, hot_join, id_text, lean, mix, steps, written
+from .homes import Texts, answered, asked, bucket_of, bucket_slices, buckets_for, digest, digested, packed, settle, unpacked, with_answers
 
 TOP = 5
 END, START = U64(1), U64(2)
@@ -66,9 +67,7 @@ class Unigrams:
 class Home:
     """The tokens of a bucket's texts as numbers of its distinct words."""
 
-    def __init__(self, t: Texts, folds: int, held: int):
-        self.held = [np.array([*(folds > 0 and zlib.crc32(str(i).encode()) % folds == held for i in ids.tolist()), *[False] * n], bool) for ids, n in zip(t.ids, t.nulls.tolist())]
-        weight = np.array([(~h).sum() for h in self.held])
+    def __init__(self, t: Texts):
         hashes, docs = [], []
         for lo, hi in steps(t.texts):
             w = Words(t.texts[lo:hi], lower=True)
@@ -78,7 +77,7 @@ class Home:
         h = np.concatenate(hashes) if hashes else np.zeros(0, U64)
         self.doc = np.concatenate(docs) if docs else np.zeros(0, np.int64)
         self.words, self.token = np.unique(h, return_inverse=True)
-        self.weight = weight[self.doc]
+        self.weight = t.weight[self.doc]
         self.first = np.ones(len(h), bool)
         self.first[1:] = self.doc[1:] != self.doc[:-1]
 
@@ -205,13 +204,13 @@ def score(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
     folds is `held` are not learnt from; folds 0: all are."""
     docs = id_text(docs)
     buckets = buckets_for(docs, 5 << 20)  # a home holds its pairs of words as arrays, some 40 bytes a byte of text
-    homes = settle(docs, buckets)
-    one = answered(asked(homes, lambda src, t: Home(t, folds, held).ask_words(buckets)), answer_words, buckets)
+    homes = settle(docs, buckets, lambda i: int(i is None or folds <= 0 or zlib.crc32(str(i).encode()) % folds != held))
+    one = answered(asked(homes, lambda src, t: Home(t).ask_words(buckets)), answer_words, buckets)
     s = totals(one, TOP + 5)
     u = Unigrams(int(s[0]), int(s[1]), int(s[2]), discounts(s[3:]), s[3:])
 
     def ask_pairs(src, t, words):
-        h = Home(t, folds, held)
+        h = Home(t)
         return h.ask_pairs(h.read_words(words, buckets), u, buckets)
 
     two = answered(asked(homes, ask_pairs, one), lambda asks: answer_pairs(asks, u), buckets)
@@ -223,7 +222,7 @@ def score(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
             for r in range(b.num_rows):
                 t = Texts(b.column("texts")[r].as_py())
                 words, pairs = ({x["src"]: x["blob"] for x in b.column(c)[r].as_py() or []} for c in ("a0", "a1"))
-                h = Home(t, folds, held)
+                h = Home(t)
                 c = h.read_words(words, buckets)
                 v, w, where, _, pair, names, seen = h.pairs(c, u, buckets)
                 hits = np.zeros(len(v), np.int64)
@@ -251,14 +250,13 @@ def score(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
                 log = np.bincount(h.doc, np.log10(np.maximum(p, 1e-300)), m)
                 base = np.bincount(h.doc, np.log10((c[h.token] + 0.1) / (u.total + 0.1 * (u.distinct + 1))), m)
                 n, known = np.bincount(h.doc, minlength=m), np.bincount(h.doc, c[h.token] > 0, m).astype(np.int64)
-                row = np.repeat(np.arange(m), [len(i) for i in h.held])
-                ids = [i for a, k in zip(t.ids, t.nulls.tolist()) for i in [*a.tolist(), *[None] * k]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(np.concatenate(h.held)), pa.array(n[row]), pa.array(known[row]), pa.array(np.full(len(row), u.total)), pa.array(base[row]), pa.array(log[row])],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
-
-    return with_answers(homes, one, two).mapInArrow(scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+                d1, d2 = (np.array(x, np.int64) for x in zip(*map(digest, t.texts)))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (d1, d2, t.copies, n, known, np.full(m, u.total), base, log)], names=["d1", "d2", "copies", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    found = written(with_answers(homes, one, two).mapInArrow(scored, "d1 long, d2 long, copies long, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == held, F.lit(False)) if folds > 0 else F.lit(False)
+    rows = hot_join(digested(docs), found, ["d1", "d2"], "copies")
+    return rows.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:

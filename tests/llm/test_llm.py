@@ -89,13 +89,10 @@ def brute_repeats(docs, width):
             if x[p : p + width] in seen:
                 m[p : p + width] = True
             seen.add(x[p : p + width])
-        out[i] = op2.digests(i, x, m)
+        out[i] = (i, *op2.digests(x, m))
     return out
 
 
-SCHEMA2 = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-
-
 def test_op2(spark, odd, none):
     random.seed(1)
     for _ in range(60):
@@ -108,11 +105,11 @@ def test_op2(spark, odd, none):
         a = random.randint(0, 2900)
         x = base[a : a + random.randint(0, 300)] + "".join(random.choices("abcdefghij ", k=random.randint(0, 200))) + base[: random.randint(0, 200)]
         rows.append((i, "xyz" * 50 if i % 17 == 0 else rows[-1][1] if i % 29 == 5 else x))
-    got = op2.dedup(spark.createDataFrame(rows, "doc_id long, text string"), op2.digests, SCHEMA2).collect()
+    got = op2.dedup(spark.createDataFrame(rows, "doc_id long, text string"), op2.digests, op2.DIGESTS).collect()
     assert {r["doc_id"]: tuple(r) for r in got} == brute_repeats([(i, x.encode()) for i, x in rows], 100)
-    rows = {r["doc_id"]: r for r in op2.dedup(odd, op2.digests, SCHEMA2).collect()}
-    assert rows[1]["n_bytes"] == 0 and rows[6]["n_removed"] == 480 and len(rows) == 12
-    assert op2.dedup(none, op2.digests, SCHEMA2).count() == 0
+    rows = {r["doc_id"]: r for r in op2.dedup(odd, op2.digests, op2.DIGESTS).collect()}
+    assert rows[1]["n_bytes"] == 0 and rows[6]["n_removed"] == 480 and len(rows) == 12 and op2.dedup(odd, op2.digests, op2.DIGESTS).count() == 13
+    assert op2.dedup(none, op2.digests, op2.DIGESTS).count() == 0
 
 
 @pytest.mark.parametrize("op, label, train, apply", [(op3, "quality", op3.train, op3.classify), (op9, "toxic", op9.train, op9.detect)])
@@ -133,7 +130,7 @@ def test_op4(spark):
     base = rng.normal(size=(60, 16))
     rows = [(i, (base[i % 60] + rng.normal(size=16) * (0.0 if i % 7 == 0 else 0.12)).tolist(), i % 3) for i in range(240)]
     rows += [(900, None, 1), (901, [0.0] * 16, 1), (902, [float("nan")] * 16, 1), (903, [1.0, None], 1), (904, base[0].tolist(), None), (905, [], 2), (906, [1.0, 2.0], 1), (907, [2.0, 4.0], 1)]
-    got = {r["vec_id"]: r for r in op4.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cells=5, block=40).collect()}
+    got = {r["vec_id"]: r for r in op4.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), block=40).collect()}
     x = np.array([r[1] for r in rows[:240]])
     x /= np.linalg.norm(x, axis=1)[:, None]
     near = (x @ x.T >= 0.93) & (np.arange(240)[:, None] % 3 == np.arange(240) % 3)

@@ -92,7 +92,7 @@ def test_op2_does_not_depend_on_partitions(spark):
     found = []
     for parts in ("1", "4", "7"):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
-        found.append(sorted(map(str, op2.dedup(docs.repartition(int(parts)), op2.digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").collect())))
+        found.append(sorted(map(str, op2.dedup(docs.repartition(int(parts)), op2.digests, op2.DIGESTS).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert found[0] == found[1] == found[2]
     assert any(f"doc_id={2**63 - 1}" in x for x in found[0])
@@ -117,3 +117,59 @@ def test_pipeline_takes_any_column_and_row(spark):
             assert len(kept) == 7 and (True, 0, text) not in kept and sum(k[1] == 1 for k in kept) == 2
         if name == "suffix_dedup":
             assert len(kept) == 8 and (True, 0, "") in kept
+
+
+def test_op2_op8_many_copies(spark):
+    """A text that a third of the rows hold, with and without ids of their own."""
+    from chatterloom.llm import op02_suffix_dedup as op2
+    from chatterloom.llm import op08_katz as op8
+
+    hot = "the same words again and again in a text that very many rows hold, " * 3
+    rows = [(i, hot) for i in range(5, 605)] + [(7, hot)] * 40 + [(None, hot)] * 30 + [(i, f"other text {i}") for i in range(1000, 1900)] + [(5, "short"), (6, "short"), (None, "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in op2.dedup(docs, op2.digests, op2.DIGESTS).collect()]
+    assert len(got) == len(rows)
+    n = len(hot.encode())
+    mine = [r for r in got if r[1] == n]
+    assert sorted((r[0] is None, r[0] or 0) for r in mine if r[2] < n) == [(False, 5)] and sum(r[2] == n for r in mine) == 669
+    assert all(r[2] == 0 for r in got if r[1] == 5)
+    got = op8.score(docs).collect()
+    assert len(got) == len(rows) and len({r["score"] for r in got if r["n_tokens"] == len(hot.split()) + 1}) == 1
+    import zlib
+
+    train = sum(len(t.split()) + 1 for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 10)
+    assert {r["train_tokens"] for r in got} == {train}
+    assert {r["doc_id"] for r in got if r["held_out"]} == {i for i, _ in rows if i is not None and zlib.crc32(str(i).encode()) % 10 == 0}
+
+
+def test_op4_cells_of_a_label(spark):
+    import numpy as np
+
+    from chatterloom.llm import op04_embedding_dedup as op4
+
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(24, 32)) * 3
+    x = (centre[rng.integers(0, 24, 3000)] + rng.normal(size=(3000, 32)) * rng.choice([0.02, 0.5, 1.0], size=(3000, 1))).astype(np.float32)
+    label = rng.choice(3, 3000, p=[0.9, 0.08, 0.02])
+    u = op4.unit_rows(x.astype(float))
+    assert len(op4.fitted(u[label == 0], 1000.0, 0.93, 100).c) > 4
+    docs = spark.createDataFrame([(i, x[i].tolist(), int(label[i])) for i in range(3000)], "vec_id long, embedding array<float>, label int")
+    near = (u @ u.T >= 0.93) & (label[:, None] == label)
+    np.fill_diagonal(near, False)
+    first = None
+    for block, sample in ((100, 20_000), (4096, 150), (37, 900)):
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in op4.link(docs, block=block, sample=sample).collect()}
+        assert [got[i][0] for i in range(3000)] == near.sum(1).tolist()
+        assert first in (None, got)
+        first = got
+    seen = set()
+    for i in range(3000):  # components by search
+        if i not in seen:
+            todo, part = [i], {i}
+            while todo:
+                for k in np.flatnonzero(near[todo.pop()]).tolist():
+                    if k not in part:
+                        part.add(k)
+                        todo.append(k)
+            seen |= part
+            assert {first[k][1] for k in part} == {i}
