@@ -60,7 +60,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     key, new = free_names(docs.columns, "row_key", "new_text")
     rows = keyed(docs, key)
-    cut = op02_suffix_dedup.dedup(rows.select(F.col(key).alias("doc_id"), "text"), op02_suffix_dedup.texts_kept, "doc_id long, text string, n_removed long")
+    cut = op02_suffix_dedup.dedup(rows.select(F.col(key).alias("doc_id"), "text"), op02_suffix_dedup.texts_kept, op02_suffix_dedup.KEPT)
     cut = cut.select(F.col("doc_id").alias(key), F.col("text").alias(new))
     made = {"text": F.col(new).alias("text")}
     if "n_chars" in docs.columns:
