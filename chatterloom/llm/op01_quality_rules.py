@@ -2,7 +2,10 @@
 Viterbi; the share of words in content lines decides retention.
 
 Base rules count words, symbols, repeated lines and repeated 3-word windows. The field is trained (forward-backward
-gradients) on lines of at most MAX_TRAIN documents, chosen by a hash of their ids, with the labels of `seed_labels`.
+gradients) on lines of at most MAX_TRAIN labelled documents, chosen by a hash of their ids, and of at most MAX_CHARS
+characters of each. Lines have no labels of their own; theirs come from outside of the text they stand in, and so from
+none of the features: a line is boilerplate if its document is labelled as bad, or if SHARED documents of the sample or
+more hold it; all others are content.
 
 Defined results: null and empty texts have no words and fail the base rules; a text without lines that hold words
 has content share 0. Rows with a null doc_id or repeated rows each get their row. Texts are read whole. Other
@@ -19,7 +22,9 @@ from pyspark.sql import functions as F
 from .common import Words, id_text, lean, text_steps
 from .text_stats import _DIGIT, _LETTER, _STOP, _UPPER, SYMBOLS, dup_lines, lines, of_sorted, repeated_words
 
-MAX_TRAIN = 400
+MAX_TRAIN, MAX_CHARS = 400, 20_000
+#: Documents that hold a line of boilerplate at least.
+SHARED = 3
 #: Least share of a kept text's words that lie in content lines.
 CONTENT_SHARE = 0.5
 LICENCE_WORDS = ("license", "license.", "licensed", "copyright", "rights", "reserved", "reserved.", "spdx-license-identifier:", "cookies", "subscribe", "login", "sitemap")
@@ -77,9 +82,11 @@ def licence_hashes() -> np.ndarray:
     return _LICENCE[0]
 
 
-def seed_labels(x: np.ndarray) -> np.ndarray:
-    """1 (content) unless a line is mostly symbols, capitals, bars or marks, names a licence, was seen before or loops."""
-    return (x[:, [1, 2, 3, 4, 5, 6, 13]].sum(1) == 0).astype(int)
+def line_labels(sequences: list[np.ndarray], good: list[bool], shared: int = SHARED) -> list[np.ndarray]:
+    """1 (content) or 0 for each line. sequences: hashes of the lines of each document; good: the document's label."""
+    every, documents = np.unique(np.concatenate([np.unique(h) for h in sequences]), return_counts=True)
+    common = every[documents >= shared]
+    return [(~np.isin(h, common)).astype(int) if ok else np.zeros(len(h), int) for h, ok in zip(sequences, good)]
 
 
 def train(sequences: list[tuple[np.ndarray, np.ndarray]], epochs: int = 6, rate: float = 0.2, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
@@ -134,16 +141,21 @@ def viterbi(doc: np.ndarray, e: np.ndarray, t: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> tuple[np.ndarray, np.ndarray]:
-    """Weights from at most max_train documents, the first by a hash of their ids."""
-    ids = [r[0] for r in docs.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train).collect()]
-    texts = [r["text"].encode() for r in docs.where(F.col("doc_id").isin(ids) & F.col("text").isNotNull()).select("doc_id", "text").orderBy("doc_id", "text").limit(max_train).collect()] if ids else []
-    found = []
-    for text in texts:
-        _, _, x = line_features(Words([text]))
+def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_chars: int = MAX_CHARS) -> tuple[np.ndarray, np.ndarray]:
+    """Weights from at most max_train documents that are labelled, the first by a hash of their ids."""
+    told = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
+    ids = docs.select("doc_id").distinct()
+    chosen = told.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
+    rows = docs.where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", F.substring("text", 1, max_chars).alias("text"))
+    rows = rows.orderBy("doc_id", "text").limit(max_train).collect()  # max_train texts of max_chars
+    hashes, good, features = [], [], []
+    for r in rows:
+        w = Words([r["text"].encode()])
+        _, _, x = line_features(w)
         if len(x):
-            found.append((x, seed_labels(x)))
-    return train(found)
+            doc, start, end, full = lines(w)
+            hashes.append(w.spans(start[full], end[full])), good.append(r["y"] == 1), features.append(x)
+    return train(list(zip(features, line_labels(hashes, good))) if features else [])
 
 
 def judge(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray], share: float = CONTENT_SHARE) -> DataFrame:
@@ -177,4 +189,4 @@ def judge(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray], share: float
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = id_text(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return judge(docs, fit(docs))
+    return judge(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
