@@ -70,12 +70,15 @@ def test_components(spark):
 
 
 def test_op1(spark, odd, none):
-    weights = op1.fit(odd.select("doc_id", "text"))
+    labels = spark.createDataFrame([(5, 0), (6, 0), (9, 1), (11, 1), (99, 1), (8, None)], "doc_id long, quality int")
+    weights = op1.fit(odd.select("doc_id", "text"), labels)
     rows = {r["doc_id"]: r for r in op1.judge(odd.select("doc_id", "text"), weights).collect()}
     assert rows[1]["n_words"] == rows[2]["n_words"] == rows[3]["n_words"] == 0 and not rows[1]["kept"]
     assert (rows[5]["n_words"], rows[5]["n_repeat_words"], rows[5]["base_failed"]) == (240, 240, True)
     assert rows[11]["n_dup_lines"] == 1
-    assert op1.judge(none.select("doc_id", "text"), op1.fit(none.select("doc_id", "text"))).count() == 0
+    assert op1.judge(none.select("doc_id", "text"), op1.fit(none.select("doc_id", "text"), labels)).count() == 0
+    a, b, c = (np.array(x, np.uint64) for x in ([1, 2, 2], [1, 3], [1, 4]))
+    assert [y.tolist() for y in op1.line_labels([a, b, c], [True, True, False])] == [[0, 1, 1], [0, 1], [0, 0]]
     e, t, doc = np.random.default_rng(1).normal(size=(7, 2)), np.array([[0.5, -0.2], [-0.3, 0.4]]), np.array([0, 0, 0, 0, 1, 1, 1])
     best = lambda lo, hi: max(np.ndindex(*[2] * (hi - lo)), key=lambda y: sum(e[lo + k, v] for k, v in enumerate(y)) + sum(t[a, b] for a, b in zip(y, y[1:])))
     assert op1.viterbi(doc, e, t).tolist() == [*best(0, 4), *best(4, 7)]

@@ -173,3 +173,58 @@ def test_op4_cells_of_a_label(spark):
                         todo.append(k)
             seen |= part
             assert {first[k][1] for k in part} == {i}
+
+
+def test_katz_tables_of_three_orders(spark):
+    """Against a recursion over dictionaries, and sums of probabilities; at two orders the same as op8's query."""
+    from collections import Counter, defaultdict
+    from math import log10
+
+    import numpy as np
+    import pytest
+
+    from chatterloom.llm import ngram_tables as tables
+    from chatterloom.llm import op08_katz as op8
+
+    rng = random.Random(8)
+    words = [f"W{k}" for k in range(25)]
+    texts = [" ".join(rng.choices(words, weights=[30 // (k + 1) + 1 for k in range(25)], k=rng.randint(0, 14))) for _ in range(300)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokens = [[w.lower() for w in (t or "").split()] + ["</s>"] for t in texts]
+    grams = {n: defaultdict(Counter) for n in (1, 2, 3)}
+    for ws in tokens:
+        padded = ["<s>", "<s>", *ws]
+        for i, w in enumerate(ws):
+            for n in (1, 2, 3):
+                grams[n][tuple(padded[i + 3 - n : i + 2])][w] += 1
+    d = {n: op8.discounts(np.array([sum(v == r for c in g.values() for v in c.values()) for r in range(7)])) for n, g in grams.items()}
+    cut = lambda n, c: c * (d[n][c] if c <= 5 else 1)
+
+    def p(ctx, w):
+        n = len(ctx) + 1
+        c = grams[n].get(ctx)
+        if c is None:
+            return p(ctx[1:], w)
+        total = sum(c.values())
+        left, scale = 1 - sum(cut(n, v) for v in c.values()) / total, 1.0
+        if left <= 1e-15:
+            left, scale = 1 / (total + 1), total / (total + 1)
+        if w in c:
+            return scale * cut(n, c[w]) / total
+        return left / (1 - sum(p(ctx[1:], v) for v in c)) * p(ctx[1:], w) if ctx else left
+
+    known = list(grams[1][()])
+    for ctx in list(grams[3])[:40]:
+        assert sum(p(ctx, w) for w in known) + p(ctx, "?") == pytest.approx(1)
+    new = [(1000, "w0 W1 unseen w2 w1"), (1001, "w24 w24 w24 w23"), (None, "w3")]
+    both = docs.unionByName(spark.createDataFrame(new, "doc_id long, text string"))
+    m = tables.model(tables.counts(docs))
+    got = {r["doc_id"]: r["score"] for r in tables.scored(both, m).collect()}
+    for i, t in [*enumerate(texts), *new]:
+        ws = [w.lower() for w in (t or "").split()] + ["</s>"]
+        padded = ["<s>", "<s>", *ws]
+        assert got[i] == pytest.approx(sum(log10(p(tuple(padded[k : k + 2]), w)) for k, w in enumerate(ws)), rel=1e-9)
+    two = {r["doc_id"]: r["score"] for r in tables.scored(docs, tables.model(tables.counts(docs, 2), 2)).collect()}
+    assert all(two[r["doc_id"]] == pytest.approx(r["score"], rel=1e-6) for r in op8.score(docs, 0).collect())
+    nothing = tables.model(tables.counts(docs.where("false")))
+    assert {r["score"] for r in tables.scored(docs, nothing).collect()} == {0.0}
