@@ -31,7 +31,7 @@ class Discriminant:
     centre: np.ndarray
     scale: np.ndarray
     means: tuple[np.ndarray, ...]
-    inverse_factors: tuple[np.ndarray, ...]
+    factors: tuple[np.ndarray, ...]
     log_dets: tuple[float, ...]
     log_prior: float
     slope: float
@@ -43,10 +43,18 @@ class Discriminant:
         return logistic(self.slope * self.margin(z) + self.offset)
 
     def margin(self, z: np.ndarray) -> np.ndarray:
-        density = [-0.5 * (((z - m) @ w.T) ** 2).sum(1) - 0.5 * d for m, w, d in zip(self.means, self.inverse_factors, self.log_dets)]
+        density = [-0.5 * (forward(low, (z - m).T) ** 2).sum(0) - 0.5 * d for m, low, d in zip(self.means, self.factors, self.log_dets)]
         return density[1] - density[0] + self.log_prior
 
 
+def forward(low: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """y of low y = b for a lower triangle, column by column of b."""
+    y = np.empty_like(b)
+    for i in range(len(low)):
+        y[i] = (b[i] - low[i, :i] @ y[:i]) / low[i, i]
+    return y
+
+
 def standard(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
     """Standard scores; those of a text of n words shrink by n / (n + 15), for a few words say little."""
     z = np.clip((x - centre) / scale, -25, 25)
@@ -77,7 +85,7 @@ def fit(x: np.ndarray, y: np.ndarray, to_pooled: float = 0.1, to_diagonal: float
         c = (1 - to_diagonal) * c + to_diagonal * np.diag(np.diag(c)) + 1e-3 * np.eye(len(c))
         low = np.linalg.cholesky(c)
         means.append(g.mean(0))
-        factors.append(np.linalg.inv(low))
+        factors.append(low)
         dets.append(2 * np.log(np.diag(low)).sum())
     prior = float(np.log(len(groups[1]) / len(groups[0])))
     raw = Discriminant(centre, scale, tuple(means), tuple(factors), tuple(dets), prior, 1.0, 0.0)
