@@ -38,7 +38,16 @@ def written(df: DataFrame, *parts: str) -> DataFrame:
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     out = df.write.option("compression", "zstd")
     (out.partitionBy(*parts) if parts else out).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def forget(table: DataFrame) -> None:
+    """Removes what `written` wrote, once all that was read from it has been written itself."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Keys that a join treats as hot at most.
@@ -233,7 +242,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
     """Rows (node, component): the smallest node that each node of the links can reach.
 
     Alternates large-star and small-star contraction, each a group-by and a join on the node, and writes each
-    round to the shared folder. A hub is met as a minimum over its links (pre-aggregated), never as a list. Null
+    round to the shared folder, from where those before are removed. A hub is met as a minimum over its links (pre-aggregated), never as a list. Null
     ends and self-links are dropped. Raises if it has not settled after `most_rounds`.
     """
     links = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a is not null and b is not null and a <> b")
@@ -249,6 +258,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(least.select("a", F.col("m").alias("b")))
         small = written(small.distinct())
+        forget(large)
+        forget(now)
         check = small.groupBy("a").count().where("count > 1").isEmpty()
         roots_only = small.select(F.col("b").alias("a")).distinct().join(small.select("a").distinct(), "a", "left_semi").isEmpty()
         now = small
