@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterloom.llm import op02_suffix_dedup, op03_quality_classifier, op06_packing, op09_toxicity, op10_minhash_dedup
-from chatterloom.llm.common import free_names, written
+from chatterloom.llm.common import forget, free_names, written
 
 VOCABULARY = "word_bpe_49k.json"
 LEAST_QUALITY = 0.3
@@ -80,6 +80,10 @@ ORACLE_SQL = None  # SQL can't express these stages; tests hold them against bru
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for _, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir))
+        if before is not None:
+            forget(before)
+        before = docs
     return docs
