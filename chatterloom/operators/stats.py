@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import EMOJI, HAN, count_of, detect_lang, has_text, letters, ngrams, right_trim, swear_count, tokens, utf16_length
+from ..functions.text import EMOJI, count_of, detect_lang, has_text, is_han, letters, ngrams, right_trim, swear_count, tokens, utf16_length
 
 BURST_GAP_MS = 300_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -68,8 +68,10 @@ def lexical(m: DataFrame, scope: list[str], cut: Callable[[Column], Column] = to
     """Tokens are made once: a row for each, of which a message's first carries the message's own numbers; terms are
     then counted in one group-by, and scopes in a second that only adds numbers."""
     t = mine(m).select(*scope, "text", cut(F.col("text")).alias("t"))
-    zh = F.size(F.filter("t", lambda x: x.rlike(HAN))).cast("long")
-    t = t.select(*scope, F.posexplode_outer("t").alias("pos", "term"), F.size("t").cast("long").alias("n"), zh.alias("zh"), swear_count(F.col("text")).alias("swears"))
+    zh = F.size(F.filter("t", is_han)).cast("long")
+    # the numbers stand below the generator, which else has them worked out again for each token
+    t = t.select(*scope, "t", F.size("t").cast("long").alias("n"), zh.alias("zh"), swear_count(F.col("text")).alias("swears"))
+    t = t.select(*scope, F.posexplode_outer("t").alias("pos", "term"), "n", "zh", "swears")
     first = F.coalesce(F.col("pos"), F.lit(0)) == 0
     once = lambda c, name: F.sum(F.when(first, c).otherwise(0)).alias(name)
     names = ("messages", "n", "zh", "swears", "mixed")
