@@ -9,8 +9,8 @@ same. The suffixes of the whole collection that agree in WIDTH bytes are found i
    in the others all strings go): first within a home of texts, then in the bucket of the anchor.
 3. The different segments of an anchor are the documents of a collection whose Burrows-Wheeler transform is built
    column by column: each round inserts the next symbol (from the end) of every segment by the last-to-first
-   mapping. In the order of its suffixes, neighbours with a common prefix of WIDTH or more hold equal strings; of
-   each such run the earliest place stays.
+   mapping, and updates the common prefixes of neighbouring suffixes. Neighbours with a common prefix of WIDTH or
+   more hold equal strings; of each such run the earliest place stays.
 4. Homes read which strings go, and cut the bytes they cover. A text is worked on once, however many rows hold it; its
    rows take the result by its digest.
 
@@ -173,10 +173,22 @@ def answer_anchors(asks: list[tuple[int, bytes]]):
         yield src, packed(np.packbits(again[at[k] : at[k + 1]]))
 
 
-def sorted_suffixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray]:
-    """String and offset of each suffix of at least `least` bytes, in the order of the suffixes of the collection
-    (equal ones by string). Builds the collection's transform by columns: in each round every string not yet used up
-    inserts its next symbol from the end."""
+def least_between(a: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """min(a[lo:hi]) for each of some ranges, none empty. In the ranges' order, so that what lies between is met once."""
+    out = np.empty(len(lo), a.dtype)
+    order = np.argsort(lo, kind="stable")
+    at = np.stack([lo[order], hi[order]], 1).ravel()
+    out[order] = np.minimum.reduceat(np.append(a, np.iinfo(a.dtype).max), at)[::2] if len(at) else 0
+    return out
+
+
+def sorted_suffixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """String, offset and run of each suffix of at least `least` bytes, in the order of the suffixes of the collection
+    (equal ones by string); those of a run agree in `least` bytes.
+
+    Builds the collection's transform and its common prefixes by columns: in each round every string not yet used up
+    inserts its next symbol from the end. A new suffix's neighbours among those of its first symbol are the rows whose
+    symbol it is, next before and after; its common prefix with either is one more than the least between their rows."""
     n = len(strings)
     sizes = np.array([len(x) for x in strings])
     width = int(sizes.max())
@@ -184,30 +196,40 @@ def sorted_suffixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.nd
     for i, x in enumerate(strings):
         text[i, : len(x)] = np.frombuffer(x, np.uint8)[::-1] + 1
     bwt = text[:, 0].copy()  # rows of the empty suffixes
+    common = np.zeros(n, np.int32)  # of each row with the one before
     row = np.arange(n)  # of each string's longest suffix so far
     live = np.arange(n)
 
-    def last_to_first(b: np.ndarray) -> tuple[np.ndarray, int]:
+    def last_to_first(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         order = np.argsort(b, kind="stable")
         inv = np.empty(len(b), np.int64)
         inv[order] = np.arange(len(b))
-        return inv, n - int((b == 0).sum())
+        return order, inv, n - int((b == 0).sum())
 
     for j in range(1, width + 1):
-        inv, shift = last_to_first(bwt)
+        order, inv, shift = last_to_first(bwt)
         live = live[sizes[live] >= j]
-        to = inv[row[live]] + shift
-        new = np.empty(len(bwt) + len(live), np.uint8)
+        at = row[live]
+        rank, symbol = inv[at], bwt[at]
+        to = rank + shift
+        before, after = order[np.maximum(rank - 1, 0)], order[np.minimum(rank + 1, len(order) - 1)]
+        has = (rank > 0) & (bwt[before] == symbol)
+        has_next = (rank < len(order) - 1) & (bwt[after] == symbol)
+        low = least_between(common, before[has] + 1, at[has] + 1)
+        high = least_between(common, at[has_next] + 1, after[has_next] + 1)
+        new, prefix = np.empty(len(bwt) + len(live), np.uint8), np.empty(len(bwt) + len(live), np.int32)
         old = np.ones(len(new), bool)
         old[to] = False
-        new[old] = bwt
-        new[to] = text[live, j]
-        bwt = new
+        new[old], prefix[old] = bwt, common
+        new[to], prefix[to] = text[live, j], 0
+        prefix[inv[after[has_next]] + shift] = high + 1
+        prefix[to[has]] = low + 1
+        bwt, common = new, prefix
         row[live] = to
         done = sizes <= j - 1
         if done.any():  # rows of used-up strings move as others are inserted; they are found again at the end
             row[done] = 0
-    inv, shift = last_to_first(bwt)
+    _, inv, shift = last_to_first(bwt)
     where = np.full(len(bwt), -1)
     at, of = np.arange(n), np.arange(n)
     offset = np.zeros(len(bwt), np.int32)
@@ -219,18 +241,12 @@ def sorted_suffixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.nd
             where[at] = of
             offset[at] = sizes[of] - j
     rows = np.flatnonzero(where >= 0)
-    return where[rows], offset[rows]
+    return where[rows], offset[rows], np.cumsum(common < least)[rows]
 
 
 def repeated(strings: list[bytes], doc: np.ndarray, start: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """String and offset of each `width`-byte string that an earlier one (by doc, then place) equals."""
-    s, o = sorted_suffixes(strings, width)
-    text = np.zeros((len(strings), max(map(len, strings))), np.uint8)
-    for i, x in enumerate(strings):
-        text[i, : len(x)] = np.frombuffer(x, np.uint8)
-    view = np.lib.stride_tricks.sliding_window_view(text, width, axis=1)[s, o]
-    common = (view[1:] == view[:-1]).all(1)  # a common prefix of `width` or more
-    run = np.concatenate(([0], np.cumsum(~common)))
+    s, o, run = sorted_suffixes(strings, width)
     order = np.lexsort((start[s] + o, doc[s], run))
     first = np.concatenate(([True], run[order][1:] != run[order][:-1]))
     late = order[~first]

@@ -100,8 +100,10 @@ def test_op2(spark, odd, none):
     random.seed(1)
     for _ in range(60):
         strings = [bytes(random.choices(b"ab", k=random.randint(3, 12))) for _ in range(random.randint(1, 8))]
-        s, o = op2.sorted_suffixes(strings, 3)
-        assert [strings[a][b:] for a, b in zip(s, o)] == sorted(x[k:] for x in strings for k in range(len(x) - 2))
+        s, o, run = op2.sorted_suffixes(strings, 3)
+        got = [strings[a][b:] for a, b in zip(s, o)]
+        assert got == sorted(x[k:] for x in strings for k in range(len(x) - 2))
+        assert [a == b for a, b in zip(run, run[1:])] == [a[:3] == b[:3] for a, b in zip(got, got[1:])]
     base = "".join(random.choices("abcdé ", k=3000))
     rows = []
     for i in range(120):
