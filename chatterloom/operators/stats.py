@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import EMOJI, count_of, detect_lang, has_text, is_han, letters, ngrams, right_trim, swear_count, tokens, utf16_length
+from ..functions.text import detect_lang, has_text, is_han, letters, ngrams, pictographs, right_trim, swear_count, tokens, utf16_length
 
 BURST_GAP_MS = 300_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -105,12 +105,12 @@ def punctuation(m: DataFrame, scope: list[str]) -> DataFrame:
 
 
 def emoji(m: DataFrame, scope: list[str]) -> DataFrame:
-    k = count_of(F.col("text"), EMOJI)
-    return mine(m).groupBy(*scope).agg(F.sum(k).alias("emoji_total"), ratio(F.sum(k), F.count("*")).alias("emoji_per_message"), ratio(F.count_if(k > 0), F.count("*")).alias("emoji_message_ratio"))
+    k = F.col("k")
+    return mine(m).select(*scope, F.size(pictographs(F.col("text"))).cast("long").alias("k")).groupBy(*scope).agg(F.sum(k).alias("emoji_total"), ratio(F.sum(k), F.count("*")).alias("emoji_per_message"), ratio(F.count_if(k > 0), F.count("*")).alias("emoji_message_ratio"))
 
 
 def top_emoji(m: DataFrame, scope: list[str], top: int = 25) -> DataFrame:
-    e = mine(m).select(*scope, "seq", F.posexplode(F.regexp_extract_all("text", F.lit(f"({EMOJI})"), F.lit(1))).alias("pos", "emoji"))
+    e = mine(m).select(*scope, "seq", F.posexplode(pictographs(F.col("text"))).alias("pos", "emoji"))
     counted = e.groupBy(*scope, "emoji").agg(F.count("*").alias("count"), F.min(F.struct("seq", "pos")).alias("seen"))
     return counted.withColumn("rank", F.row_number().over(Window.partitionBy(*scope).orderBy(F.desc("count"), "seen")).cast("long")).where(F.col("rank") <= top).drop("seen")
 
