@@ -174,12 +174,12 @@ def answer_anchors(asks: list[tuple[int, bytes]]):
 
 
 def least_between(a: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """min(a[lo:hi]) for each of some ranges, none empty. In the ranges' order, so that what lies between is met once."""
-    out = np.empty(len(lo), a.dtype)
-    order = np.argsort(lo, kind="stable")
-    at = np.stack([lo[order], hi[order]], 1).ravel()
-    out[order] = np.minimum.reduceat(np.append(a, np.iinfo(a.dtype).max), at)[::2] if len(at) else 0
-    return out
+    """min(a[lo:hi]) for each of some ranges, none empty; most are short."""
+    if not len(lo):
+        return np.zeros(0, a.dtype)
+    size = hi - lo
+    at = np.cumsum(size) - size
+    return np.minimum.reduceat(a[np.repeat(lo - at, size) + np.arange(at[-1] + size[-1])], at)
 
 
 def sorted_suffixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,7 +196,7 @@ def sorted_suffixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.nd
     for i, x in enumerate(strings):
         text[i, : len(x)] = np.frombuffer(x, np.uint8)[::-1] + 1
     bwt = text[:, 0].copy()  # rows of the empty suffixes
-    common = np.zeros(n, np.int32)  # of each row with the one before
+    common = np.zeros(n, np.uint8 if least < 255 else np.int32)  # of each row with the one before, up to `least`
     row = np.arange(n)  # of each string's longest suffix so far
     live = np.arange(n)
 
@@ -217,13 +217,13 @@ def sorted_suffixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.nd
         has_next = (rank < len(order) - 1) & (bwt[after] == symbol)
         low = least_between(common, before[has] + 1, at[has] + 1)
         high = least_between(common, at[has_next] + 1, after[has_next] + 1)
-        new, prefix = np.empty(len(bwt) + len(live), np.uint8), np.empty(len(bwt) + len(live), np.int32)
+        new, prefix = (np.empty(len(bwt) + len(live), x.dtype) for x in (bwt, common))
         old = np.ones(len(new), bool)
         old[to] = False
         new[old], prefix[old] = bwt, common
         new[to], prefix[to] = text[live, j], 0
-        prefix[inv[after[has_next]] + shift] = high + 1
-        prefix[to[has]] = low + 1
+        prefix[inv[after[has_next]] + shift] = np.minimum(high + 1, least)
+        prefix[to[has]] = np.minimum(low + 1, least)
         bwt, common = new, prefix
         row[live] = to
         done = sizes <= j - 1
