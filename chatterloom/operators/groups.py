@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import WS, has_text, normal_identity, tokens, utf16_length
+from .counting import uses
 
 # Words that are not counted as terms.
 STOPWORDS = "the and you that this for with have not are was but just 啊 吗 吧 呢 的 了 是 我 你 他 她 它 们 在 就 都 和".split()
@@ -40,25 +41,15 @@ def top_terms(g: DataFrame, top: int = 25, only_me: bool = False, cut: Callable[
     return c.withColumn("rank", F.row_number().over(Window.partitionBy("group_id").orderBy(F.desc("count"), "seen")).cast("long")).where(F.col("rank") <= top).drop("seen")
 
 
-#: Terms of a group that one row of its messages is searched for; a group with more has several rows a message.
-TERMS_A_ROW = 500
 TOP_ADDRESS_TERMS = 10
 
 
-def uses(text: Column, term: Column) -> Column:
-    """How often a text holds a term, from the left and without overlaps."""
-    return ((F.length(text) - F.length(F.replace(text, term, F.lit("")))) / F.length(term)).cast("long")
-
-
 def mentions(g: DataFrame, terms: DataFrame) -> DataFrame:
-    """Uses of terms (group_id, term) in the own messages of their group: group_id, term, count. A group's terms travel
-    with its messages as arrays of TERMS_A_ROW, so that no row stands for a pair of a message and a term."""
+    """Uses of terms (group_id, term) in the own messages of their group: group_id, term, count. Messages stay where they
+    are, and each is read once, however many terms its group has."""
     asked = terms.select("group_id", F.regexp_replace("term", f"^{WS}+|{WS}+$", "").alias("term")).where(utf16_length(F.col("term")) >= 2).distinct()
-    size = asked.groupBy("group_id").agg(F.ceil(F.count("*") / TERMS_A_ROW).cast("int").alias("blocks"))
-    blocks = asked.join(size, "group_id").groupBy("group_id", F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block")).agg(F.collect_list("term").alias("terms"))
     own = g.where((F.col("sender") == "me") & has_text(F.col("text"))).select("group_id", "text")
-    found = F.filter(F.transform("terms", lambda t: F.struct(t.alias("term"), uses(F.col("text"), t).alias("k"))), lambda x: x["k"] > 0)
-    return own.join(blocks, "group_id").select("group_id", F.inline(found)).groupBy("group_id", "term").agg(F.sum("k").alias("count"))
+    return uses(own, asked, "group_id")
 
 
 def signals(g: DataFrame, contacts: DataFrame) -> DataFrame:

@@ -1,5 +1,8 @@
 """Group signals and mentions, by hand and on more terms than a row holds."""
 
+import random
+import time
+
 from chatterloom.operators import groups
 
 
@@ -25,3 +28,24 @@ def test_signals(spark):
     assert a["matched_participant_ids"] == ["other", "wx_a"] and a["matched_participant_names"] == ["Ann Lee", "Annie", "ann lee"]
     assert a["address_terms_from_me"] == [{"term": "Annie", "count": 2}, {"term": "Ann Lee", "count": 1}, {"term": "ann lee", "count": 1}]
     assert (a["evidence_source"], a["weight"]) == ("group_chat", "weak") and got[1]["address_terms_from_me"] == []
+
+
+def test_mentions_overlap_and_begin_alike(spark):
+    """From the left, without overlaps, for each term by itself; as Python counts."""
+    rng = random.Random(3)
+    parts = ["a", "aa", "ab", "User 1", "User 12", "é", "éé", "日本", "日", "😀", " ", "\n", "user 1"]
+    texts = [(rng.choice("gh"), "".join(rng.choices(parts, k=rng.randint(1, 40)))) for _ in range(300)]
+    terms = {x: ["aa", "aaa", "aba", "User 1", "User 12", "User 123", "éé", "日本", "日本日", "😀", "1U", "\\w+", "a.a"][: 13 if x == "g" else 6] for x in "gh"}
+    g = spark.createDataFrame([(a, "me", t) for a, t in texts], "group_id string, sender string, text string")
+    got = {(r["group_id"], r["term"]): r["count"] for r in groups.mentions(g, spark.createDataFrame([(a, t) for a, ts in terms.items() for t in ts], "group_id string, term string")).collect()}
+    want = {(a, t): sum(x.count(t) for b, x in texts if b == a) for a, ts in terms.items() for t in ts}
+    assert got == {k: n for k, n in want.items() if n}
+
+
+def test_mentions_of_a_hundred_thousand_terms(spark):
+    """A text is not searched once for each term: that takes minutes here."""
+    g = spark.createDataFrame([("g", "me", "User 7 and " * 900) for _ in range(400)], "group_id string, sender string, text string").repartition(8)
+    terms = spark.range(100_000).selectExpr("'g' group_id", "concat('User ', id) term")
+    began = time.time()
+    assert [(r["term"], r["count"]) for r in groups.mentions(g, terms).collect()] == [("User 7", 360_000)]
+    assert time.time() - began < 40
