@@ -3,6 +3,8 @@
 import random
 import time
 
+from pyspark.sql import functions as F
+
 from chatterloom.operators import groups
 
 
@@ -49,3 +51,10 @@ def test_mentions_of_a_hundred_thousand_terms(spark):
     began = time.time()
     assert [(r["term"], r["count"]) for r in groups.mentions(g, terms).collect()] == [("User 7", 360_000)]
     assert time.time() - began < 40
+
+
+def test_messages_are_not_dealt_by_group(spark):
+    """Of a few groups, each message would go to one of a few tasks."""
+    g = spark.createDataFrame([("g", "me", "a term")] * 50, "group_id string, sender string, text string")
+    plan = groups.mentions(g, g.select("group_id", F.lit("term").alias("term")))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan[plan.rindex("MapInArrow") :]
