@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import WS, has_text, normal_identity, tokens, utf16_length
-from .counting import uses
+from .counting import counts, parts_of, totalled, uses
 
 # Words that are not counted as terms.
 STOPWORDS = "the and you that this for with have not are was but just 啊 吗 吧 呢 的 了 是 我 你 他 她 它 们 在 就 都 和".split()
@@ -34,10 +34,12 @@ def top_participants(g: DataFrame, top: int = 20) -> DataFrame:
 
 
 def top_terms(g: DataFrame, top: int = 25, only_me: bool = False, cut: Callable[[Column], Column] = tokens) -> DataFrame:
+    """Most used terms of two characters or more that are no stop words; equal counts by first occurrence. Terms are
+    counted within tasks, so a group's messages make a row for each term of a part of them, not for each use."""
     g = g.where(has_text(F.col("text")))
-    t = (g.where("sender = 'me'") if only_me else g).select("group_id", "seq", F.posexplode(cut(F.col("text"))).alias("pos", "term"))
-    t = t.where((utf16_length(F.col("term")) > 1) & ~F.col("term").isin(STOPWORDS))
-    c = t.groupBy("group_id", "term").agg(F.count("*").alias("count"), F.min(F.struct("seq", "pos")).alias("seen"))
+    own = (g.where("sender = 'me'") if only_me else g).select("group_id", "seq", parts_of(F.col("text"), cut).alias("t"))
+    told = counts(own, ["group_id"], 1, top).where((utf16_length(F.col("term")) > 1) & ~F.col("term").isin(STOPWORDS))
+    c = totalled(told, ["group_id"])
     return c.withColumn("rank", F.row_number().over(Window.partitionBy("group_id").orderBy(F.desc("count"), "seen")).cast("long")).where(F.col("rank") <= top).drop("seen")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import detect_lang, has_text, is_han, letters, pictographs, right_trim, swear_count, tokens, utf16_length
-from .counting import counts, parts_of
+from .counting import counts, parts_of, totalled
 
 BURST_GAP_MS = 300_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -53,13 +53,6 @@ def totals(m: DataFrame, total: int = THRESHOLDS[0], each_way: int = THRESHOLDS[
     return s.agg(F.sum("message_count_total").alias("total_messages"), F.sum("message_count_from_me").alias("total_messages_from_me"), F.count("*").alias("total_contacts"), F.count_if(ok).alias("contacts_above_threshold"))
 
 
-def totalled(parts: DataFrame, scope: list[str]) -> DataFrame:
-    """scope, term, count, seen: sums of `counts`. The first place of a term is one number, so that the aggregate is by
-    hash; decimals hold any seq and pos."""
-    place = F.col("seq") * F.lit(10**10).cast("decimal(11,0)") + F.col("pos")
-    return parts.groupBy(*scope, "term").agg(F.sum("count").alias("count"), F.min(place).alias("seen"))
-
-
 def top_terms(m: DataFrame, scope: list[str], n: int, top: int, least: int = 1, cut: Callable[[Column], Column] = tokens) -> DataFrame:
     """Most frequent n-grams of the tokens that `cut` makes; equal counts by first occurrence. least is met after the cut
     to `top`."""

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chatterloom.functions.text import tokens
-from chatterloom.operators import counting, stats
+from chatterloom.operators import counting, groups, stats
 
 SCHEMA = "contact_id string, seq long, sender string, text string"
 
@@ -43,3 +43,12 @@ def test_rare_ngrams_are_not_rows(spark):
     for scope in ([], ["contact_id"]):
         rows = counting.counts(m, scope, 3, 2)
         assert rows.where("term = 'one two three'").groupBy("term").sum("count").first()[1] == 1800 and rows.count() < 10_000
+
+
+def test_group_terms_are_counted_within_tasks(spark):
+    g = spark.createDataFrame([("g", i, "me", "Beta alpha and beta alpha x 我") for i in range(1000)], "group_id string, seq long, sender string, text string").repartition(4)
+    parts = counting.counts(g.select("group_id", "seq", F.col("text").cast("binary").alias("t")), ["group_id"], 1, 25)
+    assert parts.count() <= 4 * 5  # not a row for each of 7,000 uses
+    plan = groups.top_terms(g)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Generate" not in plan
+    assert [(r["term"], r["count"], r["rank"]) for r in groups.top_terms(g).orderBy("rank").collect()] == [("beta", 2000, 1), ("alpha", 2000, 2)]
