@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ..functions.text import HAN, ascii_edges, count_of, has_text, utf16_length
 
@@ -24,15 +28,20 @@ def term_pattern(term: str) -> str:
     return "(?i)" + ascii_edges(term) if term.isascii() else term
 
 
-def topic_count(text: Column, words: str) -> Column:
-    """Uses of a topic's terms: ASCII terms as whole words, which one alternation counts; the others as substrings,
-    looked for only in texts that hold Han characters."""
-    whole = [w for w in words.split() if w.isascii()]
-    parts = [w for w in words.split() if not w.isascii()]
-    n = count_of(text, term_pattern("|".join(whole))) if whole else F.lit(0).cast("long")
-    if parts:
-        n = n + F.when(text.rlike(HAN), sum((count_of(text, w) for w in parts), F.lit(0))).otherwise(0)
-    return n
+@F.pandas_udf(LongType())
+def topics_of(texts: pd.Series) -> pd.Series:
+    """The topics of which a text (as binary) has a term, a bit each: ASCII terms as whole words of any case, the others as
+    substrings. A text is cut into words once, for all topics; bytes know the case of ASCII letters only, as is wanted."""
+
+    def bits(text: bytes) -> int:
+        words = set(_WORDS(text.lower()))
+        return sum(1 << k for k, (whole, parts) in enumerate(_TERMS) if not whole.isdisjoint(words) or any(x in text for x in parts))
+
+    return texts.map(bits)
+
+
+_WORDS = re.compile(rb"[A-Za-z0-9_]+").findall
+_TERMS = [({w.encode() for w in words.split() if w.isascii()}, [w.encode() for w in words.split() if not w.isascii()]) for words in TOPICS.values()]
 
 
 def picked(n: Column, count: Column, rank: Column) -> Column:
@@ -141,10 +150,12 @@ def topic_aware(m: DataFrame, n: int, buckets: int = BUCKETS) -> DataFrame:
     share depends on what was chosen before, so there is a pass for each; all are windows over the same partitioning,
     on rows of a few numbers."""
     n = max(1, n)
-    text = F.coalesce("text", F.lit(""))
-    flags = F.array(*[topic_count(text, w) > 0 for w in TOPICS.values()])
     own = Window.partitionBy("contact_id")
-    d = m.select("contact_id", "seq", "timestamp", flags.alias("flags")).withColumn("total", F.count("*").over(own))
+    d = m.select("contact_id", "seq", "timestamp", topics_of(F.coalesce("text", F.lit("")).cast("binary")).alias("bits"))
+    flags = F.array(*[F.col("bits").bitwiseAND(1 << k) != 0 for k in range(len(TOPICS))])
+    # rows are few bytes but windows many, so contacts are not put together in one task
+    tasks = int(m.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = d.select("contact_id", "seq", "timestamp", flags.alias("flags")).repartition(tasks, "contact_id").withColumn("total", F.count("*").over(own))
     d = with_strata(d, ["contact_id"], F.lit(max(1, int(n * BY_TIME))), buckets, "got")
     numbers = F.array(*[F.struct((-F.sum(F.element_at("flags", k + 1).cast("long")).over(own)).alias("less"), F.lit(k + 1).alias("at")) for k in range(len(TOPICS))])
     d = d.withColumn("ranked", F.array_sort(F.filter(numbers, lambda x: x["less"] < 0))).withColumn("active", F.size("ranked"))
