@@ -191,11 +191,18 @@ def languages(m: DataFrame) -> DataFrame:
 LISTS = {"words": (1, 50, 1), "bigrams": (2, 30, 1), "trigrams": (3, 20, 3)}
 
 
-def bundled(m: DataFrame, scope: list[str]) -> DataFrame:
-    """A row for each scope that has messages, with its statistics as nested columns; with contact_id as the scope also
-    the name and the number of messages, in order of first appearance."""
-    parts = {"lexical": lexical(m, scope), "punctuation": punctuation(m, scope), "emoji": emoji(m, scope), "structure": structure(m, scope), "bursts": bursts(m, scope), "hours": hours(m, scope), "latency": reply_latency(m, scope)}
-    lists = {name: top_terms(m, scope, *how) for name, how in LISTS.items()} | {"top_emoji": top_emoji(m, scope).withColumnRenamed("emoji", "term")}
+#: Parts of a bundle that are one struct each.
+PARTS = {"lexical": lexical, "punctuation": punctuation, "emoji": emoji, "structure": structure, "bursts": bursts, "hours": hours, "latency": reply_latency}
+
+
+def bundled(m: DataFrame, scope: list[str], only: tuple[str, ...] = (*PARTS, *LISTS, "top_emoji")) -> DataFrame:
+    """A row for each scope that has messages, with its statistics (all, or those of `only`) as nested columns; with
+    contact_id as the scope also the name and the number of messages, in order of first appearance. The bounds of n-grams
+    are worked out at once, so what is not wanted must not be asked for."""
+    parts = {name: f(m, scope) for name, f in PARTS.items() if name in only}
+    lists = {name: top_terms(m, scope, *how) for name, how in LISTS.items() if name in only}
+    if "top_emoji" in only:
+        lists["top_emoji"] = top_emoji(m, scope).withColumnRenamed("emoji", "term")
     if scope == ["contact_id"]:
         out = m.groupBy(*scope).agg(F.min_by("contact_name", "seq").alias("contact_name"), F.count("*").alias("message_count"), F.min("seq").alias("first_seq"))
     else:

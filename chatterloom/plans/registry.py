@@ -97,7 +97,7 @@ plain("w02_burst_ids", lambda s, d: stats.burst_ids(A.msg_events(s, d), ["contac
 
 def flat_bundle(s: SparkSession, d: str) -> DataFrame:
     """Some of the numbers of each contact's bundle."""
-    b = stats.bundled(A.msg_docs(s, d), ["contact_id"])
+    b = stats.bundled(A.msg_docs(s, d), ["contact_id"], ("lexical", "words", "structure", "hours", "bursts"))
     top = F.get("words", F.lit(0))
     return b.select("contact_id", "contact_name", "message_count", F.col("lexical.total_tokens").alias("total_tokens"), F.size("words").cast("long").alias("words"), top["term"].alias("top_word"), top["count"].alias("top_count"), F.col("structure.p90_length").alias("p90_length"), F.col("hours.h00").alias("h00"), F.col("bursts.bursts").alias("bursts"))
 

@@ -52,3 +52,12 @@ def test_group_terms_are_counted_within_tasks(spark):
     plan = groups.top_terms(g)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "Generate" not in plan
     assert [(r["term"], r["count"], r["rank"]) for r in groups.top_terms(g).orderBy("rank").collect()] == [("beta", 2000, 1), ("alpha", 2000, 2)]
+
+
+def test_bundles_of_some_parts(spark):
+    """What is not asked for is not worked out, the bounds of n-grams at once included."""
+    m = spark.createDataFrame(said(9, 40), SCHEMA).where("contact_id is not null").selectExpr("*", "contact_id contact_name", "timestamp_seconds(seq) timestamp")
+    whole = stats.bundled(m, ["contact_id"])
+    some = stats.bundled(m, ["contact_id"], ("lexical", "words"))
+    assert some.columns == ["contact_id", "contact_name", "message_count", "lexical", "words"]
+    assert some.collect() == whole.select(some.columns).collect()
