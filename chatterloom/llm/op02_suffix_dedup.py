@@ -7,10 +7,11 @@ same. The suffixes of the whole collection that agree in WIDTH bytes are found i
    anchors at equal distance. Anchors are counted over the collection; one that occurs once ends there.
 2. Around each other anchor a segment holds the strings that it anchors. Equal segments are one (the earliest stands;
    in the others all strings go): first within a home of texts, then in the bucket of the anchor.
-3. The different segments of an anchor are the documents of a collection whose Burrows-Wheeler transform is built
-   column by column: each round inserts the next symbol (from the end) of every segment by the last-to-first
-   mapping, and updates the common prefixes of neighbouring suffixes. Neighbours with a common prefix of WIDTH or
-   more hold equal strings; of each such run the earliest place stays.
+3. Of the different segments of an anchor, those that agree with another in enough bytes around it to hold an equal
+   string are the documents of a collection whose Burrows-Wheeler transform is built column by column: each round
+   inserts the next symbol (from the end) of every segment by the last-to-first mapping, and updates the common
+   prefixes of neighbouring suffixes. Neighbours with a common prefix of WIDTH or more hold equal strings; of each
+   such run the earliest place stays.
 4. Homes read which strings go, and cut the bytes they cover. A text is worked on once, however many rows hold it; its
    rows take the result by its digest.
 
@@ -37,6 +38,8 @@ from .homes import Texts, answered, asked, bucket_of, bucket_slices, buckets_for
 WIDTH = 100
 #: Segments that one transform holds at most (but for the segments of one anchor).
 CHUNK = 512
+#: Text bytes whose anchors are found at a time: their hashes stay in a core's cache.
+STEP = 1 << 17
 _C = U64(0xD6E8FEB86659FD93)
 
 
@@ -61,7 +64,7 @@ class Segments:
         k = gram_length(width)
         span = width - k + 1
         text, start, count, left, anchor = [], [], [], [], []
-        for lo, hi in steps(texts, 1 << 20):
+        for lo, hi in steps(texts, STEP):
             sizes = np.array([len(t) for t in texts[lo:hi]])
             if not (sizes >= width).any():
                 continue
@@ -158,7 +161,7 @@ class Home:
             size = s.count[r] + self.width - 1
             joined = b"".join([t.texts[d][a : a + n] for d, a, n in zip(s.text[r].tolist(), s.start[r].tolist(), size.tolist())])
             of = s.text[r]
-            yield k, packed(s.anchor[r], digest[sl], t.least[of].astype("<i8"), t.none[of], hashes[of], s.start[r].astype("<i8"), size.astype("<i4"), joined)
+            yield k, packed(s.anchor[r], digest[sl], t.least[of].astype("<i8"), t.none[of], hashes[of], s.start[r].astype("<i8"), s.left[r].astype("<i4"), size.astype("<i4"), joined)
 
 
 def answer_anchors(asks: list[tuple[int, bytes]]):
@@ -174,12 +177,12 @@ def answer_anchors(asks: list[tuple[int, bytes]]):
 
 
 def least_between(a: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """min(a[lo:hi]) for each of some ranges, none empty; most are short."""
-    if not len(lo):
-        return np.zeros(0, a.dtype)
-    size = hi - lo
-    at = np.cumsum(size) - size
-    return np.minimum.reduceat(a[np.repeat(lo - at, size) + np.arange(at[-1] + size[-1])], at)
+    """min(a[lo:hi]) for each of some ranges, none empty, all ending before the last of a."""
+    out = np.empty(len(lo), a.dtype)
+    if len(lo):
+        order = np.argsort(lo)  # so that what lies between two ranges, which is read too, is no more than a
+        out[order] = np.minimum.reduceat(a, np.column_stack((lo[order], hi[order])).ravel())[::2]
+    return out
 
 
 def sorted_suffixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,52 +199,50 @@ def sorted_suffixes(strings: list[bytes], least: int) -> tuple[np.ndarray, np.nd
     for i, x in enumerate(strings):
         text[i, : len(x)] = np.frombuffer(x, np.uint8)[::-1] + 1
     bwt = text[:, 0].copy()  # rows of the empty suffixes
-    common = np.zeros(n, np.uint8 if least < 255 else np.int32)  # of each row with the one before, up to `least`
-    row = np.arange(n)  # of each string's longest suffix so far
-    live = np.arange(n)
-
-    def last_to_first(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        order = np.argsort(b, kind="stable")
-        inv = np.empty(len(b), np.int64)
-        inv[order] = np.arange(len(b))
-        return order, inv, n - int((b == 0).sum())
+    common = np.zeros(n + 1, np.uint8 if least < 255 else np.int32)  # of each row with the one before, up to `least`; and one more
+    live, at = np.arange(n), np.arange(n)  # strings by the rows of their longest suffixes so far, and these rows
 
     for j in range(1, width + 1):
-        order, inv, shift = last_to_first(bwt)
-        live = live[sizes[live] >= j]
-        at = row[live]
-        rank, symbol = inv[at], bwt[at]
-        to = rank + shift
+        order = np.argsort(bwt, kind="stable")  # the last-to-first mapping goes from order[k] to k + shift
+        shift = n - len(bwt) + np.count_nonzero(bwt)
+        more = sizes[live] >= j
+        live, at = live[more], at[more]
+        asked = np.zeros(len(bwt), bool)
+        asked[at] = True
+        rank = np.flatnonzero(asked[order])
+        rows = order[rank]
+        live, at = live[np.searchsorted(at, rows)], rows
+        symbol = bwt[at]
         before, after = order[np.maximum(rank - 1, 0)], order[np.minimum(rank + 1, len(order) - 1)]
         has = (rank > 0) & (bwt[before] == symbol)
         has_next = (rank < len(order) - 1) & (bwt[after] == symbol)
         low = least_between(common, before[has] + 1, at[has] + 1)
         high = least_between(common, at[has_next] + 1, after[has_next] + 1)
-        new, prefix = (np.empty(len(bwt) + len(live), x.dtype) for x in (bwt, common))
-        old = np.ones(len(new), bool)
-        old[to] = False
-        new[old], prefix[old] = bwt, common
-        new[to], prefix[to] = text[live, j], 0
-        prefix[inv[after[has_next]] + shift] = np.minimum(high + 1, least)
-        prefix[to[has]] = np.minimum(low + 1, least)
+        at = rank + shift
+        new, prefix = np.empty(len(bwt) + len(at), bwt.dtype), np.empty(len(common) + len(at), common.dtype)
+        old = np.ones(len(prefix), bool)
+        old[at] = False
+        new[old[:-1]], prefix[old] = bwt, common
+        new[at], prefix[at] = text[live, j], 0
+        prefix[at[has_next] + 1] = np.minimum(high + 1, least)
+        prefix[at[has]] = np.minimum(low + 1, least)
         bwt, common = new, prefix
-        row[live] = to
-        done = sizes <= j - 1
-        if done.any():  # rows of used-up strings move as others are inserted; they are found again at the end
-            row[done] = 0
-    _, inv, shift = last_to_first(bwt)
+    order = np.argsort(bwt, kind="stable")
+    shift = n - len(bwt) + np.count_nonzero(bwt)
+    to = np.empty(len(bwt), np.int64)
+    to[order] = np.arange(len(bwt)) + shift
     where = np.full(len(bwt), -1)
     at, of = np.arange(n), np.arange(n)
     offset = np.zeros(len(bwt), np.int32)
     for j in range(1, width + 1):
         keep = sizes[of] >= j
         at, of = at[keep], of[keep]
-        at = inv[at] + shift
+        at = to[at]
         if j >= least:
             where[at] = of
             offset[at] = sizes[of] - j
     rows = np.flatnonzero(where >= 0)
-    return where[rows], offset[rows], np.cumsum(common < least)[rows]
+    return where[rows], offset[rows], np.cumsum(common[:-1] < least)[rows]
 
 
 def repeated(strings: list[bytes], doc: np.ndarray, start: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -253,19 +254,39 @@ def repeated(strings: list[bytes], doc: np.ndarray, start: np.ndarray, width: in
     return s[late], o[late]
 
 
+#: Ranges of the anchor's place in a string by which segments are told apart before they are sorted.
+CELLS = 4
+
+
+def may_share(group: list[tuple[bytes, int]], width: int) -> list[int]:
+    """Which segments (bytes, anchor's place) of an anchor may hold a string that another of them holds: in equal strings
+    the anchor stands at the same place, so segments with one agree in the bytes that all strings have which hold the
+    anchor in the same range of places."""
+    places = width - gram_length(width) + 1
+    step = -(-places // CELLS)
+    found: dict[tuple[int, bytes], list[int]] = {}
+    for i, (x, left) in enumerate(group):
+        for lo in range(0, places, step):
+            a, b = left - lo, left - min(lo + step, places) + 1 + width
+            if a >= 0 and b <= len(x):
+                found.setdefault((lo, x[a:b]), []).append(i)
+    return sorted({i for some in found.values() if len(some) > 1 for i in some})
+
+
 def answer_segments(asks: list[tuple[int, bytes]], width: int):
-    anchor, digest, ids, none, text, start, size, strings = [], [], [], [], [], [], [], []
+    anchor, digest, ids, none, text, start, left, size, strings = [], [], [], [], [], [], [], [], []
     for _, b in asks:
-        a, d, i, o, t, p, z, joined = unpacked(b)
+        a, d, i, o, t, p, f, z, joined = unpacked(b)
         anchor.append(np.frombuffer(a, U64)), digest.append(np.frombuffer(d, U64).reshape(-1, 2)), ids.append(np.frombuffer(i, "<i8"))
         none.append(np.frombuffer(o, np.uint8)), text.append(np.frombuffer(t, U64)), start.append(np.frombuffer(p, "<i8"))
+        left.append(np.frombuffer(f, "<i4"))
         z = np.frombuffer(z, "<i4").astype(np.int64)
         size.append(z)
         end = np.cumsum(z)
         strings.append((joined, end - z))
     counts = [len(x) for x in anchor]
     base = np.cumsum([0, *counts])
-    anchor, digest, ids, none, text, start, size = (np.concatenate(x) for x in (anchor, digest, ids, none, text, start, size))
+    anchor, digest, ids, none, text, start, left, size = (np.concatenate(x) for x in (anchor, digest, ids, none, text, start, left, size))
     # texts in order: by least id (null last), of equal ids by the text's hash, wherever they lie; homes hold different texts
     rank = np.lexsort((start, text, ids, none))
     place = np.empty(len(rank), np.int64)
@@ -300,6 +321,9 @@ def answer_segments(asks: list[tuple[int, bytes]], width: int):
     part: list[np.ndarray] = []
     held = 0
     for g in groups:
+        g = g[may_share([(bytes_of(i), int(left[i])) for i in g.tolist()], width)]
+        if not len(g):
+            continue
         if part and held + len(g) > CHUNK:
             solve(part)
             part, held = [], 0

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from chatterloom.llm import homes
 from chatterloom.llm import op01_quality_rules as op1
 from chatterloom.llm import op02_suffix_dedup as op2
 from chatterloom.llm import op03_quality_classifier as op3
@@ -117,6 +118,24 @@ def test_op2(spark, odd, none):
     assert op2.dedup(none, op2.digests, op2.DIGESTS).count() == 0
 
 
+def test_op2_sorts_only_what_can_share(monkeypatch):
+    """Of 300 texts around one phrase, shorter than a string, few share a string; all that do are found."""
+    rng = random.Random(6)
+    text = lambda n: bytes(rng.choices(range(97, 123), k=n))
+    phrase, long = text(80), text(130)
+    texts = {text(rng.randint(0, 150)) + phrase + text(rng.randint(80, 150)): (0, i, 1, 1) for i in range(300)}
+    texts |= {text(20) + long[rng.randint(0, 30) :] + text(20): (0, i, 1, 1) for i in range(300, 310)}
+    h = op2.Home(homes.Texts(homes._blob(texts)), 100)
+    anchors = {0: dict(op2.answer_anchors([(0, b) for _, b in h.ask_anchors(1)]))[0]}
+    some = h.read_anchors(anchors, 1)
+    asks, sorted_, plain = [(0, b) for _, b in h.ask_segments(some, 0, 1)], [], op2.repeated
+    monkeypatch.setattr(op2, "repeated", lambda strings, *a: sorted_.extend(strings) or plain(strings, *a))
+    masks = op2.removed(h, some, {0: dict(op2.answer_segments(asks, 100))[0]}, 1)
+    got = {int(i): (int(i), *op2.digests(x, m)) for i, x, m in zip(h.t.least, h.t.texts, masks)}
+    assert got == brute_repeats(sorted(((v[1], x) for x, v in texts.items()), key=lambda r: r[0]), 100)
+    assert 0 < len(sorted_) < 60
+
+
 @pytest.mark.parametrize("op, label, train, apply", [(op3, "quality", op3.train, op3.classify), (op9, "toxic", op9.train, op9.detect)])
 def test_op3_op9(spark, odd, none, op, label, train, apply):
     docs, labels = spark.read.parquet(f"{AT}/documents.parquet"), spark.read.parquet(f"{AT}/labels.parquet")
