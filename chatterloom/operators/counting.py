@@ -117,9 +117,9 @@ def bounds(words: DataFrame, scope: list[str], n: int, top: int) -> tuple[np.nda
     spark, kinds = words.sparkSession, [words.schema[c] for c in scope]
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, none = np.zeros(1 << BITS, np.int64), []
+        total, none = np.zeros(1 << BITS, np.int64), None
         for s in slices(batches, scope, n):
-            none = none or [s.rows.column(c).type for c in scope]
+            none = [s.rows.column(c).type for c in scope]
             at = s.buckets()
             own = np.bincount(at, minlength=1 << BITS)
             total += own
@@ -129,6 +129,8 @@ def bounds(words: DataFrame, scope: list[str], n: int, top: int) -> tuple[np.nda
             kept = order[np.arange(len(of)) - np.searchsorted(of, of) < 4 * top]
             rows = pa.array(s.row[first[kept]])
             yield batch({c: s.rows.column(c).take(rows) for c in scope} | {"term": s.terms(first[kept]), "n": count[kept], "block": [None] * len(kept), "data": [None] * len(kept)}, term=pa.string(), n=pa.int64(), block=pa.int32(), data=pa.binary())
+        if none is None:  # a task without messages
+            return
         held = [k for k in range((1 << BITS) // BLOCK) if total[k * BLOCK : (k + 1) * BLOCK].any()]
         yield batch({c: pa.nulls(len(held), t) for c, t in zip(scope, none)} | {"term": [None] * len(held), "n": [None] * len(held), "block": held, "data": [zlib.compress(total[k * BLOCK : (k + 1) * BLOCK].tobytes(), 1) for k in held]}, term=pa.string(), n=pa.int64(), block=pa.int32(), data=pa.binary()) if held else batch({c: pa.nulls(0, t) for c, t in zip(scope, none)} | {"term": [], "n": [], "block": [], "data": []}, term=pa.string(), n=pa.int64(), block=pa.int32(), data=pa.binary())
 

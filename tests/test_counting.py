@@ -45,6 +45,13 @@ def test_rare_ngrams_are_not_rows(spark):
         assert rows.where("term = 'one two three'").groupBy("term").sum("count").first()[1] == 1800 and rows.count() < 10_000
 
 
+def test_tasks_without_messages(spark):
+    """As those of a file with fewer row groups than splits."""
+    m = spark.createDataFrame([("p", i, "me", "one two one two") for i in range(3)], SCHEMA).repartition(8)
+    for scope in ([], ["contact_id"]):
+        assert [(r["term"], r["count"]) for r in stats.top_terms(m, scope, 2, 2).orderBy("rank").collect()] == [("one two", 6), ("two one", 3)]
+
+
 def test_group_terms_are_counted_within_tasks(spark):
     g = spark.createDataFrame([("g", i, "me", "Beta alpha and beta alpha x 我") for i in range(1000)], "group_id string, seq long, sender string, text string").repartition(4)
     parts = counting.counts(g.select("group_id", "seq", F.col("text").cast("binary").alias("t")), ["group_id"], 1, 25)
