@@ -222,20 +222,15 @@ class Words:
 def local_components(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """Smallest node that each of n nodes reaches by the links a-b."""
     label = np.arange(n)
-    while len(a):
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, label[a], low)
-        np.minimum.at(label, label[b], low)
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
+    while True:
+        a, b = label[a], label[b]  # roots: a tree moves as a whole, by its root alone
+        apart = a != b
+        a, b = a[apart], b[apart]
+        if not len(a):
+            return label
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
         while (label[label] != label).any():
             label = label[label]
-        if (label == before).all():
-            break
-        open_ = label[a] != label[b]
-        a, b = a[open_], b[open_]
-    return label
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:

@@ -21,7 +21,7 @@ from chatterloom.llm import op07_bpe as op7
 from chatterloom.llm import op08_katz as op8
 from chatterloom.llm import op09_toxicity as op9
 from chatterloom.llm import op10_minhash_dedup as op10
-from chatterloom.llm.common import connected_components
+from chatterloom.llm.common import connected_components, local_components
 
 AT = "/root/testdata/sf0.001"
 ODD = [(1, None), (2, ""), (3, " \n\t"), (4, "word"), (5, "a b c d e f " * 40), (6, "a b c d e f " * 40), (None, "free text"), (8, "é😀 ß\x00 tail"), (9, "long " * 30_000), (10, "x" * 5000), (11, "one\ntwo\none"), (12, "<|endoftext|> q")]
@@ -70,6 +70,14 @@ def test_components(spark):
     assert got == {n: want[n] for a, b in pairs if a != b for n in (a, b)}
 
 
+def test_local_components():
+    r = np.random.default_rng(0)
+    for n in range(1, 60):
+        for _ in range(20):
+            a, b = r.integers(0, n, (2, n + n // 4))
+            assert local_components(a, b, n).tolist() == union(n, zip(a.tolist(), b.tolist()))
+
+
 def test_op1(spark, odd, none):
     labels = spark.createDataFrame([(5, 0), (6, 0), (9, 1), (11, 1), (99, 1), (8, None)], "doc_id long, quality int")
     weights = op1.fit(odd.select("doc_id", "text"), labels)
