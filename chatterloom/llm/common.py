@@ -32,9 +32,21 @@ def shared_dir(spark: SparkSession) -> str:
     return set_to.rstrip("/")
 
 
-def written(df: DataFrame, *parts: str) -> DataFrame:
-    """df as a table in the shared folder: cuts lineage and survives lost executors."""
+#: Rows that a task writes at least, where their number is known.
+TASK_ROWS = 5000
+
+
+def tasks_for(rows: int) -> int:
+    """How many tasks write so many rows at most. In a local folder each file costs the executor processes (Hadoop starts
+    chmod for it and its checksums), so hundreds for a few rows are dear."""
+    return max(1, -(-rows // TASK_ROWS))
+
+
+def written(df: DataFrame, *parts: str, rows: int | None = None) -> DataFrame:
+    """df as a table in the shared folder: cuts lineage and survives lost executors. rows: about how many, for tasks_for."""
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(tasks_for(rows))
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     out = df.write.option("compression", "zstd")
     (out.partitionBy(*parts) if parts else out).parquet(path)
@@ -233,26 +245,44 @@ def local_components(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
             label = label[label]
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
+#: Links that one task turns into components at once; more are contracted by rounds first.
+LOCAL_LINKS = 1 << 18
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60, rows: int | None = None, local: int = LOCAL_LINKS) -> DataFrame:
     """Rows (node, component): the smallest node that each node of the links can reach.
 
-    Alternates large-star and small-star contraction, each a group-by and a join on the node, and writes each
-    round to the shared folder, from where those before are removed. A hub is met as a minimum over its links (pre-aggregated), never as a list. Null
-    ends and self-links are dropped. Raises if it has not settled after `most_rounds`.
+    `local` links or fewer are worked on by one task, in a few MB. More go through rounds that alternate large-star and
+    small-star contraction, each a group-by and a join on the node, and that are written to the shared folder, from
+    where those before are removed. A hub is met as a minimum over its links (pre-aggregated), never as a list. Null
+    ends and self-links are dropped. Raises if it has not settled after `most_rounds`. rows: about how many links there are.
     """
     links = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a is not null and b is not null and a <> b")
-    now = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    if now.isEmpty():
-        return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    now = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), rows=rows)
+
+    @lean
+    def at_once(batches):
+        ends = [(x.column("a").to_numpy(), x.column("b").to_numpy()) for x in batches]
+        if ends:
+            a, b = (np.concatenate(x) for x in zip(*ends))
+            nodes = np.unique(np.concatenate([a, b]))
+            label = local_components(np.searchsorted(nodes, a), np.searchsorted(nodes, b), len(nodes))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[label])], names=["node", "component"])
+
     for _ in range(most_rounds):
+        n = now.count()
+        if n <= local:
+            out = written(now.coalesce(1).mapInArrow(at_once, "node long, component long"))
+            forget(now)
+            return out
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        large = written(large.distinct())
+        large = written(large.distinct(), rows=n)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(least.select("a", F.col("m").alias("b")))
-        small = written(small.distinct())
+        small = written(small.distinct(), rows=n)
         forget(large)
         forget(now)
         check = small.groupBy("a").count().where("count > 1").isEmpty()

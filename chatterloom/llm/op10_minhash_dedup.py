@@ -17,12 +17,14 @@ reported as one row, linked with nothing. Very long texts are read whole. Other
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Words, connected_components, hot_join, id_text, lean, local_components, mix, text_steps, written
+from .common import U64, Words, connected_components, hot_join, id_text, lean, local_components, mix, tasks_for, text_steps, written
 
 K = 64
 #: Similarity in per cent from which documents link, and least equal coordinates of such pairs; and those of the query's contract.
@@ -30,6 +32,8 @@ NEAR, NEAR_MATCHES = 80, 38
 CONTRACT, MATCHES = 85, 42
 WIDTH = 5
 BLOCK = 256
+#: Bytes of sets that a batch of documents dealt to blocks holds.
+SENT_BYTES = 4 << 20
 _A = mix(np.arange(1, K + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
 _B = mix(np.arange(101, K + 101, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
@@ -87,8 +91,9 @@ def described(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(rows, schema)
 
 
-def candidates(reps: DataFrame, matches: int = MATCHES) -> DataFrame:
-    """(node, component): classes that may hold pairs of `matches` or more equal coordinates, gathered."""
+def candidates(reps: DataFrame, matches: int = MATCHES, rows: int | None = None) -> DataFrame:
+    """(node, component): classes that may hold pairs of `matches` or more equal coordinates, gathered. rows: about how
+    many classes there are."""
 
     @lean
     def exploded(batches):
@@ -102,10 +107,29 @@ def candidates(reps: DataFrame, matches: int = MATCHES) -> DataFrame:
     shared = terms.groupBy("term").agg(F.count("*").alias("f")).where("f > 1")
     lists = terms.join(shared, "term").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("f", "term"))).alias("terms"))
     prefix = F.expr(f"slice(terms, 1, size(terms) - {matches - 1})")
-    postings = written(lists.where(F.size("terms") >= matches).select("cls", F.explode(prefix).alias("t")).select("cls", F.col("t.term").alias("term")))
+    postings = written(lists.where(F.size("terms") >= matches).select("cls", F.explode(prefix).alias("t")).select("cls", F.col("t.term").alias("term")), rows=rows)
     least = postings.groupBy("term").agg(F.min("cls").alias("leader"))
     stars = postings.join(least, "term").where("cls <> leader").select("cls", "leader").distinct()
-    return connected_components(stars, "cls", "leader")
+    return connected_components(stars, "cls", "leader", rows=postings.count())
+
+
+def dealt(ids: np.ndarray, component: np.ndarray, blocks: np.ndarray, sig: np.ndarray, h: np.ndarray, at: np.ndarray, most: int = SENT_BYTES) -> Iterator[pa.RecordBatch]:
+    """A row for each block pair in which a document is compared, as many as there are blocks. Of documents of large
+    components that is many times the text: no more than `most` bytes are held, and the row that goes beyond."""
+    names, kinds = ["doc_id", "component", "i", "j", "own", "sig", "set"], [pa.int64()] * 5 + [pa.binary()] * 2
+    mine = (mix(ids.astype(U64)) % blocks.astype(U64)).astype(np.int64)
+    rows: list[tuple] = []
+    held = 0
+    for d in range(len(ids)):
+        head, tail = (ids[d], component[d]), (mine[d], sig[d].astype(np.uint32).tobytes(), h[at[d] : at[d + 1]].tobytes())
+        for o in range(blocks[d]):
+            rows.append((*head, min(mine[d], o), max(mine[d], o), *tail))
+            held += len(tail[1]) + len(tail[2])
+            if held >= most:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                rows, held = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
 def compare(sig_a, n_a, set_a, sig_b, n_b, set_b, same: bool, num: int, matches: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,32 +169,24 @@ def groups(docs: DataFrame, per_cent: int = NEAR, matches: int = NEAR_MATCHES, b
     """doc_id, n_shingles, component_id for each doc_id."""
     docs = id_text(docs)
     seen = written(described(docs))
+    docs_seen = seen.count()
     seen = seen.groupBy("doc_id").agg(F.max(F.struct("n_shingles", "d1", "d2", "sig")).alias("s")).select("doc_id", "s.*")
-    seen = written(seen)
+    seen = written(seen, rows=docs_seen)
+    n = seen.count()
     full = seen.where("doc_id is not null and n_shingles > 0")
-    classes = written(full.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("cls"), F.count("*").alias("copies")))
+    classes = written(full.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("cls"), F.count("*").alias("copies")), rows=n)
     reps = seen.join(classes.select(F.col("cls").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("cls"), "sig")
-    gathered = candidates(reps, matches)
+    gathered = candidates(reps, matches, n)
     size = gathered.groupBy("component").agg(F.count("*").alias("size"))
     members = gathered.join(size, "component").select(F.col("node").alias("doc_id"), "component", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    members = written(members)
+    members = written(members, rows=gathered.count())
 
     @lean
     def sets(batches):
         for b in batches:
             for lo, hi, some in text_steps(b.column("text")):
                 h, at = shingles(some)
-                sig = signatures(h, at)
-                own = [np.asarray(b.column(c))[lo:hi] for c in ("doc_id", "component", "blocks")]
-                mine = (mix(own[0].astype(U64)) % own[2].astype(U64)).astype(np.int64)
-                cols: list[list] = [[] for _ in range(7)]
-                for d in range(hi - lo):
-                    for o in range(own[2][d]):
-                        row = (own[0][d], own[1][d], min(mine[d], o), max(mine[d], o), mine[d], sig[d].astype(np.uint32).tobytes(), h[at[d] : at[d + 1]].tobytes())
-                        for c, v in zip(cols, row):
-                            c.append(v)
-                kinds = [pa.int64()] * 5 + [pa.binary(), pa.large_binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k).cast(pa.binary()) if k == pa.large_binary() else pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "component", "i", "j", "own", "sig", "set"])
+                yield from dealt(*(np.asarray(b.column(c))[lo:hi] for c in ("doc_id", "component", "blocks")), signatures(h, at), h, at)
 
     def linked(t: pa.Table) -> pa.Table:
         i, j = t["i"][0].as_py(), t["j"][0].as_py()
@@ -190,12 +206,12 @@ def groups(docs: DataFrame, per_cent: int = NEAR, matches: int = NEAR_MATCHES, b
 
     whole = docs.join(members, "doc_id").mapInArrow(sets, "doc_id long, component long, i long, j long, own long, sig binary, set binary")
     links = whole.groupBy("component", "i", "j").applyInArrow(linked, "a long, b long")
-    found = connected_components(links).select(F.col("node").alias("cls"), "component")
+    found = connected_components(links, rows=members.count()).select(F.col("node").alias("cls"), "component")
     # components of classes first, so that documents meet their class once
-    known = written(classes.join(found, "cls", "left").select("n_shingles", "d1", "d2", "copies", F.coalesce("component", "cls").alias("component_id")))
+    known = written(classes.join(found, "cls", "left").select("n_shingles", "d1", "d2", "copies", F.coalesce("component", "cls").alias("component_id")), rows=n)
     of_class = hot_join(full.select("doc_id", "n_shingles", "d1", "d2"), known, ["n_shingles", "d1", "d2"], "copies").select("doc_id", "n_shingles", "component_id")
     alone = seen.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.lit(None)).otherwise(F.col("doc_id")).cast("long").alias("component_id"))
-    return of_class.unionByName(alone)
+    return of_class.unionByName(alone).coalesce(tasks_for(n))
 
 
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

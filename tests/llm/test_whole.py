@@ -2,9 +2,12 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from chatterloom.llm import common
 from chatterloom.llm import op09_toxicity as op9
+from chatterloom.llm import op10_minhash_dedup as op10
 
 
 def test_op9_trains_on_texts_that_share_words(spark):
@@ -228,3 +231,55 @@ def test_katz_tables_of_three_orders(spark):
     assert all(two[r["doc_id"]] == pytest.approx(r["score"], rel=1e-6) for r in op8.score(docs, 0).collect())
     nothing = tables.model(tables.counts(docs.where("false")))
     assert {r["score"] for r in tables.scored(docs, nothing).collect()} == {0.0}
+
+
+def test_components_of_few_links_take_two_tables(spark, monkeypatch):
+    random.seed(6)
+    way = random.sample(range(500), 200)  # one component, far from end to end
+    pairs = [*zip(way, way[1:]), (600, 601), (601, 601), (None, 602), (603, None), (601, 700), (700, 600)]
+    made, put = [], common.written
+    monkeypatch.setattr(common, "written", lambda *a, **k: made.append(put(*a, **k)) or made[-1])
+    links = spark.createDataFrame(pairs, "a long, b long")
+    got = {r["node"]: r["component"] for r in common.connected_components(links).collect()}
+    assert got == {n: min(way) for n in way} | {600: 600, 601: 600, 700: 600}
+    assert len(made) == 2  # a table a round costs a file for each partition, and local files cost processes
+    assert {r["node"]: r["component"] for r in common.connected_components(links, local=0).collect()} == got  # by rounds
+    assert common.connected_components(links.where("a = 601 and b = 601")).count() == 0
+
+
+def test_op10_writes_as_many_files_as_rows_call_for(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = sorted(map(tuple, op10.groups(docs, 85, 42).collect()))
+    assert any(i != c for i, _, c in want)
+    assert sorted(map(tuple, op10.groups(docs, 85, 42, block=2).collect())) == want  # many block pairs
+    files, put = [], common.written
+
+    def written(*a, **k):
+        out = put(*a, **k)
+        files.extend(out.inputFiles())
+        return out
+
+    for module in (common, op10):
+        monkeypatch.setattr(module, "written", written)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        assert sorted(map(tuple, op10.groups(docs, 85, 42).collect())) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(files) < 60  # before: as many as partitions that have rows, for each of over ten tables
+
+
+def test_op10_holds_a_few_rows_of_large_components():
+    texts = [b" ".join(b"w%d" % (k * (d + 3)) for k in range(300)) for d in range(4)]
+    h, at = op10.shingles(texts)
+    ids, component, blocks = np.arange(4), np.zeros(4, int), np.full(4, 500)
+    batches = list(op10.dealt(ids, component, blocks, op10.signatures(h, at), h, at, most=50_000))
+    assert sum(b.num_rows for b in batches) == 4 * 500  # each document meets each block once
+    assert max(b.nbytes for b in batches) < 60_000
+    rows = [r for b in batches for r in b.to_pylist()]
+    assert {(r["doc_id"], r["i"] + r["j"] - r["own"]) for r in rows} == {(d, o) for d in range(4) for o in range(500)}
+    assert all(r["set"] == h[at[r["doc_id"]] : at[r["doc_id"] + 1]].tobytes() for r in rows)
